@@ -41,7 +41,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a few large files over all cores before per-row Python work."""
-    n = max(df.sparkSession.sparkContext.defaultParallelism * 2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n, *keys)
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over the cores before per-row Python work, if the scan alone doesn't.
+
+    A scan that already gives every core a partition is left as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores * 3)
