@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattlake.llm import packing, tokens
+from wattlake.llm import abuse, packing, tokens
 from wattlake.session import table
 
 
@@ -41,5 +41,22 @@ def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.fill_report(_pieces(spark, sf_dir), table(spark, sf_dir, "containers"), "container", "capacity_tokens")
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill}
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document for abusive, hateful or sexual language."""
+    d = table(spark, sf_dir, "documents")
+    return abuse.score(d, "doc_id", "text", abuse.train(d, "doc_id", "text", table(spark, sf_dir, "review_labels")), ("source",))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with abusive, hateful or sexual language."""
+    return p10_scores(spark, sf_dir).where("flagged").select("doc_id")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate of such documents in each source."""
+    r = p10_scores(spark, sf_dir).groupBy("source").agg(F.count("*").alias("documents"), F.count_if("flagged").alias("flagged"), F.avg("score").alias("mean_score"))
+    return r.withColumn("rate", F.col("flagged") / F.col("documents"))
+
+
+QUERIES = {"p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}
