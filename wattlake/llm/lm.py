@@ -62,7 +62,7 @@ class KneserNey:
             here = owner >= 0
             before = [np.concatenate([x[:1], x[:-1]])[here] for x in g]  # contexts: what ends one position earlier
             seen[y] = ([x[here] for x in g], before)
-        both = tuple([np.concatenate([seen[y][i][k] for y in self.classes]) for k in range(self.order + 1)] for i in (0, 1))
+        both = tuple([np.concatenate([seen[y][i][k] for y in self.classes]) for k in range(self.own + 1)] for i in (0, 1))
         self.types = float(len(np.unique(both[0][1])) + 1)
         self.tables: dict[str, list[tuple[np.ndarray, ...]]] = {}
         for y in self.classes:
@@ -103,6 +103,18 @@ class KneserNey:
         return out
 
 
+    def joint_ratio(self, c: np.ndarray, one: str, other: str, k: int = 5, a: float = 1.0) -> np.ndarray:
+        """Per-position log-ratio of how frequent the k-gram that ends there is in two classes; 0 where neither has it.
+
+        It doesn't condition on the context, so a text that leaked into the wrong class still shows where it is at home.
+        """
+        at = self._at(grams(c, k)[k])
+        x, y = (self.tables[z][k - 1][0] for z in (one, other))
+        rare = a / max(x.sum() + y.sum(), 1)
+        r = np.log(x[at] / max(x.sum(), 1) + rare) - np.log(y[at] / max(y.sum(), 1) + rare)
+        return np.where((x[at] > 0) | (y[at] > 0), r, 0.0)
+
+
 def best_windows(gain: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each of ``n`` texts the stretch with the largest sum of ``gain``: (sum, first position, last position) in the coded array."""
     g = np.where(owner >= 0, gain, 0).astype(np.float64)

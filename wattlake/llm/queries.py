@@ -4,8 +4,69 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattlake.llm import abuse, packing, tokens
-from wattlake.session import table
+from wattlake.llm import abuse, packing, pages, residue, tokens
+from wattlake.session import cut_lineage, table
+
+
+def _body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inc = table(spark, sf_dir, "incentive")
+    return pages.main_lines(inc, "id", "raw_response", pages.host_of(F.col("source_url"), F.col("program_url")), "utility_company")
+
+
+JSON_START = r"^[\s\x{FEFF}]*(?:\{(?!\{)|\[(?!\[)(?![A-Za-z]))"
+
+
+def _texts(spark: SparkSession, sf_dir: str, body: DataFrame) -> DataFrame:
+    """(table_name, record_key, text): whatever may hold residue."""
+    inc, stg = table(spark, sf_dir, "incentive"), table(spark, sf_dir, "rebates_staging")
+    json_rows = inc.where(F.col("raw_response").rlike(JSON_START)).select("id", "raw_response").distinct()
+    parts = [
+        stg.select(F.lit("rebates_staging").alias("table_name"), F.col("id").cast("string").alias("record_key"), F.col("program_name").alias("text")),
+        inc.select(F.lit("incentive").alias("table_name"), F.col("id").alias("record_key"), F.col("program_name").alias("text")),
+        residue.json_leaves(json_rows, "id", "raw_response").select(F.lit("incentive").alias("table_name"), F.col("id").alias("record_key"), "text"),
+        body.select(F.lit("incentive").alias("table_name"), F.col("id").alias("record_key"), "text"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.where("record_key is not null and trim(text) <> ''")
+
+
+def _residue(spark: SparkSession, sf_dir: str, texts: DataFrame) -> DataFrame:
+    # names and bodies are learned apart, so that neither crowds out the other in the sample
+    names = residue.learn(texts.where("length(text) < 120"), F.col("text"))
+    lines = residue.learn(texts.where("length(text) >= 120"), F.col("text"), max_texts=6_000)
+    return residue.score(texts, ("table_name", "record_key"), "text", residue.fit(names + lines))
+
+
+def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id) of the staged records whose name is residue, for the problems that leave them out."""
+    names = table(spark, sf_dir, "rebates_staging").select("id", "program_name").where("trim(program_name) <> ''")
+    found = residue.score(names, ("id",), "program_name", residue.fit(residue.learn(names, F.col("program_name"))))
+    return found.where("found").select("id")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of each page that show its main body, without pages that hold residue."""
+    body = cut_lineage(_body(spark, sf_dir))
+    bad = _residue(spark, sf_dir, cut_lineage(_texts(spark, sf_dir, body))).where("found and table_name = 'incentive'").select(F.col("record_key").alias("id")).distinct()
+    return body.join(bad, "id", "left_anti").select(F.col("id").alias("incentive_id"), "line_no")
+
+
+def p1_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of the main body of each page, line by line."""
+    return _body(spark, sf_dir).withColumnRenamed("id", "incentive_id")
+
+
+def p2_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each record the surest residue in it: ratio, kind and coverage."""
+    s = _residue(spark, sf_dir, cut_lineage(_texts(spark, sf_dir, _body(spark, sf_dir))))
+    return s.groupBy("table_name", "record_key").agg(F.max("residue").alias("residue"), F.max_by("kind", "residue").alias("kind"), F.max_by("coverage", "residue").alias("coverage"), F.bool_or("found").alias("found"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that hold residue, filler or a failure message."""
+    return p2_scores(spark, sf_dir).where("found").select("table_name", "record_key")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,5 +119,5 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("rate", F.col("flagged") / F.col("documents"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p1_body": p1_body, "p2_found": p2_found, "p2_scores": p2_scores, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}
