@@ -213,7 +213,7 @@ def text_body(lines: list[Line], hints: list[Hint]) -> list[int]:
         return h.pages >= (4 if sentence else PAGES) and h.share >= (0.7 if sentence else SHARE)
 
     lo = 0
-    while lo < n and (furniture(lo) or (_CRUMB.match(lines[lo].text) and not hints[lo].role and len(lines[lo].text) < 120)):
+    while lo < n and (furniture(lo) or (_CRUMB.match(lines[lo].text) and not hints[lo].role.keys() - {"link", "furniture"} and len(lines[lo].text) < 120)):
         lo += 1
     hi = n
     while hi > lo and furniture(hi - 1):
@@ -268,7 +268,7 @@ def text_body(lines: list[Line], hints: list[Hint]) -> list[int]:
 
 
 def html_body(lines: list[Line], hints: list[Hint]) -> list[int]:
-    rec = [h.share if h.pages >= PAGES else 0.0 for h in hints]
+    rec = [1.0 if h.ends == "furniture" or max(h.role, key=lambda r: (h.role[r], r), default="") == "furniture" else h.share if h.pages >= PAGES else 0.0 for h in hints]
     roles = html_roles(lines, rec)
     return [x.no for x, r in zip(lines, roles, strict=True) if r not in ("furniture", "side", "link")]
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattlake.llm import abuse, packing, pages, residue, tokens
+from wattlake.llm import abuse, packing, pages, residue, survivor, tokens
+from wattlake.functions.text import program_hash
 from wattlake.session import cut_lineage, table
 
 
@@ -69,6 +70,28 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_scores(spark, sf_dir).where("found").select("table_name", "record_key")
 
 
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surviving record of each program identity held by two rows or more."""
+    stg = table(spark, sf_dir, "rebates_staging").where("deleted_at is null")
+    stg = stg.select("id", "source", "updated_at", "incentive_description", "maximum_amount", program_hash("program_name", "utility_company").alias("program_hash"))
+    stg = stg.join(staged_residue(spark, sf_dir), "id", "left_anti")
+    ranks = table(spark, sf_dir, "source_rank").groupBy("source").agg(F.min("trust_rank").alias("trust_rank"))
+    stg = survivor.mark_beginnings(cut_lineage(stg), "program_hash", "incentive_description", "is_cut").join(ranks, "source", "left")
+    return survivor.survive(
+        stg,
+        "program_hash",
+        "id",
+        F.coalesce("trust_rank", F.lit(2**31 - 1)),
+        "updated_at",
+        {"incentive_description": survivor.is_text(F.col("incentive_description")) & ~F.col("is_cut"), "maximum_amount": survivor.is_sum(F.col("maximum_amount"))},
+    )
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that give the description and the maximum amount of each program identity."""
+    return p4_records(spark, sf_dir).select("program_hash", F.col("incentive_description_id").alias("description_id"), F.col("maximum_amount_id").alias("maximum_id"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
     return tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -119,5 +142,5 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("rate", F.col("flagged") / F.col("documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_body": p1_body, "p2_found": p2_found, "p2_scores": p2_scores, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p1_body": p1_body, "p2_found": p2_found, "p2_scores": p2_scores, "p4_found": p4_found, "p4_records": p4_records, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import random
 import re
+import string
 import unicodedata
 from collections.abc import Iterator
 
@@ -78,6 +79,8 @@ def grammar(seed: int = 11, latin: int = 400) -> list[str]:
             out.append(inner.replace("@", f) if "\x00" not in inner else f"@@{f}@@")
     for f in FIELDS:
         out += [f"{f} nan", f"{f} - undefined", f"null null {f}", f"undefined {f}", f"{f} null"]
+    for w in ("nan", "null", "undefined", "none"):
+        out += [x for c in string.ascii_lowercase for x in (f"{c} {w}", f"{c} - {w}")] * 3
     for _ in range(latin):
         out.append(" ".join(rng.choice(LATIN) for _ in range(rng.randint(2, 14))) + rng.choice(["", "."]))
     return out
