@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattlake.llm import abuse, packing, pages, residue, survivor, tokens
+from wattlake.llm import abuse, names, packing, pages, residue, survivor, tokens
 from wattlake.functions.text import program_hash
 from wattlake.session import cut_lineage, table
 
@@ -92,6 +92,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p4_records(spark, sf_dir).select("program_hash", F.col("incentive_description_id").alias("description_id"), F.col("maximum_amount_id").alias("maximum_id"))
 
 
+def _organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.organisations(names.distinct_names([table(spark, sf_dir, "rebates_staging").select("utility_company"), table(spark, sf_dir, "energy_star_raw").select("utility")]))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of spellings of one organisation."""
+    return names.pairs(_organisations(spark, sf_dir))
+
+
+def p6_organisations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each spelling with the organisation it means."""
+    return _organisations(spark, sf_dir)
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
     return tokens.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -142,5 +156,5 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("rate", F.col("flagged") / F.col("documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_body": p1_body, "p2_found": p2_found, "p2_scores": p2_scores, "p4_found": p4_found, "p4_records": p4_records, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p1_body": p1_body, "p2_found": p2_found, "p2_scores": p2_scores, "p4_found": p4_found, "p4_records": p4_records, "p6_found": p6_found, "p6_organisations": p6_organisations, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}
