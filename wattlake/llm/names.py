@@ -207,8 +207,8 @@ def organisations(names: DataFrame) -> DataFrame:
     a, b = nodes.toDF("a", "kind_a", "n_a", "all_a"), nodes.toDF("b", "kind_b", "n_b", "all_b")
     free_a, free_b = (F.col(c).isin("", "energy") for c in ("kind_a", "kind_b"))
     same = F.col("kind_a") == F.col("kind_b")
-    rank = F.struct(same | free_a, -F.col("distance"), F.col("n_b"), F.col("b"))
-    more = (F.col("n_b") > F.col("n_a")) | ((F.col("n_b") == F.col("n_a")) & (F.col("b") < F.col("a")))
+    rank = F.struct(same | free_a, -F.col("distance"), F.col("all_b"), F.col("b"))
+    more = (F.col("all_b") > F.col("all_a")) | ((F.col("all_b") == F.col("all_a")) & (F.col("b") < F.col("a")))
     # two proper names that are both well attested are two organisations, however close
     typo = (F.col("n_a") <= 2) | (F.col("n_b") >= 4 * F.col("n_a"))
     step = near.join(a, "a").join(b, "b").where((same | free_a | free_b) & more & typo).groupBy("a", "kind_a").agg(F.max_by("b", rank).alias("to"))
