@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wattlake.llm import abuse, names, packing, pages, residue, survivor, tokens
-from wattlake.functions.text import program_hash
+from wattlake.llm import abuse, linkage, names, packing, pages, residue, survivor, tokens
+from wattlake.functions.text import norm, program_hash
+from wattlake.operators import units
 from wattlake.session import cut_lineage, table
 
 
@@ -70,6 +71,39 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_scores(spark, sf_dir).where("found").select("table_name", "record_key")
 
 
+def _linkable(rows: DataFrame, rates: DataFrame, org: DataFrame) -> DataFrame:
+    """(id, name, org, segment, label, start, end, rate) of records with a name and an organisation."""
+    day = lambda c: F.when(F.col(c).rlike(r"^\s*\d{4}-\d\d-\d\d"), F.substring(F.trim(c), 1, 10))
+    seg = F.lower(F.trim(F.get(F.filter("segment", lambda x: F.trim(x) != ""), F.lit(0))))
+    label = F.col("product_category") if "product_category" in rows.columns else F.lit(None).cast("string")
+    r = rows.select("id", norm("program_name").alias("name"), norm("utility_company").alias("u"), F.coalesce(seg, F.lit("")).alias("segment"), label.alias("label"), day("start_date").alias("start"), day("end_date").alias("end"))
+    r = r.join(org, "u").join(rates.groupBy("id").agg(F.min(F.concat_ws(" ", "common_unit", F.round(F.col("value") * 1000).cast("bigint"))).alias("rate")), "id", "left")
+    return r.where("name <> '' and org is not null").drop("u")
+
+
+def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each staged record that has one with its row of the catalog and a confidence."""
+    stg, cat = table(spark, sf_dir, "rebates_staging"), table(spark, sf_dir, "rebates")
+    stg = stg.join(staged_residue(spark, sf_dir), "id", "left_anti")
+    org = names.organisations(names.distinct_names([t.select("utility_company") for t in (stg, cat)]))
+    org = cut_lineage(org.select(F.col("name").alias("u"), F.concat_ws("|", "proper", "kind").alias("org")))
+    s = _linkable(stg, units.harmonise(stg), org).select(F.lit("s").alias("side"), F.col("id").cast("string").alias("id"), "name", "org", "segment", "label", "start", "end", "rate")
+    c = _linkable(cat, units.harmonise(cat), org).select(F.lit("c").alias("side"), "id", "name", "org", "segment", "label", "start", "end", "rate")
+    rows = cut_lineage(s.unionByName(c))
+    known = rows.where("label is not null").select("name", "label").distinct().orderBy(F.xxhash64("name", "label")).limit(20_000)
+    model = linkage.ProductModel([(linkage.plain(r[0]), r[1]) for r in known.collect()])
+    rows = cut_lineage(linkage.read(rows, model))
+    rows = linkage.settle_places(cut_lineage(linkage.marks(rows, linkage.vocabulary(rows))))
+    rows = cut_lineage(rows.withColumn("cluster", F.xxhash64("org", "name", "group")))
+    e = linkage.link(rows.where("side = 's'"), rows.where("side = 'c'"))
+    return e.select(F.col("left").cast("bigint").alias("staging_id"), F.col("right").alias("rebate_id"), "confidence")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged records and the rows of the catalog that are the same program."""
+    return p3_links(spark, sf_dir).select("staging_id", "rebate_id")
+
+
 def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The surviving record of each program identity held by two rows or more."""
     stg = table(spark, sf_dir, "rebates_staging").where("deleted_at is null")
@@ -156,5 +190,5 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.withColumn("rate", F.col("flagged") / F.col("documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_body": p1_body, "p2_found": p2_found, "p2_scores": p2_scores, "p4_found": p4_found, "p4_records": p4_records, "p6_found": p6_found, "p6_organisations": p6_organisations, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p1_body": p1_body, "p2_found": p2_found, "p2_scores": p2_scores, "p3_found": p3_found, "p3_links": p3_links, "p4_found": p4_found, "p4_records": p4_records, "p6_found": p6_found, "p6_organisations": p6_organisations, "p8_ids": p8_ids, "p8_offsets": p8_offsets, "p8_roundtrip": p8_roundtrip, "p9_pieces": p9_pieces, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}
