@@ -115,7 +115,7 @@ def ratios(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple[np
     return best, best / np.maximum(at - frm + 1, 12) + drift * (best > 0)
 
 
-def fit(reviewed: list[tuple[str | None, bool]], recurrent: list[str] = (), rounds: int = 4, least: float = 6.0, max_plain: int = 25_000, order: int = 6, own: int = 3, bits: int = 20) -> KneserNey:
+def fit(reviewed: list[tuple[str | None, bool]], recurrent: list[str] = (), rounds: int = 4, least: float = 6.0, max_plain: int = 25_000, order: int = 6, own: int = 3, bits: int = 19) -> KneserNey:
     """The two models, from (text, flagged) of reviewed documents and from wordings that recur over the whole corpus.
 
     Recurring wordings are ordinary unless the reviews speak against it, that is, unless most of the

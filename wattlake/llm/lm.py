@@ -9,6 +9,7 @@ bounded size whatever it was fitted on.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable
 
 import numpy as np
@@ -45,10 +46,34 @@ def grams(c: np.ndarray, order: int) -> list[np.ndarray]:
 class KneserNey:
     """Models of several classes over one hashed space."""
 
-    def __init__(self, classes: list[str], order: int = 6, own: int = 3, bits: int = 20):
+    def __init__(self, classes: list[str], order: int = 6, own: int = 3, bits: int = 19):
         self.classes, self.order, self.own, self.bits = classes, order, own, bits
         self.mask = np.uint64((1 << bits) - 1)
 
+    def __getstate__(self) -> dict:
+        """Only the filled places of the tables, packed: what is broadcast grows with the n-grams seen, not with the space."""
+        seen: dict[int, int] = {}
+        kept = []
+        for by in self.tables.values():
+            for ts in by:
+                if id(ts) not in seen:
+                    seen[id(ts)] = len(kept)
+                    at = [np.flatnonzero(t).astype(np.uint32) for t in ts]
+                    kept.append([zlib.compress(a.tobytes() + t[a].tobytes(), 1) for a, t in zip(at, ts, strict=True)])
+        return self.__dict__ | {"tables": {y: [seen[id(ts)] for ts in by] for y, by in self.tables.items()}, "kept": kept}
+
+    def __setstate__(self, state: dict) -> None:
+        kept = []
+        for ts in state.pop("kept"):
+            out = []
+            for packed in ts:
+                raw = zlib.decompress(packed)
+                t = np.zeros(1 << state["bits"], np.float32)
+                t[np.frombuffer(raw[: len(raw) // 2], np.uint32)] = np.frombuffer(raw[len(raw) // 2 :], np.float32)
+                out.append(t)
+            kept.append(tuple(out))
+        self.__dict__ = state | {"tables": {y: [kept[i] for i in by] for y, by in state["tables"].items()}}
+
     def _at(self, h: np.ndarray) -> np.ndarray:
         return (h & self.mask).astype(np.int64)
 
@@ -68,6 +93,9 @@ class KneserNey:
         for y in self.classes:
             self.tables[y] = []
             for k in range(1, self.order + 1):
+                if k < self.own and y != self.classes[0]:
+                    self.tables[y].append(self.tables[self.classes[0]][k - 1])
+                    continue
                 g, ctx = seen[y] if k >= self.own else both
                 if k == self.order:
                     u, first, n = np.unique(g[k], return_index=True, return_counts=True)

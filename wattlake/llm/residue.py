@@ -91,7 +91,7 @@ LEAK = 0.3
 MARKED = re.compile(r"\{\{|\}\}|\$\{|<[%?]|\{[a-z_. ]+\}|\[\[|\[(?:insert|your|add) |\[[a-z_. ]{3,}\](?![a-z])|[<\[][^<>\[\]]{1,30} (?:goes )?here[>\]]|%%?[a-z_. ]+%|@@|#[a-z_. ]+#|__[a-z]|«|»|\b(?:null|undefined|nan)\b")
 
 
-def fit(natural: list[tuple[str, int]], rounds: int = 2, order: int = 6, own: int = 2, bits: int = 20) -> KneserNey:
+def fit(natural: list[tuple[str, int]], rounds: int = 2, order: int = 6, own: int = 2, bits: int = 19) -> KneserNey:
     """The models, from natural wording with its frequency; it may hold some residue itself.
 
     First what is more at home in a residue class is kept out, by joint frequencies; then the models
