@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattlake.llm.lm import KneserNey, best_windows, coded
+from wattlake.llm.lm import KneserNey, best_windows, coded, pieces
 from wattlake.session import spread
 
 # Letters of other scripts that look like Latin ones.
@@ -109,13 +109,16 @@ def ratios(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple[np
     """For each folded text the largest windowed log-likelihood ratio, and that ratio by its length."""
     if not texts:
         return np.zeros(0), np.zeros(0)
-    c, owner = coded(texts, model.order)
-    p = model.log_probs(c)
-    best, frm, at = best_windows(p["toxic"] - p["plain"] - drift, owner, len(texts))
-    return best, best / np.maximum(at - frm + 1, 12) + drift * (best > 0)
+    out = []
+    for lo, hi in pieces(texts):
+        c, owner = coded(texts[lo:hi], model.order)
+        p = model.log_probs(c)
+        best, frm, at = best_windows(p["toxic"] - p["plain"] - drift, owner, hi - lo)
+        out.append((best, best / np.maximum(at - frm + 1, 12) + drift * (best > 0)))
+    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
-def fit(reviewed: list[tuple[str | None, bool]], recurrent: list[str] = (), rounds: int = 4, least: float = 6.0, max_plain: int = 25_000, order: int = 6, own: int = 3, bits: int = 19) -> KneserNey:
+def fit(reviewed: list[tuple[str | None, bool]], recurrent: list[str] = (), rounds: int = 4, least: float = 6.0, max_plain: int = 15_000, order: int = 6, own: int = 3, bits: int = 19) -> KneserNey:
     """The two models, from (text, flagged) of reviewed documents and from wordings that recur over the whole corpus.
 
     Recurring wordings are ordinary unless the reviews speak against it, that is, unless most of the

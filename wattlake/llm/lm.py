@@ -10,7 +10,7 @@ bounded size whatever it was fitted on.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -29,18 +29,35 @@ def coded(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     return c, owner
 
 
-def grams(c: np.ndarray, order: int) -> list[np.ndarray]:
-    """For k = 0..order a hash of the k characters that end at each position."""
-    out = [np.full(len(c), 7, dtype=np.uint64)]
+def _each_order(c: np.ndarray, order: int) -> Iterator[np.ndarray]:
+    """The hashes of ``grams`` for k = 1..order, one after the other."""
     h = np.full(len(c), 7, dtype=np.uint64)
     moved = c.copy()
     with np.errstate(over="ignore"):
         for _ in range(order):
             h = (h ^ (moved + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(31)
-            out.append(h)
-            moved = np.concatenate([np.zeros(1, np.uint64), moved[:-1]])
-    return out
+            yield h
+            h = h.copy()
+            moved[1:] = moved[:-1].copy()
+            moved[0] = 0
+
+
+def grams(c: np.ndarray, order: int) -> list[np.ndarray]:
+    """For k = 0..order a hash of the k characters that end at each position."""
+    return [np.full(len(c), 7, dtype=np.uint64), *_each_order(c, order)]
+
+
+def pieces(texts: list[str], chars: int = 150_000) -> Iterator[tuple[int, int]]:
+    """Ranges of the list of about ``chars`` characters, to bound what is coded at once."""
+    lo, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= chars:
+            yield lo, i + 1
+            lo, size = i + 1, 0
+    if lo < len(texts):
+        yield lo, len(texts)
 
 
 class KneserNey:
@@ -77,38 +94,38 @@ class KneserNey:
     def _at(self, h: np.ndarray) -> np.ndarray:
         return (h & self.mask).astype(np.int64)
 
+    def _table(self, grams_: np.ndarray, contexts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        cnt, tot, typ = (np.zeros(1 << self.bits, np.float32) for _ in range(3))
+        np.add.at(cnt, self._at(grams_), n)
+        np.add.at(tot, self._at(contexts), n)
+        np.add.at(typ, self._at(contexts), 1)
+        return cnt, tot, typ
+
+    def _tables(self, coded_: list[tuple[np.ndarray, np.ndarray]], first: int, last: int) -> list[tuple[np.ndarray, ...]]:
+        """The tables of orders ``first`` to ``last`` over coded texts; no more than three hashes a character are held at once."""
+        c = np.concatenate([x for x, _ in coded_])
+        here = np.concatenate([o for _, o in coded_]) >= 0
+        out = []
+        context, gram = None, np.full(len(c), 7, dtype=np.uint64)
+        for k, longer in enumerate(_each_order(c, min(last + 1, self.order)), 1):
+            context, gram = gram, longer
+            if k > first and k - 1 <= last and k - 1 < self.order:
+                # continuation counts of order k - 1: in how many different grams of order k it ends
+                _, at = np.unique(gram[here], return_index=True)
+                u, i, n = np.unique(context[here][at], return_index=True, return_counts=True)
+                out.append(self._table(u, np.concatenate([older[:1], older[:-1]])[here][at][i], n))
+            if k == self.order and last == self.order:
+                u, i, n = np.unique(gram[here], return_index=True, return_counts=True)
+                out.append(self._table(u, np.concatenate([context[:1], context[:-1]])[here][i], n))
+            older = context
+        return out
+
     def fit(self, texts: dict[str, Iterable[str]]) -> KneserNey:
         """From the texts of each class; repeated texts count each."""
-        size = 1 << self.bits
-        seen = {}
-        for y in self.classes:
-            c, owner = coded([t for t in texts[y] if t] or [" "], self.order)
-            g = grams(c, self.order)
-            here = owner >= 0
-            before = [np.concatenate([x[:1], x[:-1]])[here] for x in g]  # contexts: what ends one position earlier
-            seen[y] = ([x[here] for x in g], before)
-        both = tuple([np.concatenate([seen[y][i][k] for y in self.classes]) for k in range(self.own + 1)] for i in (0, 1))
-        self.types = float(len(np.unique(both[0][1])) + 1)
-        self.tables: dict[str, list[tuple[np.ndarray, ...]]] = {}
-        for y in self.classes:
-            self.tables[y] = []
-            for k in range(1, self.order + 1):
-                if k < self.own and y != self.classes[0]:
-                    self.tables[y].append(self.tables[self.classes[0]][k - 1])
-                    continue
-                g, ctx = seen[y] if k >= self.own else both
-                if k == self.order:
-                    u, first, n = np.unique(g[k], return_index=True, return_counts=True)
-                    at = ctx[k - 1][first]
-                else:
-                    _, longer = np.unique(g[k + 1], return_index=True)
-                    u, first, n = np.unique(g[k][longer], return_index=True, return_counts=True)
-                    at = ctx[k - 1][longer][first]
-                cnt, tot, typ = (np.zeros(size, np.float32) for _ in range(3))
-                np.add.at(cnt, self._at(u), n)
-                np.add.at(tot, self._at(at), n)
-                np.add.at(typ, self._at(at), 1)
-                self.tables[y].append((cnt, tot, typ))
+        code = {y: coded([t for t in texts[y] if t] or [" "], self.order) for y in self.classes}
+        self.types = float(len(np.unique(np.concatenate([np.unique(c) for c, _ in code.values()]))) + 1)
+        shared = self._tables(list(code.values()), 1, self.own - 1) if self.own > 1 else []
+        self.tables: dict[str, list[tuple[np.ndarray, ...]]] = {y: shared + self._tables([code[y]], self.own, self.order) for y in self.classes}
         return self
 
     def log_probs(self, c: np.ndarray) -> dict[str, np.ndarray]:

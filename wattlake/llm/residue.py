@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattlake.llm.lm import KneserNey, best_windows, coded
+from wattlake.llm.lm import KneserNey, best_windows, coded, pieces
 from wattlake.session import cut_lineage, spread
 
 CLASSES = ["filler", "error", "plain"]
@@ -109,11 +109,13 @@ def fit(natural: list[tuple[str, int]], rounds: int = 2, order: int = 6, own: in
 
     model = build()
     if texts:
-        c, owner = coded(texts, order)
         keep &= np.array([not MARKED.search(x) for x in texts])
-        for y in CLASSES[:2]:
-            r = np.bincount(owner[owner >= 0], model.joint_ratio(c, y, "plain")[owner >= 0], len(texts))
-            keep &= r < LEAK * np.array([len(x) for x in texts])
+        for lo, hi in pieces(texts):
+            c, owner = coded(texts[lo:hi], order)
+            size = np.array([len(x) for x in texts[lo:hi]])
+            for y in CLASSES[:2]:
+                r = np.bincount(owner[owner >= 0], model.joint_ratio(c, y, "plain")[owner >= 0], hi - lo)
+                keep[lo:hi] &= r < LEAK * size
     for _ in range(rounds):
         model = build()
         if texts:
@@ -132,24 +134,25 @@ def stretches(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple
     """For each folded text the largest windowed log-likelihood ratio of a residue class, the class (0 filler, 1 error) and the length of the window."""
     if not texts:
         return np.zeros(0), np.zeros(0, int), np.zeros(0, int)
-    c, owner = coded(texts, model.order)
-    p = model.log_probs(c)
-    found = [best_windows(p[y] - p["plain"] - drift, owner, len(texts)) for y in CLASSES[:2]]
-    score = np.stack([f[0] for f in found])
-    k = score.argmax(axis=0)
-    at = np.arange(len(texts))
-    length = np.stack([f[2] - f[1] + 1 for f in found])[k, at]
-    return score[k, at], k, length
+    out = []
+    for lo, hi in pieces(texts):
+        c, owner = coded(texts[lo:hi], model.order)
+        p = model.log_probs(c)
+        found = [best_windows(p[y] - p["plain"] - drift, owner, hi - lo) for y in CLASSES[:2]]
+        score = np.stack([f[0] for f in found])
+        k, at = score.argmax(axis=0), np.arange(hi - lo)
+        out.append((score[k, at], k, np.stack([f[2] - f[1] + 1 for f in found])[k, at]))
+    return tuple(np.concatenate([x[i] for x in out]) for i in range(3))
 
 
-def learn(texts: DataFrame, text: Column, max_texts: int = 12_000, max_chars: int = 1_500_000, often: float = 1 / 5000) -> list[tuple[str, int]]:
+def learn(texts: DataFrame, text: Column, max_texts: int = 12_000, max_chars: int = 700_000, often: float = 1 / 5000) -> list[tuple[str, int]]:
     """Natural wording to fit on, with its frequency: distinct texts, numbers aside, as the bounded sample of the classifier.
 
     What makes up at least ``often`` of all texts comes first (there can be no more than 1 / ``often``
     such texts), then others by hash, up to ``max_texts`` texts and ``max_chars`` characters.
     """
     t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"\d[\d.,]*", "0"), r"\s+", " "))
-    counts = cut_lineage(texts.select(t.alias("t")).where(f"t <> '' and length(t) < {max_chars // 100}").groupBy("t").agg(F.count("*").alias("n")))
+    counts = cut_lineage(texts.select(t.alias("t")).where(f"t <> '' and length(t) < {max_chars // 50}").groupBy("t").agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
     rows = counts.orderBy(F.col("n") < max(5, total * often), F.xxhash64("t")).limit(max_texts)
     out, size = [], 0
