@@ -42,9 +42,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over the cores before per-row Python work, if the scan alone doesn't.
+    """Spread rows over the cores before per-row Python work, if the plan alone wouldn't.
 
-    A scan that already gives every core a partition is left as it is, so nothing is shuffled at scale.
+    A scan that already gives every core a partition is left as it is, and so is what comes out of a
+    shuffle large enough to be cut into a piece for every core; nothing is moved twice at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores * 3)
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if any(x in plan.toString() for x in ("Join", "Aggregate", "Window", "Repartition", "Distinct", "Sort")):
+        if int(plan.stats().sizeInBytes()) > cores * (64 << 20):
+            return df
+    elif df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 3)
