@@ -24,6 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 from wattlake.session import cut_lineage
 
 
+#: Most kinds of containers that one call packs for.
+MOST_KINDS = 100
+
+
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """The container number of each item, in the order given; sizes from 1 to ``capacity``."""
     counts = np.zeros(capacity + 1, dtype=np.int64)
@@ -67,8 +71,12 @@ def pack(items: DataFrame, id_: str, size: str, containers: DataFrame, container
     shards = max(1, math.ceil(n / shard_items))
     kind = items.schema["__id"].dataType.simpleString()
     kinds = containers.select(F.col(container).alias("container"), F.col(capacity).cast("bigint").alias("cap")).where("container is not null and cap > 0").distinct()
-    # containers is a dimension of a few kinds: each item is repeated once a kind
-    both = items.withColumn("shard", F.pmod(F.xxhash64("__id"), F.lit(shards)).cast("int")).join(F.broadcast(kinds))
+    # kinds are a configuration of a few rows, which is checked: each item is repeated once a kind
+    known = kinds.limit(MOST_KINDS + 1).collect()
+    if len(known) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
+    each = F.array(*[F.struct(F.lit(r["container"]).alias("container"), F.lit(r["cap"]).alias("cap")) for r in known]) if known else F.array().cast("array<struct<container:string,cap:bigint>>")
+    both = items.withColumn("shard", F.pmod(F.xxhash64("__id"), F.lit(shards)).cast("int")).withColumn("k", F.explode(each)).select("*", "k.*").drop("k")
 
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         name, shard = key
