@@ -128,6 +128,9 @@ DRIFT = 0.3
 THRESHOLD = 14.0
 #: A lower ratio is enough where the residue covers the text to this share.
 WHOLE, COVERAGE = 9.0, 0.5
+#: So is one from here on, if a value that programs write for a missing one stands in the text in its exact spelling.
+WEAK = 4.0
+DUMMY = re.compile(r"(?<![\w])(?:NaN|undefined|null|\[object Object\])(?![\w])")
 
 
 def stretches(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +168,10 @@ def learn(texts: DataFrame, text: Column, max_texts: int = 12_000, max_chars: in
 
 
 def score(df: DataFrame, keys: tuple[str, ...], text: str, model: KneserNey) -> DataFrame:
-    """(*keys, residue, kind, coverage, found) of each row with a text."""
+    """(*keys, residue, kind, coverage, found) of each row with a text.
+
+    A weaker stretch counts too if the text holds a dummy value in its exact spelling.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
     d = spread(df.where(F.col(text).isNotNull()).select(*keys, F.col(text).cast("string").alias("__text")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields[:-1])
@@ -173,14 +179,16 @@ def score(df: DataFrame, keys: tuple[str, ...], text: str, model: KneserNey) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            folded = [f"{fold(t)} " for t in b.column(b.num_columns - 1).to_pylist()]
+            raw = b.column(b.num_columns - 1).to_pylist()
+            folded = [f"{fold(t)} " for t in raw]
             lo, size = 0, 0
             for i in range(len(folded) + 1):
                 if i == len(folded) or size > 150_000:
                     part = folded[lo:i]
                     r, k, n = stretches(m, part)
                     cover = np.minimum(n / np.array([max(len(x) - 1, 1) for x in part]), 1.0)
-                    found = (r >= THRESHOLD) | ((r >= WHOLE) & (cover >= COVERAGE))
+                    dummy = np.array([bool(DUMMY.search(x)) for x in raw[lo:i]], bool)
+                    found = (r >= THRESHOLD) | (dummy & (r >= WEAK)) | ((r >= WHOLE) & (cover >= COVERAGE))
                     yield pa.RecordBatch.from_arrays(
                         [*(c.slice(lo, i - lo) for c in b.columns[:-1]), pa.array(r), pa.array([CLASSES[x] for x in k]), pa.array(cover), pa.array(found)],
                         [*b.schema.names[:-1], "residue", "kind", "coverage", "found"],
