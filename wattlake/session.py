@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +25,26 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, app: str = "watt
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once an application: functions that run in their Python workers import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="wattlake-ship-")) / "wattlake_package.zip"  # Spark's file server hands it out
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f"{here.name}/{f.relative_to(here)}")
+    sc.addPyFile(str(path))
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` under ``sf_dir`` (a file or a directory of part files)."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
