@@ -10,8 +10,8 @@ heading right before them, lead elsewhere. Text shows no structure, so its lines
 their hashes have in HTML; furniture is cut off before the title and after the body, and blocks of
 links are cut out. A paragraph that recurs inside the body stays.
 
-Nulls: null, empty and JSON responses have no lines; a null host counts no recurrences. Of repeated
-rows of one id the first by text is read. Pages may be of any length.
+Nulls: null, empty and JSON responses have no lines; a null host counts no recurrences. Of one id
+with several pages each is read. Pages may be of any length.
 """
 
 from __future__ import annotations
@@ -279,22 +279,27 @@ def host_of(url: Column, other: Column) -> Column:
     return F.when(h != "", h)
 
 
-LINE_SCHEMA = "pid bigint, host string, is_html boolean, line_no int, role string, h bigint, h_first bigint, h_last bigint"
+LINE_SCHEMA = "pid bigint, id string, host string, line_no int, role string, h bigint, h_first bigint, h_last bigint, text string"
+#: A page with such an element shows its structure.
+HEADED = r"(?i)<h1[\s>]"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line with its hashes; in pages that show their structure also its part, and the text if that is the body."""
+    names = [c.split()[0] for c in LINE_SCHEMA.split(", ")]
+    types = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
     for b in batches:
-        cols: list[list] = [[] for _ in range(8)]
-        for pid, raw, host, org in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        cols: list[list] = [[] for _ in names]
+        for pid, key, raw, host, org in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if is_json(raw):
                 continue
             is_html, lines = page_lines(raw, notices=True)
-            roles = html_roles(lines) if is_html and any(x.tag == "h1" for x in lines) else [None] * len(lines)
+            headed = is_html and re.search(HEADED, raw)
+            roles = html_roles(lines) if headed else [None] * len(lines)
             for x, r in zip(lines, roles, strict=True):
-                for c, v in zip(cols, (pid, host, is_html, x.no, r, *hashes(x.text, org or "")), strict=True):
+                body = headed and r not in ("furniture", "side", "link")
+                for c, v in zip(cols, (pid, key if body else None, host, x.no, r, *hashes(x.text, org or ""), x.text if body else None), strict=True):
                     c.append(v)
-        types = (pa.int64(), pa.string(), pa.bool_(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64())
-        names = [c.split()[0] for c in LINE_SCHEMA.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
 
@@ -305,15 +310,13 @@ def _salted(big: DataFrame, small: DataFrame, keys: list[str], n: int = 16) -> D
 
 
 def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation: str, least: int = 3, pure: float = 0.97) -> DataFrame:
-    """(id, line_no, text) of the lines of each page's main body."""
+    """(id, line_no, text) of the lines of each page's main body; the lines of a repeated row come as often as it does."""
     src = (
         pages.select(F.col(id_).cast("string").alias("id"), F.col(raw).alias("raw"), host.alias("host"), F.lower(F.trim(F.col(organisation))).alias("org"))
         .where("id is not null and raw is not null and raw <> ''")
-        .groupBy("id")
-        .agg(F.min_by(F.struct("raw", "host", "org"), F.xxhash64("raw")).alias("p"))
-        .select(F.xxhash64("id").alias("pid"), "id", "p.*")
+        .select(F.xxhash64("id", "raw").alias("pid"), "*")
     )
-    lines = cut_lineage(spread(src.select("pid", "raw", "host", "org")).mapInArrow(_parse, LINE_SCHEMA))
+    lines = cut_lineage(spread(src.select("pid", "id", "raw", "host", "org")).mapInArrow(_parse, LINE_SCHEMA))
 
     tally = [F.count_if(F.col("role") == r).alias(r) for r in ROLES]
     known = lines.where("role is not null")
@@ -326,16 +329,17 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
     recurs = once.groupBy("host", "h").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= PAGES).join(sizes, "host")
     recurs = recurs.where(F.col("on_pages") >= SHARE * F.col("host_pages")).select("host", "h", "on_pages", (F.col("on_pages") / F.col("host_pages")).alias("share"))
 
-    x = _salted(lines.select("pid", "host", "line_no", "h", "h_first", "h_last"), whole, ["h"])
-    x = _salted(x, ends.withColumnsRenamed({"h": "h_first", "end": "end_first"}), ["h_first"])
-    x = _salted(x, ends.withColumnsRenamed({"h": "h_last", "end": "end_last"}), ["h_last"])
-    x = _salted(x, recurs, ["host", "h"])
-    hint = F.struct(
-        "line_no", F.when(F.col(ROLES[0]).isNotNull(), F.array(*ROLES)).alias("tally"), F.coalesce("end_first", "end_last", F.lit("")).alias("ends"),
-        F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("on_pages", F.lit(0)).cast("int").alias("pages"),
-    )
-    hints = x.groupBy("pid").agg(F.collect_list(hint).alias("hints"))  # as many as the page has lines
-    return src.select("pid", "id", "raw").join(hints, "pid").select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string")
+    # only lines of pages without structure need what the counts say, and of them only those whose text is unknown need more than that
+    x = _salted(lines.where("role is null").select("pid", "host", "line_no", "h", "h_first", "h_last"), whole, ["h"])
+    x = cut_lineage(x.select("pid", "host", "line_no", "h", "h_first", "h_last", F.when(F.col(ROLES[0]).isNotNull(), F.array(*ROLES)).alias("tally")))
+    y = _salted(x.where("tally is null").drop("tally"), ends.withColumnsRenamed({"h": "h_first", "end": "end_first"}), ["h_first"])
+    y = _salted(y, ends.withColumnsRenamed({"h": "h_last", "end": "end_last"}), ["h_last"])
+    y = _salted(y, recurs, ["host", "h"])
+    known = x.where("tally is not null").select("pid", "line_no", "tally", F.lit("").alias("ends"), F.lit(0.0).alias("share"), F.lit(0).alias("pages"))
+    other = y.select("pid", "line_no", F.lit(None).cast(x.schema["tally"].dataType).alias("tally"), F.coalesce("end_first", "end_last", F.lit("")).alias("ends"), F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("on_pages", F.lit(0)).cast("int").alias("pages"))
+    hints = known.unionByName(other).groupBy("pid").agg(F.collect_list(F.struct("line_no", "tally", "ends", "share", "pages")).alias("hints"))  # as many as the page has lines
+    plain = src.where(~F.col("raw").rlike(HEADED)).select("pid", "id", "raw").join(hints, "pid").select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string")
+    return lines.where("text is not null").select("id", "line_no", "text").unionByName(plain)
 
 
 def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

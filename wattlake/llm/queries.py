@@ -51,18 +51,18 @@ def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of each page that show its main body, without pages that hold residue."""
     body = cut_lineage(_body(spark, sf_dir))
-    bad = _residue(spark, sf_dir, cut_lineage(_texts(spark, sf_dir, body))).where("found and table_name = 'incentive'").select(F.col("record_key").alias("id")).distinct()
-    return body.join(bad, "id", "left_anti").select(F.col("id").alias("incentive_id"), "line_no")
+    bad = _residue(spark, sf_dir, _texts(spark, sf_dir, body)).where("found and table_name = 'incentive'").select(F.col("record_key").alias("id")).distinct()
+    return body.select("id", "line_no").distinct().join(bad, "id", "left_anti").select(F.col("id").alias("incentive_id"), "line_no")
 
 
 def p1_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of the main body of each page, line by line."""
-    return _body(spark, sf_dir).withColumnRenamed("id", "incentive_id")
+    return _body(spark, sf_dir).withColumnRenamed("id", "incentive_id").dropDuplicates(["incentive_id", "line_no"])
 
 
 def p2_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each record the surest residue in it: ratio, kind and coverage."""
-    s = _residue(spark, sf_dir, cut_lineage(_texts(spark, sf_dir, _body(spark, sf_dir))))
+    s = _residue(spark, sf_dir, _texts(spark, sf_dir, cut_lineage(_body(spark, sf_dir))))
     return s.groupBy("table_name", "record_key").agg(F.max("residue").alias("residue"), F.max_by("kind", "residue").alias("kind"), F.max_by("coverage", "residue").alias("coverage"), F.bool_or("found").alias("found"))
 
 

@@ -155,15 +155,17 @@ def learn(texts: DataFrame, text: Column, max_texts: int = 12_000, max_chars: in
     such texts), then others by hash, up to ``max_texts`` texts and ``max_chars`` characters.
     """
     t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"\d[\d.,]*", "0"), r"\s+", " "))
-    counts = cut_lineage(texts.select(t.alias("t")).where(f"t <> '' and length(t) < {max_chars // 50}").groupBy("t").agg(F.count("*").alias("n")))
+    rows = texts.select(t.alias("t")).where(f"t <> '' and length(t) < {max_chars // 50}").select("t", F.xxhash64("t").alias("h"))
+    counts = cut_lineage(rows.groupBy("h").agg(F.count("*").alias("n")))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.orderBy(F.col("n") < max(5, total * often), F.xxhash64("t")).limit(max_texts)
+    chosen = cut_lineage(counts.orderBy(F.col("n") < max(5, total * often), "h").limit(max_texts))
+    got = rows.join(F.broadcast(chosen), "h").groupBy("h", "n").agg(F.min("t").alias("t"))
     out, size = [], 0
-    for r in rows.collect():
-        size += len(r[0])
+    for r in sorted(got.collect(), key=lambda r: (r["n"] < max(5, total * often), r["h"])):
+        size += len(r["t"])
         if size > max_chars:
             break
-        out.append((r[0], r[1]))
+        out.append((r["t"], r["n"]))
     return out
 
 
