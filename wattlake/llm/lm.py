@@ -171,11 +171,11 @@ def best_windows(gain: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarra
     drop = 1e6
     low = np.minimum.accumulate(prev - which * drop) + which * drop
     gainful = s - low
-    best, at, frm = np.zeros(n), np.full(n, -1), np.full(n, -1)
-    order = np.lexsort((-gainful, which))
-    w, first = np.unique(which[order], return_index=True)
-    best[w], at[w] = gainful[order][first], order[first]
+    starts = np.searchsorted(which, np.arange(n))
+    best = np.maximum.reduceat(gainful, starts)
+    hits = np.flatnonzero(gainful == best[which])
+    _, first = np.unique(which[hits], return_index=True)
+    at = hits[first]
     # the window begins behind the last position where the running sum was lowest
     low_at = np.maximum.accumulate(np.where(prev - which * drop <= low - which * drop + 1e-9, np.arange(len(s)), 0))
-    frm[w] = low_at[at[w]]
-    return best, frm, at
+    return best, low_at[at], at

@@ -34,11 +34,11 @@ def _texts(spark: SparkSession, sf_dir: str, body: DataFrame) -> DataFrame:
     return out.where("record_key is not null and trim(text) <> ''")
 
 
-def _residue(spark: SparkSession, sf_dir: str, texts: DataFrame) -> DataFrame:
+def _residue(texts: DataFrame, wanted: str = "true") -> DataFrame:
     # names and bodies are learned apart, so that neither crowds out the other in the sample
-    names = residue.learn(texts.where("length(text) < 120"), F.col("text"))
+    short = residue.learn(texts.where("length(text) < 120"), F.col("text"))
     lines = residue.learn(texts.where("length(text) >= 120"), F.col("text"), max_texts=6_000)
-    return residue.score(texts, ("table_name", "record_key"), "text", residue.fit(names + lines))
+    return residue.score(texts.where(wanted), ("table_name", "record_key"), "text", residue.fit(short + lines))
 
 
 def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of each page that show its main body, without pages that hold residue."""
     body = cut_lineage(_body(spark, sf_dir))
-    bad = _residue(spark, sf_dir, _texts(spark, sf_dir, body)).where("found and table_name = 'incentive'").select(F.col("record_key").alias("id")).distinct()
+    bad = _residue(_texts(spark, sf_dir, body), "table_name = 'incentive'").where("found").select(F.col("record_key").alias("id")).distinct()
     return body.select("id", "line_no").distinct().join(bad, "id", "left_anti").select(F.col("id").alias("incentive_id"), "line_no")
 
 
@@ -62,7 +62,7 @@ def p1_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each record the surest residue in it: ratio, kind and coverage."""
-    s = _residue(spark, sf_dir, _texts(spark, sf_dir, cut_lineage(_body(spark, sf_dir))))
+    s = _residue(_texts(spark, sf_dir, cut_lineage(_body(spark, sf_dir))))
     return s.groupBy("table_name", "record_key").agg(F.max("residue").alias("residue"), F.max_by("kind", "residue").alias("kind"), F.max_by("coverage", "residue").alias("coverage"), F.bool_or("found").alias("found"))
 
 
