@@ -276,7 +276,6 @@ def url_filter(spark, d):
     return table(spark, d, "rebates_staging").select(F.col("program_url").alias("url")).where(urls.keep_url(F.col("program_url"), ["county", "login"], ["rebates", "offers"], 2)).distinct()
 
 
-_AMT = "CASE WHEN a <> 0 THEN '{0}' "
 PARSE_SQL = r"""x AS (SELECT doc_id, t, coalesce(try_cast(replace(regexp_extract(t, '\$([0-9]+(?:\.[0-9]+)?)\s*/\s*(?:k[Ww][Hh])', 1), ',', '') AS DOUBLE),0) AS a, coalesce(try_cast(replace(regexp_extract(t, '(?i)up\s+to\s+\$([0-9,]+(?:\.[0-9]+)?)', 1), ',', '') AS DOUBLE),0) AS b,
  coalesce(try_cast(replace(regexp_extract(t, '\$([0-9,]+(?:\.[0-9]+)?)', 1), ',', '') AS DOUBLE),0) AS c, coalesce(try_cast(regexp_extract(t, '([0-9]+(?:\.[0-9]+)?)\s*%', 1) AS DOUBLE),0) AS p FROM d)"""
 
@@ -371,6 +370,16 @@ def backfill_links(spark, d):
     return s.select("source", F.explode(F.concat(F.coalesce("zip_codes", F.array().cast("array<string>")), F.array("zip_code"))).alias("zip")).where("zip <> ''").distinct()
 
 
+DIFF_SQL = LIVE_SQL + f""", i AS (SELECT program_hash AS h, administrator AS a1, maximum_amount AS m1, contractor_required AS c1, category_tag AS t1, row_number() OVER (PARTITION BY program_hash ORDER BY updated_at DESC, id) AS n FROM incentive WHERE program_hash IS NOT NULL),
+ g AS (SELECT {HASH_SQL} AS h, administrator AS a2, maximum_amount AS m2, contractor_required AS c2, category_tag AS t2, row_number() OVER (PARTITION BY {HASH_SQL} ORDER BY r, id) AS n FROM s),
+ p AS (SELECT i.h, lower(trim(coalesce(a1,''))) AS x, lower(trim(coalesce(a2,''))) AS y, coalesce(m1,0) AS m1, coalesce(m2,0) AS m2, c1, c2, list_distinct(list_transform(coalesce(t1,[]), lambda x: lower(trim(x)))) AS l1, list_distinct(list_transform(coalesce(t2,[]), lambda x: lower(trim(x)))) AS l2 FROM i JOIN g ON i.h = g.h AND i.n = 1 AND g.n = 1),
+ q AS (SELECT *, CASE WHEN len(list_distinct(list_concat(l1,l2))) > 0 THEN len(list_intersect(l1,l2))::DOUBLE / len(list_distinct(list_concat(l1,l2))) END AS j FROM p),
+ d AS (SELECT h, 'administrator' AS field, CASE WHEN x='' AND y='' THEN 'empty' WHEN x='' THEN 'missing' WHEN y='' THEN 'extra' WHEN x=y THEN 'match' WHEN contains(x,y) OR contains(y,x) THEN 'partial' ELSE 'mismatch' END AS status, 1.0::DOUBLE AS weight FROM q
+ UNION ALL SELECT h, 'maximum', CASE WHEN m1=0 AND m2=0 THEN 'empty' WHEN m1=0 THEN 'missing' WHEN m2=0 THEN 'extra' WHEN abs(m1-m2)/greatest(abs(m2),0.01) < 0.05 THEN 'match' ELSE 'mismatch' END, 2.0 FROM q
+ UNION ALL SELECT h, 'contractor', CASE WHEN c1 IS NULL AND c2 IS NULL THEN 'empty' WHEN c1 IS NULL THEN 'missing' WHEN c2 IS NULL THEN 'extra' WHEN c1=c2 THEN 'match' ELSE 'mismatch' END, 0.5 FROM q
+ UNION ALL SELECT h, 'tags', CASE WHEN len(l1)=0 AND len(l2)=0 THEN 'empty' WHEN len(l1)=0 THEN 'missing' WHEN len(l2)=0 THEN 'extra' WHEN j>=0.8 THEN 'match' WHEN j>=0.3 THEN 'partial' ELSE 'missing' END, 1.5 FROM q)"""
+
+
 def _diff(spark, d):
     inc = staging.keep_first(table(spark, d, "incentive").where("program_hash is not null").withColumn("u", -F.unix_micros("updated_at")), ["program_hash"], ["u", "id"])
     stg = staging.keep_first(_staged(spark, d).withColumn("h", program_hash("program_name", "utility_company")), ["h"], ["r", "id"])
@@ -381,17 +390,17 @@ def _diff(spark, d):
     return compare.melt(p, "h", {"administrator": (compare.compare_texts(c("a1"), c("a2")), 1.0), "maximum": (compare.compare_numbers(c("m1"), c("m2")), 2.0), "contractor": (compare.compare_flags(c("c1"), c("c2")), 0.5), "tags": (compare.compare_lists(c("t1"), c("t2")), 1.5)})
 
 
-@query()
+@query(DIFF_SQL + " SELECT * FROM d")
 def field_status(spark, d):
     return _diff(spark, d)
 
 
-@query()
+@query(DIFF_SQL + " SELECT h, CASE WHEN sum(CASE WHEN status<>'empty' THEN weight ELSE 0 END) > 0 THEN sum(CASE status WHEN 'match' THEN weight WHEN 'partial' THEN weight/2 ELSE 0 END) / sum(CASE WHEN status<>'empty' THEN weight ELSE 0 END) ELSE 0 END AS score FROM d GROUP BY h")
 def overall_score(spark, d):
     return compare.overall(_diff(spark, d), "h")
 
 
-@query()
+@query(DIFF_SQL + " SELECT field, count(*)::BIGINT AS n FROM d WHERE status IN ('missing','mismatch') GROUP BY field")
 def gap_counts(spark, d):
     return compare.gaps(_diff(spark, d))
 
