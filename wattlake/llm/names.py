@@ -192,7 +192,8 @@ def similar(propers: DataFrame) -> DataFrame:
             yield out[out["distance"] <= (short >= 8).map({True: 2, False: 1})]
 
     e = propers.select("proper").distinct().mapInPandas(index, "proper string, entry string").select("proper", F.xxhash64("entry").alias("e"))
-    pairs = e.alias("x").join(e.alias("y"), F.expr("x.e = y.e and x.proper <> y.proper")).select(F.col("x.proper").alias("a"), F.col("y.proper").alias("b")).distinct()
+    # the index is larger than what it is made from, so the planner's guess of its size must not make it a broadcast
+    pairs = e.alias("x").join(e.alias("y").hint("merge"), F.expr("x.e = y.e and x.proper <> y.proper")).select(F.col("x.proper").alias("a"), F.col("y.proper").alias("b")).distinct()
     return pairs.mapInPandas(compare, "a string, b string, distance int")
 
 

@@ -110,4 +110,4 @@ def fill_report(pieces: DataFrame, containers: DataFrame, container: str = "cont
     kinds = containers.select(F.col(container).alias("container"), F.col(capacity).alias("capacity")).distinct()
     by_bin = pieces.groupBy("container", "bin").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     r = by_bin.groupBy("container").agg(F.count("*").alias("bins"), F.sum("n").alias("pieces"), F.sum("size").alias("size"))
-    return r.join(F.broadcast(kinds), "container").select("container", "capacity", "bins", "pieces", (F.col("size") / (F.col("bins") * F.col("capacity"))).alias("filled"))
+    return r.join(kinds, "container").select("container", "capacity", "bins", "pieces", (F.col("size") / (F.col("bins") * F.col("capacity"))).alias("filled"))
