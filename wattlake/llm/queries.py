@@ -21,11 +21,11 @@ JSON_START = r"^[\s\x{FEFF}]*(?:\{(?!\{)|\[(?!\[)(?![A-Za-z]))"
 def _texts(spark: SparkSession, sf_dir: str, body: DataFrame) -> DataFrame:
     """(table_name, record_key, text): whatever may hold residue."""
     inc, stg = table(spark, sf_dir, "incentive"), table(spark, sf_dir, "rebates_staging")
-    json_rows = inc.where(F.col("raw_response").rlike(JSON_START)).select("id", "raw_response").distinct()
+    json_rows = inc.where(F.col("raw_response").rlike(JSON_START)).select("id", "raw_response")
     parts = [
         stg.select(F.lit("rebates_staging").alias("table_name"), F.col("id").cast("string").alias("record_key"), F.col("program_name").alias("text")),
         inc.select(F.lit("incentive").alias("table_name"), F.col("id").alias("record_key"), F.col("program_name").alias("text")),
-        residue.json_leaves(json_rows, "id", "raw_response").select(F.lit("incentive").alias("table_name"), F.col("id").alias("record_key"), "text"),
+        cut_lineage(residue.json_leaves(json_rows, "id", "raw_response")).select(F.lit("incentive").alias("table_name"), F.col("id").alias("record_key"), "text"),
         body.select(F.lit("incentive").alias("table_name"), F.col("id").alias("record_key"), "text"),
     ]
     out = parts[0]
@@ -35,10 +35,8 @@ def _texts(spark: SparkSession, sf_dir: str, body: DataFrame) -> DataFrame:
 
 
 def _residue(texts: DataFrame, wanted: str = "true") -> DataFrame:
-    # names and bodies are learned apart, so that neither crowds out the other in the sample
-    short = residue.learn(texts.where("length(text) < 120"), F.col("text"))
-    lines = residue.learn(texts.where("length(text) >= 120"), F.col("text"), max_texts=6_000)
-    return residue.score(texts.where(wanted), ("table_name", "record_key"), "text", residue.fit(short + lines))
+    model = residue.fit(residue.learn(texts, F.col("text")))
+    return residue.score(texts.where(wanted), ("table_name", "record_key"), "text", model)
 
 
 def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:

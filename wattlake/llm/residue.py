@@ -148,24 +148,27 @@ def stretches(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple
     return tuple(np.concatenate([x[i] for x in out]) for i in range(3))
 
 
-def learn(texts: DataFrame, text: Column, max_texts: int = 12_000, max_chars: int = 700_000, often: float = 1 / 5000) -> list[tuple[str, int]]:
+def learn(texts: DataFrame, text: Column, max_texts: int = 12_000, max_long: int = 6_000, long: int = 120, max_chars: int = 700_000, often: float = 1 / 5000) -> list[tuple[str, int]]:
     """Natural wording to fit on, with its frequency: distinct texts, numbers aside, as the bounded sample of the classifier.
 
-    What makes up at least ``often`` of all texts comes first (there can be no more than 1 / ``often``
-    such texts), then others by hash, up to ``max_texts`` texts and ``max_chars`` characters.
+    Short and ``long`` texts are chosen apart, so that neither crowds out the other: what makes up at
+    least ``often`` of them comes first (there can be no more than 1 / ``often`` such texts), then
+    others by hash, up to ``max_texts`` and ``max_long`` texts and ``max_chars`` characters each.
     """
     t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"\d[\d.,]*", "0"), r"\s+", " "))
-    rows = texts.select(t.alias("t")).where(f"t <> '' and length(t) < {max_chars // 50}").select("t", F.xxhash64("t").alias("h"))
-    counts = cut_lineage(rows.groupBy("h").agg(F.count("*").alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    chosen = cut_lineage(counts.orderBy(F.col("n") < max(5, total * often), "h").limit(max_texts))
-    got = rows.join(F.broadcast(chosen), "h").groupBy("h", "n").agg(F.min("t").alias("t"))
-    out, size = [], 0
-    for r in sorted(got.collect(), key=lambda r: (r["n"] < max(5, total * often), r["h"])):
-        size += len(r["t"])
-        if size > max_chars:
-            break
-        out.append((r["t"], r["n"]))
+    rows = texts.select(t.alias("t")).where(f"t <> '' and length(t) < {max_chars // 50}").select("t", F.xxhash64("t").alias("h"), (F.length("t") >= long).alias("l"))
+    counts = cut_lineage(rows.groupBy("h", "l").agg(F.count("*").alias("n")))
+    total = {r["l"]: r["n"] for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
+    rare = F.col("n") < F.when(F.col("l"), max(5, total.get(True, 0) * often)).otherwise(max(5, total.get(False, 0) * often))
+    counts = counts.withColumn("rare", rare)
+    chosen = [counts.where(F.col("l") == is_long).orderBy("rare", "h").limit(most) for is_long, most in ((False, max_texts), (True, max_long))]
+    chosen = cut_lineage(chosen[0].unionByName(chosen[1]))
+    got = rows.join(F.broadcast(chosen.select("h", "n", "rare")), "h").groupBy("l", "h", "n", "rare").agg(F.min("t").alias("t"))
+    out, size = [], {True: 0, False: 0}
+    for r in sorted(got.collect(), key=lambda r: (r["l"], r["rare"], r["h"])):
+        size[r["l"]] += len(r["t"])
+        if size[r["l"]] <= max_chars:
+            out.append((r["t"], r["n"]))
     return out
 
 
