@@ -4,7 +4,8 @@ Each class has its own counts from order ``own`` upwards; the orders below are s
 so an expression that one class has never seen falls back to the same estimate as in the others.
 Counts below the highest order are continuation counts, as in interpolated Kneser-Ney. A table is an
 array of counts addressed by a hash of the n-gram; its size is fixed by ``bits``, so a model has a
-bounded size whatever it was fitted on.
+bounded size whatever it was fitted on. The counts of a class that is a whole corpus are made in Spark
+(``corpus_tables``): only the filled places of the tables come to the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+
+from wattlake.session import cut_lineage
 
 DISCOUNT = 0.75
 _PAD = "\x02"
@@ -60,6 +65,112 @@ def pieces(texts: list[str], chars: int = 150_000) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
+#: Bits of a character in a packed n-gram, three of them a word: the newest lowest, up to six characters in two words.
+_BITS = 21
+
+
+def _packed(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The six characters that end at each position, in two words."""
+    words = []
+    for first in (0, 3):
+        w = np.zeros(len(c), np.uint64)
+        for j in range(3):
+            w[first + j :] |= c[: max(len(c) - first - j, 0)] << np.uint64(_BITS * j)
+        words.append(w.astype(np.int64))
+    return words[1], words[0]
+
+
+def _suffix(k: int) -> tuple[Column, Column]:
+    """The last ``k`` characters of packed n-grams."""
+    m = lambda n: F.lit((1 << _BITS * min(max(n, 0), 3)) - 1)
+    return F.col("hi").bitwiseAND(m(k - 3)).alias("hi"), F.col("lo").bitwiseAND(m(k)).alias("lo")
+
+
+def _hash(chars: list[np.ndarray], n: int) -> np.ndarray:
+    """The hash of ``grams`` from characters, newest first."""
+    h = np.full(n, 7, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for x in chars:
+            h = (h ^ (x + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(31)
+    return h
+
+
+def corpus_tables(corpus: DataFrame, others: list[str], order: int, own: int, bits: int) -> tuple[list[tuple[np.ndarray, ...]], float] | None:
+    """The tables of orders 1 to ``order`` and the number of characters, as ``KneserNey.fit`` has them, counted in Spark over all of ``corpus`` (t, n: a text and how often it counts).
+
+    The orders below ``own`` are shared with the texts ``others`` of the other classes. The n-grams
+    stay distributed; what is collected is bounded by ``bits``. None if there is no text.
+    """
+    assert 1 < own < order <= 6
+    spark = corpus.sparkSession
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, times = b.column(0).to_pylist(), np.asarray(b.column(1).to_pylist(), np.int64)
+            for lo_, hi_ in pieces(texts):
+                c, owner = coded(texts[lo_:hi_], order)
+                at = owner >= 0
+                hi, lo = (x[at] for x in _packed(c))
+                if order < 6:
+                    hi = hi & ((1 << _BITS * max(order - 3, 0)) - 1)
+                    lo = lo & ((1 << _BITS * min(order, 3)) - 1)
+                n = times[lo_:hi_][owner[at]]
+                by = np.lexsort((lo, hi))
+                hi, lo, n = hi[by], lo[by], n[by]
+                first = np.flatnonzero(np.concatenate([[True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])])) if len(hi) else np.zeros(0, int)
+                if len(first):
+                    yield pa.RecordBatch.from_arrays([pa.array(hi[first]), pa.array(lo[first]), pa.array(np.add.reduceat(n, first))], ["hi", "lo", "n"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mask, m = np.uint64((1 << bits) - 1), np.int64((1 << _BITS) - 1)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ks, his, los, ns = (x.to_numpy(zero_copy_only=False) for x in b.columns)
+            at, by = [], []
+            for k in np.unique(ks):
+                hi, lo, n = (x[ks == k] for x in (his, los, ns))
+                chars = [(((lo, hi)[j // 3] >> np.int64(_BITS * (j % 3))) & m).astype(np.uint64) for j in range(k)]
+                gram, context = ((_hash(x, len(n)) & mask).astype(np.int64) for x in (chars, chars[1:]))
+                for kind, (x, w) in enumerate(((gram, n), (context, n), (context, np.ones(len(n))))):
+                    at.append(((int(k) * 3 + kind) << bits) | x)
+                    by.append(w)
+            u, i = np.unique(np.concatenate(at), return_inverse=True)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(np.bincount(i, np.concatenate(by).astype(np.float64)))], ["place", "n"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            place, n = (x.to_numpy(zero_copy_only=False) for x in b.columns)
+            yield pa.RecordBatch.from_arrays([pa.array([place.astype(np.int32).tobytes()]), pa.array([n.astype(np.float32).tobytes()])], ["place", "n"])
+
+    level = cut_lineage(corpus.select("t", "n").mapInArrow(windows, "hi bigint, lo bigint, n bigint").groupBy("hi", "lo").agg(F.sum("n").alias("n")))
+    found = [level.select(F.lit(order).alias("k"), "hi", "lo", "n")]
+    for k in range(order - 1, own - 1, -1):
+        level = level.select(*_suffix(k)).groupBy("hi", "lo").agg(F.count("*").alias("n"))
+        found.append(level.select(F.lit(k).alias("k"), "hi", "lo", "n"))
+    c, owner = coded([t for t in others if t] or [" "], order)
+    seen = sorted({(int(h) & ((1 << _BITS * max(own - 3, 0)) - 1), int(l) & ((1 << _BITS * min(own, 3)) - 1)) for h, l in zip(*(x[owner >= 0] for x in _packed(c)), strict=True)})
+    level = level.select("hi", "lo").unionByName(spark.createDataFrame(seen, "hi bigint, lo bigint")).distinct()
+    for k in range(own - 1, 0, -1):
+        level = level.select(*_suffix(k)).groupBy("hi", "lo").agg(F.count("*").alias("n"))
+        found.append(level.select(F.lit(k).alias("k"), "hi", "lo", "n"))
+    rows = found[0]
+    for x in found[1:]:
+        rows = rows.unionByName(x)
+    filled = rows.mapInArrow(places, "place bigint, n double").groupBy("place").agg(F.sum("n").alias("n"))
+    tables = [tuple(np.zeros(1 << bits, np.float32) for _ in range(3)) for _ in range(order)]
+    for r in filled.mapInArrow(pack, "place binary, n binary").collect():
+        place, n = np.frombuffer(r["place"], np.int32), np.frombuffer(r["n"], np.float32)
+        which = place >> bits
+        for w in np.unique(which):
+            tables[int(w) // 3 - 1][int(w) % 3][place[which == w] & ((1 << bits) - 1)] = n[which == w]
+    if not tables[-1][0].any():
+        return None
+    # the marks before a text are a character too, and so is what was never seen
+    return tables, float(tables[0][2].sum() + 2)
+
+
 class KneserNey:
     """Models of several classes over one hashed space."""
 
@@ -120,8 +231,14 @@ class KneserNey:
             older = context
         return out
 
-    def fit(self, texts: dict[str, Iterable[str]]) -> KneserNey:
-        """From the texts of each class; repeated texts count each."""
+    def fit(self, texts: dict[str, Iterable[str]], corpus: DataFrame | None = None, of: str = "") -> KneserNey:
+        """From the texts of each class; repeated texts count each. Class ``of`` is counted over ``corpus`` instead, if that holds any text."""
+        counted = corpus is not None and corpus_tables(corpus, [t for y in self.classes if y != of for t in texts[y]], self.order, self.own, self.bits)
+        if counted:
+            tables, self.types = counted
+            shared, whole = tables[: self.own - 1], tables[self.own - 1 :]
+            self.tables = {y: shared + (whole if y == of else self._tables([coded([t for t in texts[y] if t] or [" "], self.order)], self.own, self.order)) for y in self.classes}
+            return self
         code = {y: coded([t for t in texts[y] if t] or [" "], self.order) for y in self.classes}
         self.types = float(len(np.unique(np.concatenate([np.unique(c) for c, _ in code.values()]))) + 1)
         shared = self._tables(list(code.values()), 1, self.own - 1) if self.own > 1 else []

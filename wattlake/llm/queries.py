@@ -35,14 +35,14 @@ def _texts(spark: SparkSession, sf_dir: str, body: DataFrame) -> DataFrame:
 
 
 def _residue(texts: DataFrame, wanted: str = "true") -> DataFrame:
-    model = residue.fit(residue.learn(texts, F.col("text")))
+    model = residue.fit_all(texts, F.col("text"))
     return residue.score(texts.where(wanted), ("table_name", "record_key"), "text", model)
 
 
 def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id) of the staged records whose name is residue, for the problems that leave them out."""
     names = table(spark, sf_dir, "rebates_staging").select("id", "program_name").where("trim(program_name) <> ''")
-    found = residue.score(names, ("id",), "program_name", residue.fit(residue.learn(names, F.col("program_name"))))
+    found = residue.score(names, ("id",), "program_name", residue.fit_all(names, F.col("program_name")))
     return found.where("found").select("id")
 
 

@@ -91,14 +91,30 @@ LEAK = 0.3
 MARKED = re.compile(r"\{\{|\}\}|\$\{|<[%?]|\{[a-z_. ]+\}|\[\[|\[(?:insert|your|add) |\[[a-z_. ]{3,}\](?![a-z])|[<\[][^<>\[\]]{1,30} (?:goes )?here[>\]]|%%?[a-z_. ]+%|@@|#[a-z_. ]+#|__[a-z]|«|»|\b(?:null|undefined|nan)\b")
 
 
-def fit(natural: list[tuple[str, int]], rounds: int = 2, order: int = 6, own: int = 2, bits: int = 19) -> KneserNey:
+def seeds() -> tuple[list[str], list[str]]:
+    """The texts that the models of filler and of notices learn from."""
+    return [f"{x} " for x in grammar()] + [f"{x} " for x in FILLER] * 8, [f"{x} " for x in ERRORS] * 8
+
+
+def at_home(model: KneserNey, texts: list[str]) -> np.ndarray:
+    """Whether each folded text bears no mark of a template field and is more at home in natural wording, by joint frequencies."""
+    keep = np.array([not MARKED.search(x) for x in texts])
+    for lo, hi in pieces(texts):
+        c, owner = coded(texts[lo:hi], model.order)
+        size = np.array([len(x) for x in texts[lo:hi]])
+        for y in CLASSES[:2]:
+            r = np.bincount(owner[owner >= 0], model.joint_ratio(c, y, "plain")[owner >= 0], hi - lo)
+            keep[lo:hi] &= r < LEAK * size
+    return keep
+
+
+def fit(natural: list[tuple[str, int]], rounds: int = 2, order: int = 6, own: int = 2, bits: int = 20) -> KneserNey:
     """The models, from natural wording with its frequency; it may hold some residue itself.
 
     First what is more at home in a residue class is kept out, by joint frequencies; then the models
     choose once more for themselves.
     """
-    filler = [f"{x} " for x in grammar()] + [f"{x} " for x in FILLER] * 8
-    error = [f"{x} " for x in ERRORS] * 8
+    filler, error = seeds()
     texts = [f"{fold(x)} " for x, _ in natural]
     times = [max(1, min(int(n), 10)) for _, n in natural]
     keep = np.ones(len(texts), bool)
@@ -109,13 +125,7 @@ def fit(natural: list[tuple[str, int]], rounds: int = 2, order: int = 6, own: in
 
     model = build()
     if texts:
-        keep &= np.array([not MARKED.search(x) for x in texts])
-        for lo, hi in pieces(texts):
-            c, owner = coded(texts[lo:hi], order)
-            size = np.array([len(x) for x in texts[lo:hi]])
-            for y in CLASSES[:2]:
-                r = np.bincount(owner[owner >= 0], model.joint_ratio(c, y, "plain")[owner >= 0], hi - lo)
-                keep[lo:hi] &= r < LEAK * size
+        keep &= at_home(model, texts)
     for _ in range(rounds):
         model = build()
         if texts:
@@ -148,30 +158,48 @@ def stretches(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple
     return tuple(np.concatenate([x[i] for x in out]) for i in range(3))
 
 
-def learn(texts: DataFrame, text: Column, max_texts: int = 12_000, max_long: int = 6_000, long: int = 120, max_chars: int = 700_000, often: float = 1 / 5000) -> list[tuple[str, int]]:
-    """Natural wording to fit on, with its frequency: distinct texts, numbers aside, as the bounded sample of the classifier.
-
-    Short and ``long`` texts are chosen apart, so that neither crowds out the other: what makes up at
-    least ``often`` of them comes first (there can be no more than 1 / ``often`` such texts), then
-    others by hash, up to ``max_texts`` and ``max_long`` texts and ``max_chars`` characters each.
-    """
+def wordings(texts: DataFrame, text: Column, most: int = 10) -> DataFrame:
+    """(t, n): every distinct text, numbers aside, of whatever length, with its frequency (``most`` at most)."""
     t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"\d[\d.,]*", "0"), r"\s+", " "))
-    rows = texts.select(t.alias("t")).where(f"t <> '' and length(t) < {max_chars // 50}").select("t", F.xxhash64("t").alias("h"), (F.length("t") >= long).alias("l"))
-    counts = cut_lineage(rows.groupBy("h", "l").agg(F.count("*").alias("n")))
-    total = {r["l"]: r["n"] for r in counts.groupBy("l").agg(F.sum("n").alias("n")).collect()}
-    rare = F.col("n") < F.when(F.col("l"), max(5, total.get(True, 0) * often)).otherwise(max(5, total.get(False, 0) * often))
-    counts = counts.withColumn("rare", rare)
-    chosen = [counts.where(F.col("l") == is_long).orderBy("rare", "h").limit(most) for is_long, most in ((False, max_texts), (True, max_long))]
-    chosen = cut_lineage(chosen[0].unionByName(chosen[1]))
-    got = rows.join(F.broadcast(chosen.select("h", "n", "rare")), "h").groupBy("l", "h", "n", "rare").agg(F.min("t").alias("t"))
-    out, size = [], {True: 0, False: 0}
-    for r in sorted(got.collect(), key=lambda r: (r["l"], r["rare"], r["h"])):
-        size[r["l"]] += len(r["t"])
-        if size[r["l"]] <= max_chars:
-            out.append((r["t"], r["n"]))
+    counts = texts.select(t.alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("n"))
+    return counts.select("t", F.least("n", F.lit(most)).cast("bigint").alias("n")).mapInArrow(_folded, "t string, n bigint")
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([f"{fold(x)} " for x in b.column(0).to_pylist()], pa.string()), b.column(1)], ["t", "n"])
+
+
+def _keep(texts: DataFrame, model: KneserNey, joint: bool) -> DataFrame:
+    """The wordings that aren't residue: by marks and joint frequencies if ``joint``, else by what ``stretches`` finds."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in batches:
+            t = b.column(0).to_pylist()
+            if not t:
+                continue
+            yield b.filter(pa.array(at_home(m, t) if joint else stretches(m, t)[0] < THRESHOLD))
+
+    out = cut_lineage(texts.mapInArrow(run, "t string, n bigint"))
+    shared.unpersist()
     return out
 
 
+def fit_all(texts: DataFrame, text: Column, rounds: int = 2, order: int = 6, own: int = 2, bits: int = 20) -> KneserNey:
+    """The models of ``fit``, whose natural wording is counted in Spark over all texts, not over a sample."""
+    filler, error = seeds()
+    rest = cut_lineage(spread(wordings(texts, text)))
+    model = None
+    for i in range(rounds + 1):
+        if model is not None:
+            rest = _keep(rest, model, joint=i == 1)
+            del model
+        model = KneserNey(CLASSES, order, own, bits).fit({"filler": filler, "error": error, "plain": [" "]}, rest, "plain")
+    return model
+
+
 def score(df: DataFrame, keys: tuple[str, ...], text: str, model: KneserNey) -> DataFrame:
     """(*keys, residue, kind, coverage, found) of each row with a text.
 
