@@ -4,9 +4,11 @@ Pages come as HTML or as text taken from HTML. A page is cut into its leaf eleme
 is hashed without its digits, attributes and link targets, and the hashes are counted in Spark: per
 host (on how many of its pages an element stands) and, over all HTML pages, by the part of the page
 it stands in. An element that recurs on most pages of its host is furniture of the site. HTML shows
-the parts by its structure: the body is the container that holds the page's heading (without one, the
-container with the least recurring text), and inside it, lines that are nothing but a link, and the
-heading right before them, lead elsewhere. Text shows no structure, so its lines take the part that
+the parts by its structure: the body is the container that holds the page's heading with what is
+nested in it (without one, the container with the least recurring text). The subtree of each such
+container is hashed too and counted per host: a nested one that recurs is deleted, and where the one
+with the heading recurs it is the site's masthead, so that page is read as if it had no heading.
+Inside the body, lines that are nothing but a link, and the heading right before them, lead elsewhere. Text shows no structure, so its lines take the part that
 their hashes have in HTML; furniture is cut off before the title and after the body, and blocks of
 links are cut out. A paragraph that recurs inside the body stays.
 
@@ -47,6 +49,7 @@ class Line:
     no: int
     text: str = ""
     container: int = -1
+    path: tuple[tuple[int, str], ...] = ()  # the containers it stands in, outermost first, each with its tag
     tag: str = ""
     linked: int = 0  # characters inside links
     shown: int = 0
@@ -110,6 +113,7 @@ class _Parser(HTMLParser):
             x.linked += len(part.strip()) if "a" in tags else 0
             if x.container < 0:
                 x.container = self.stack[-1][1] if self.stack else 0
+                x.path = tuple({b: t for t, b in reversed(self.stack) if b >= 0}.items())[::-1]
             x.tag = x.tag or next((t for t in reversed(tags) if t in BLOCKS), "")
 
 
@@ -157,18 +161,55 @@ def _only_link(x: Line) -> bool:
     return x.linked > 0 and x.linked >= x.shown
 
 
-def html_roles(lines: list[Line], recurring: list[float] | None = None) -> list[str]:
-    """The part each line of an HTML page plays."""
-    main = next((x.container for x in lines if x.tag == "h1"), None)
-    if main is None and lines:
+#: Containers that hold no body, unless the heading stands in them.
+APART = frozenset("header footer nav aside".split())
+
+
+def _weight(x: Line, recurring: float = 0.0) -> float:
+    return 0.0 if _only_link(x) else (1 - recurring) * x.shown * (x.tag in ("p", "h2", "h3", "tr", "td"))
+
+
+def headed_body(lines: list[Line]) -> list[bool] | None:
+    """Which lines stand in the container of the heading or nested in it; None without a heading.
+
+    A container that holds nothing but the heading gives way to the one around it, and at the top of
+    the page to the heaviest one, which the heading joins.
+    """
+    title = next((x for x in lines if x.tag == "h1"), None)
+    if title is None:
+        return None
+    within = [{b for b, _ in x.path} for x in lines]
+    mine = {b for b, _ in title.path}
+
+    def holds(box: int) -> list[bool]:
+        return [box in w and not any(t in APART and b not in mine for b, t in x.path[[b for b, _ in x.path].index(box) + 1 :]) for x, w in zip(lines, within, strict=True)]
+
+    for box, tag in reversed(title.path):
+        at = holds(box)
+        if tag in ("main", "article") or any(k and x.tag != "h1" and not x.notice and not _only_link(x) for x, k in zip(lines, at, strict=True)):
+            return at
+    weight: dict[int, float] = {}
+    for x in lines:
+        if x.path and not any(t in APART for _, t in x.path):
+            weight[x.path[0][0]] = weight.get(x.path[0][0], 0.0) + _weight(x)
+    best = max(sorted(weight), key=lambda c: weight[c], default=-1)
+    if weight.get(best, 0.0) > 0:
+        return [k or x is title for x, k in zip(lines, holds(best), strict=True)]
+    return [x.container == title.container for x in lines]
+
+
+def html_roles(lines: list[Line], recurring: list[float] | None = None, headed: bool = True) -> list[str]:
+    """The part each line of an HTML page plays; the heading tells nothing unless ``headed``."""
+    inside = headed_body(lines) if headed else None
+    if inside is None:
         weight: dict[int, float] = {}
         for i, x in enumerate(lines):
-            own = 0.0 if _only_link(x) else (1 - (recurring[i] if recurring else 0)) * x.shown * (x.tag in ("p", "h2", "h3", "tr", "td"))
-            weight[x.container] = weight.get(x.container, 0.0) + own
-        main = max(sorted(weight), key=lambda c: weight[c])
+            weight[x.container] = weight.get(x.container, 0.0) + _weight(x, recurring[i] if recurring else 0.0)
+        main = max(sorted(weight), key=lambda c: weight[c], default=-1)
+        inside = [x.container == main for x in lines]
     roles = []
     for i, x in enumerate(lines):
-        if x.container != main or x.notice:
+        if not inside[i] or x.notice:
             roles.append("furniture")
         elif _only_link(x):
             roles.append("link")
@@ -176,14 +217,39 @@ def html_roles(lines: list[Line], recurring: list[float] | None = None) -> list[
             roles.append("title")
         elif x.tag in ("h2", "h3", "h4", "h5", "h6"):
             nxt = lines[i + 1] if i + 1 < len(lines) else None
-            roles.append("side" if nxt is not None and nxt.container == main and _only_link(nxt) else "heading")
+            roles.append("side" if nxt is not None and inside[i + 1] and _only_link(nxt) else "heading")
         else:
             roles.append({"li": "item", "dd": "item", "tr": "row", "td": "row", "th": "row"}.get(x.tag, "paragraph"))
     return roles
 
 
-#: Least share of a host's pages, and least pages, that make an element recurring.
+def boxes(lines: list[Line], roles: list[str], whole: list[int]) -> list[tuple[int, bool] | None]:
+    """For each line of the body the hash of the subtree of the container it stands in, by the hashes of its lines, and whether another of the body is around it.
+
+    A container recurs at least as often as the one around it, so the innermost is enough.
+    """
+    under: dict[int, list[int]] = {}
+    for i, x in enumerate(lines):
+        for b, _ in x.path:
+            under.setdefault(b, []).append(i)
+    base = next((x for x in lines if x.tag == "h1"), None)
+    around = {b for b, _ in base.path} if base else set()
+    made: dict[int, int] = {}
+    out: list[tuple[int, bool] | None] = []
+    for x, r in zip(lines, roles, strict=True):
+        if r == "furniture" or not x.path:
+            out.append(None)
+            continue
+        b = x.path[-1][0]
+        if b not in made:
+            made[b] = _h("box", " ".join(f"{lines[i].tag}{whole[i]}" for i in under[b]))
+        out.append((made[b], b not in around))
+    return out
+
+
+#: Least share of a host's pages, and least pages, that make an element recurring; more is asked of the container of the heading.
 SHARE, PAGES = 0.5, 2
+HEAD_SHARE, HEAD_PAGES = 0.7, 4
 
 
 @dataclass
@@ -267,9 +333,9 @@ def text_body(lines: list[Line], hints: list[Hint]) -> list[int]:
     return [lines[i].no for i in out]
 
 
-def html_body(lines: list[Line], hints: list[Hint]) -> list[int]:
+def html_body(lines: list[Line], hints: list[Hint], headed: bool = True) -> list[int]:
     rec = [1.0 if h.ends == "furniture" or max(h.role, key=lambda r: (h.role[r], r), default="") == "furniture" else h.share if h.pages >= PAGES else 0.0 for h in hints]
-    roles = html_roles(lines, rec)
+    roles = html_roles(lines, rec, headed)
     return [x.no for x, r in zip(lines, roles, strict=True) if r not in ("furniture", "side", "link")]
 
 
@@ -279,7 +345,7 @@ def host_of(url: Column, other: Column) -> Column:
     return F.when(h != "", h)
 
 
-LINE_SCHEMA = "pid bigint, id string, host string, line_no int, role string, h bigint, h_first bigint, h_last bigint, text string"
+LINE_SCHEMA = "pid bigint, id string, host string, line_no int, role string, h bigint, h_first bigint, h_last bigint, text string, box bigint, nested boolean"
 #: A page with such an element shows its structure.
 HEADED = r"(?i)<h1[\s>]"
 
@@ -287,7 +353,7 @@ HEADED = r"(?i)<h1[\s>]"
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line with its hashes; in pages that show their structure also its part, and the text if that is the body."""
     names = [c.split()[0] for c in LINE_SCHEMA.split(", ")]
-    types = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+    types = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
     for b in batches:
         cols: list[list] = [[] for _ in names]
         for pid, key, raw, host, org in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -296,9 +362,11 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             is_html, lines = page_lines(raw, notices=True)
             headed = is_html and re.search(HEADED, raw)
             roles = html_roles(lines) if headed else [None] * len(lines)
-            for x, r in zip(lines, roles, strict=True):
+            said = [hashes(x.text, org or "") for x in lines]
+            held = boxes(lines, roles, [h[0] for h in said]) if headed else [None] * len(lines)
+            for x, r, h, at in zip(lines, roles, said, held, strict=True):
                 body = headed and r not in ("furniture", "side", "link")
-                for c, v in zip(cols, (pid, key if body else None, host, x.no, r, *hashes(x.text, org or ""), x.text if body else None), strict=True):
+                for c, v in zip(cols, (pid, key if body else None, host, x.no, r, *h, x.text if body else None, *(at or (None, None))), strict=True):
                     c.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
@@ -309,6 +377,26 @@ def _salted(big: DataFrame, small: DataFrame, keys: list[str], n: int = 16) -> D
     return big.withColumn("__salt", F.pmod(F.col("pid"), F.lit(n)).cast("int")).join(small, [*keys, "__salt"], "left").drop("__salt")
 
 
+def _without_recurring(lines: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The lines without the parts that recurring subtrees took, and the pages (pid), if any, whose heading stands in the site's masthead: their lines have no part yet."""
+    held = lines.where("host is not null and box is not null").groupBy("host", "box", "nested", "pid").agg(F.lit(1).alias("one"))
+    often = held.groupBy("host", "box", "nested").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= F.when(F.col("nested"), PAGES).otherwise(HEAD_PAGES)).join(sizes, "host")
+    often = cut_lineage(often.where(F.col("on_pages") >= F.when(F.col("nested"), SHARE).otherwise(HEAD_SHARE) * F.col("host_pages")).select("host", "box", "nested"))
+    kinds = {r[0] for r in often.select("nested").distinct().collect()}
+    masthead = None
+    if False in kinds:
+        hit = _salted(lines.where("not nested and host is not null"), often.where("not nested").select("host", "box", F.lit(True).alias("hit")), ["host", "box"])
+        masthead = cut_lineage(hit.where("hit").select("pid").distinct())
+        x = lines.join(masthead.withColumn("m", F.lit(True)), "pid", "left")
+        null = {c: F.when(F.col("m").isNull(), F.col(c)) for c in ("id", "role", "text", "box", "nested")}
+        lines = x.withColumns(null).select(*lines.columns)
+    if True in kinds:
+        x = _salted(lines, often.where("nested").select("host", "box", F.lit(True).alias("hit")), ["host", "box"])
+        hit = F.col("hit") & F.col("nested")
+        lines = x.withColumns({"role": F.when(hit, "furniture").otherwise(F.col("role")), "text": F.when(hit.isNull() | ~hit, F.col("text"))}).select(*lines.columns)
+    return (cut_lineage(lines) if kinds else lines), masthead
+
+
 def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation: str, least: int = 3, pure: float = 0.97) -> DataFrame:
     """(id, line_no, text) of the lines of each page's main body; the lines of a repeated row come as often as it does."""
     src = (
@@ -318,13 +406,15 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
     )
     lines = cut_lineage(spread(src.select("pid", "id", "raw", "host", "org")).mapInArrow(_parse, LINE_SCHEMA))
 
+    sizes = lines.where("host is not null").groupBy("host").agg(F.count_distinct("pid").alias("host_pages"))
+    lines, masthead = _without_recurring(lines, sizes)
+
     tally = [F.count_if(F.col("role") == r).alias(r) for r in ROLES]
     known = lines.where("role is not null")
     whole = known.groupBy("h").agg(*tally).where(F.expr("+".join(ROLES)) >= least)
     ends = known.select("role", F.explode(F.array("h_first", "h_last")).alias("h")).where("h <> 0").groupBy("h").agg(*tally).withColumn("n", F.expr("+".join(ROLES)))
     best = F.array_max(F.array(*[F.struct(F.col(r).alias("n"), F.lit(r).alias("role")) for r in ROLES]))
     ends = ends.where(F.col("n") >= 5 * least).withColumn("b", best).where(F.col("b.n") >= pure * F.col("n")).select("h", F.col("b.role").alias("end"))
-    sizes = lines.where("host is not null").groupBy("host").agg(F.count_distinct("pid").alias("host_pages"))
     once = lines.where("host is not null").select("host", "h", "pid").distinct()
     recurs = once.groupBy("host", "h").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= PAGES).join(sizes, "host")
     recurs = recurs.where(F.col("on_pages") >= SHARE * F.col("host_pages")).select("host", "h", "on_pages", (F.col("on_pages") / F.col("host_pages")).alias("share"))
@@ -338,7 +428,9 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
     known = x.where("tally is not null").select("pid", "line_no", "tally", F.lit("").alias("ends"), F.lit(0.0).alias("share"), F.lit(0).alias("pages"))
     other = y.select("pid", "line_no", F.lit(None).cast(x.schema["tally"].dataType).alias("tally"), F.coalesce("end_first", "end_last", F.lit("")).alias("ends"), F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("on_pages", F.lit(0)).cast("int").alias("pages"))
     hints = known.unionByName(other).groupBy("pid").agg(F.collect_list(F.struct("line_no", "tally", "ends", "share", "pages")).alias("hints"))  # as many as the page has lines
-    plain = src.where(~F.col("raw").rlike(HEADED)).select("pid", "id", "raw").join(hints, "pid").select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string")
+    plain = src.select("pid", "id", "raw", (~F.col("raw").rlike(HEADED)).alias("plain"))
+    plain = plain.where("plain") if masthead is None else plain.join(masthead.withColumn("m", F.lit(True)), "pid", "left").where("plain or m").drop("m")
+    plain = plain.join(hints, "pid").select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string")
     return lines.where("text is not null").select("id", "line_no", "text").unionByName(plain)
 
 
@@ -352,7 +444,7 @@ def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x in lines:
                 s = by.get(x.no)
                 hints.append(Hint({r: v for r, v in zip(ROLES, s["tally"], strict=True) if v} if s["tally"] else {}, s["ends"], s["share"], s["pages"]) if s else Hint())
-            body = set((html_body if is_html else text_body)(lines, hints))
+            body = set(html_body(lines, hints, headed=False) if is_html else text_body(lines, hints))
             for x in lines:
                 if x.no in body:
                     ids.append(key), nos.append(x.no), texts.append(x.text)
