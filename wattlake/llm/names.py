@@ -7,9 +7,11 @@ business as" are further names of the same organisation.
 
 Proper names within a small edit distance are found by a symmetric-delete index: every proper name is
 filed under each string that deleting up to two letters gives, and names that share a file entry are
-compared. The tokens of both names are then aligned by optimal assignment: the kind of organisation
-must be the same where both name one, and a spelling joins the proper name that more spellings share.
-A name without a kind joins the organisation of its place only if there is but one.
+compared. Proper names of several tokens are filed so token by token too, and looked up by their
+rarest token; the tokens of both are aligned by optimal assignment, each within its own edits or an
+initial for the token, in whatever order. The kind of organisation must be the same where both name
+one, and a spelling joins the proper name that more spellings share. A name without a kind joins the
+organisation of its place only if there is but one, and a bare acronym the one organisation that has it.
 
 Nulls, blanks and names that stand for no organisation (none, various, unknown) have no pair.
 Counts are of distinct names, so repeated rows change nothing.
@@ -108,6 +110,11 @@ def _plain(name: str) -> str:
     return t.replace("&", " and ").replace("+", " and ")
 
 
+def proper_tokens(text: str) -> list[str]:
+    """The tokens of the proper name in one name, in order."""
+    return [t for t in re.findall(r"[a-z0-9]+", text) if not trade_word(t) and t not in NO_ONE]
+
+
 def read_tokens(text: str) -> tuple[str, tuple[str, ...]]:
     """(proper name, kind) of one name: the letters of its own tokens in order, and its words of the trade in order of the alphabet."""
     proper, kind = [], set()
@@ -122,6 +129,18 @@ def read_tokens(text: str) -> tuple[str, tuple[str, ...]]:
 
 def read_name(name: str) -> tuple[str, tuple[str, ...], str]:
     """(proper name, kind, proper name of its other name) of a normalised name."""
+    return read_whole(name)[:3]
+
+
+def _acronyms(text: str) -> set[str]:
+    """The initials of a full name, with and without those of its small words."""
+    w = re.findall(r"[a-z]+", text)
+    big = [x for x in w if x not in ("and", "of", "the", "for")]
+    return {"".join(x[0] for x in v) for v in (w, [x for x in w if x != "the"], [x for x in w if x not in ("of", "the", "for")], big)}
+
+
+def read_whole(name: str) -> tuple[str, tuple[str, ...], str, list[str], list[str]]:
+    """What ``read_name`` gives, the tokens of the proper name and the acronyms that stand for the name."""
     t = _OFFICE.sub("", _plain(name))
     parts = _ALSO.split(t, maxsplit=1)
     other = ""
@@ -138,11 +157,13 @@ def read_name(name: str) -> tuple[str, tuple[str, ...], str]:
         t = outside
     proper, kind = read_tokens(t)
     alias, alias_kind = read_tokens(other)
+    own, short = proper_tokens(t), _acronyms(t) if kind else set()
     if other and len(alias) <= 6 and proper.startswith(alias[:1]) and not alias_kind:
-        alias = ""  # initials of the full name
+        short.add(alias)  # initials of the full name
+        alias = ""
     if not proper and alias:
-        proper, kind, alias = alias, kind or alias_kind, ""
-    return proper, kind, "" if alias == proper else alias
+        proper, kind, alias, own = alias, kind or alias_kind, "", proper_tokens(other)
+    return proper, kind, "" if alias == proper else alias, own, sorted(x for x in short if 3 <= len(x) <= 6 and proper.startswith(x[:1]))
 
 
 def deletions(s: str, most: int = 2) -> set[str]:
@@ -163,14 +184,76 @@ def distinct_names(parts: list[DataFrame]) -> DataFrame:
 
 
 def read_names(names: DataFrame) -> DataFrame:
-    """(name, proper, kind, other) of names that stand for an organisation."""
+    """(name, proper, kind, other, tokens, short) of names that stand for an organisation."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            r = [read_name(x) for x in pdf["name"]]
-            yield pd.DataFrame({"name": pdf["name"], "proper": [x[0] for x in r], "kind": [" ".join(x[1]) for x in r], "other": [x[2] for x in r]})
+            r = [read_whole(x) for x in pdf["name"]]
+            yield pd.DataFrame({"name": pdf["name"], "proper": [x[0] for x in r], "kind": [" ".join(x[1]) for x in r], "other": [x[2] for x in r], "tokens": [" ".join(x[3]) for x in r], "short": [x[4] for x in r]})
+
+    return names.mapInPandas(run, "name string, proper string, kind string, other string, tokens string, short array<string>").where("length(proper) > 2")
+
+
+def _token_cost(a: str, b: str) -> int | None:
+    """Edits between two tokens, 1 for an initial and its token; None if they don't stand for the same word."""
+    if a == b:
+        return 0
+    n = min(len(a), len(b))
+    if n == 1:
+        return 1 if a[0] == b[0] and max(len(a), len(b)) > 3 else None
+    if n < 4:
+        return None
+    most = 2 if n >= 8 else 1
+    d = edit_distance(a, b, most)
+    return d if d <= most else None
+
+
+def align(a: list[str], b: list[str]) -> int | None:
+    """The least sum of edits over all assignments of the tokens of ``a`` to those of ``b``; None if there is none, or only initials meet."""
+    if len(a) != len(b):
+        return None
+    best: dict[int, int] = {0: 0}  # by the set of tokens of b that are taken
+    for x in a:
+        costs = [(j, c) for j, y in enumerate(b) if (c := _token_cost(x, y)) is not None]
+        now: dict[int, int] = {}
+        for taken, sum_ in best.items():
+            for j, c in costs:
+                if not taken >> j & 1:
+                    now[taken | 1 << j] = min(now.get(taken | 1 << j, 1 << 30), sum_ + c)
+        best = now
+    full = best.get((1 << len(b)) - 1)
+    return full if full is not None and any(len(x) > 1 and len(y) > 1 and _token_cost(x, y) is not None for x in a for y in b) else None
+
+
+def aligned(propers: DataFrame) -> DataFrame:
+    """(a, b, distance) of proper names of several tokens (proper, tokens) whose tokens can be assigned to each other, both ways.
+
+    As every token must find its own, a name is looked up by its rarest one of more than one letter
+    only, so a word that very many names share (north, upper) makes no candidates by itself.
+    """
+
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([(t, d) for t in pdf["token"] for d in deletions(t)], columns=["token", "entry"])
 
-    return names.mapInPandas(run, "name string, proper string, kind string, other string").where("length(proper) > 2")
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            d = [align(x.split(" "), y.split(" ")) for x, y in zip(pdf["tokens_a"], pdf["tokens_b"], strict=True)]
+            yield pd.DataFrame([(a, b, c) for a, b, c in zip(pdf["a"], pdf["b"], d, strict=True) if c is not None], columns=["a", "b", "distance"])
+
+    p = propers.select("proper", "tokens").where("tokens like '% %'").distinct().withColumn("m", F.size(F.split("tokens", " ")))
+    held = cut_lineage(p.select("proper", "tokens", "m", F.explode(F.array_distinct(F.split("tokens", " "))).alias("token")).where("length(token) > 1"))
+    number = held.groupBy("token").agg(F.count("*").alias("n"))
+    e = number.select("token").mapInPandas(index, "token string, entry string").select("token", F.xxhash64("entry").alias("e"))
+    rarest = held.join(number, "token").groupBy("proper", "tokens", "m").agg(F.min(F.struct("n", "token")).getField("token").alias("token"))
+    x = rarest.join(e, "token").select(F.col("proper").alias("a"), F.col("tokens").alias("tokens_a"), "m", "e")
+    # an initial may stand for the rarest token of the other name
+    first = rarest.select(F.col("proper").alias("a"), F.col("tokens").alias("tokens_a"), "m", F.xxhash64(F.lit("initial"), F.substring("token", 1, 1)).alias("e"))
+    y = held.join(e, "token").select(F.col("proper").alias("b"), F.col("tokens").alias("tokens_b"), "m", "e")
+    lone = p.select(F.col("proper").alias("b"), F.col("tokens").alias("tokens_b"), "m", F.explode(F.array_distinct(F.split("tokens", " "))).alias("t")).where("length(t) = 1").select("b", "tokens_b", "m", F.xxhash64(F.lit("initial"), "t").alias("e"))
+    c = x.unionByName(first).join(y.unionByName(lone).hint("merge"), ["e", "m"]).where("a <> b").select("a", "b", "tokens_a", "tokens_b").distinct()
+    got = c.mapInPandas(compare, "a string, b string, distance int")
+    return got.unionByName(got.select(F.col("b").alias("a"), F.col("a").alias("b"), "distance")).groupBy("a", "b").agg(F.min("distance").alias("distance"))
 
 
 def similar(propers: DataFrame) -> DataFrame:
@@ -203,7 +286,7 @@ def organisations(names: DataFrame) -> DataFrame:
     nodes = r.groupBy("proper", "kind").agg(F.count("*").alias("n"))
     whole = nodes.groupBy("proper").agg(F.sum("n").alias("all"))
     nodes = cut_lineage(nodes.join(whole, "proper").withColumn("n", F.when(F.col("kind").isin("", "energy"), F.col("all")).otherwise(F.col("n"))))
-    near = similar(nodes)
+    near = similar(nodes).unionByName(aligned(r)).groupBy("a", "b").agg(F.min("distance").alias("distance"))
     # a spelling joins the neighbour that more spellings share; kinds must agree where both are given
     a, b = nodes.toDF("a", "kind_a", "n_a", "all_a"), nodes.toDF("b", "kind_b", "n_b", "all_b")
     free_a, free_b = (F.col(c).isin("", "energy") for c in ("kind_a", "kind_b"))
@@ -211,7 +294,7 @@ def organisations(names: DataFrame) -> DataFrame:
     rank = F.struct(same | free_a, -F.col("distance"), F.col("all_b"), F.col("b"))
     more = (F.col("all_b") > F.col("all_a")) | ((F.col("all_b") == F.col("all_a")) & (F.col("b") < F.col("a")))
     # two proper names that are both well attested are two organisations, however close
-    typo = (F.col("n_a") <= 2) | (F.col("n_b") >= 4 * F.col("n_a"))
+    typo = (F.col("n_a") <= 2) | (F.col("n_b") >= 4 * F.col("n_a")) | (F.col("distance") == 0)  # the same tokens in another order
     step = near.join(a, "a").join(b, "b").where((same | free_a | free_b) & more & typo).groupBy("a", "kind_a").agg(F.max_by("b", rank).alias("to"))
     step = cut_lineage(step.toDF("proper", "kind", "to"))
     for _ in range(2):  # follow each spelling to the end of its chain, by doubling
@@ -226,12 +309,16 @@ def organisations(names: DataFrame) -> DataFrame:
     called = called.join(kinds.select("proper").distinct(), "proper", "left_anti").groupBy("proper").agg(F.count("*").alias("orgs"), F.max(F.struct("of", "of_kind")).alias("o")).where("orgs = 1").select("proper", "o.*")
     typos = similar(called.select("proper").unionByName(r.where("kind in ('', 'energy')").select("proper")))
     loose = typos.join(called.withColumnRenamed("proper", "b"), "b").groupBy(F.col("a").alias("proper")).agg(F.min_by(F.struct("of", "of_kind"), "distance").alias("near"))
-    r = r.join(called, "proper", "left").join(loose, "proper", "left").join(one, "proper", "left")
+    # acronyms: of one organisation only, and no proper name of one
+    short = r.where("kind <> ''").select(F.explode("short").alias("acronym"), F.col("proper").alias("of"), F.col("kind").alias("of_kind")).distinct()
+    short = short.groupBy("acronym").agg(F.count("*").alias("orgs"), F.max(F.struct("of", "of_kind")).alias("long")).where("orgs = 1")
+    short = short.join(kinds.select(F.col("proper").alias("acronym")).distinct(), "acronym", "left_anti").select(F.col("acronym").alias("proper"), "long")
+    r = r.join(called, "proper", "left").join(loose, "proper", "left").join(one, "proper", "left").join(short, "proper", "left")
     free = F.col("kind").isin("", "energy")
     return r.select(
         "name",
-        F.when(free, F.coalesce("of", F.when(F.col("its_kind").isNull(), F.col("near.of")), "proper")).otherwise(F.col("proper")).alias("proper"),
-        F.when(free, F.coalesce("of_kind", "its_kind", "near.of_kind", F.lit(""))).otherwise(F.col("kind")).alias("kind"),
+        F.when(free, F.coalesce("of", F.when(F.col("its_kind").isNull(), F.coalesce("near.of", "long.of")), "proper")).otherwise(F.col("proper")).alias("proper"),
+        F.when(free, F.coalesce("of_kind", "its_kind", "near.of_kind", "long.of_kind", F.lit(""))).otherwise(F.col("kind")).alias("kind"),
     )
 
 
