@@ -297,9 +297,12 @@ def organisations(names: DataFrame) -> DataFrame:
     typo = (F.col("n_a") <= 2) | (F.col("n_b") >= 4 * F.col("n_a")) | (F.col("distance") == 0)  # the same tokens in another order
     step = near.join(a, "a").join(b, "b").where((same | free_a | free_b) & more & typo).groupBy("a", "kind_a").agg(F.max_by("b", rank).alias("to"))
     step = cut_lineage(step.toDF("proper", "kind", "to"))
-    for _ in range(2):  # follow each spelling to the end of its chain, by doubling
+    moved = True
+    while moved:  # follow each spelling to the end of its chain, by doubling; a chain has no circle, as each hop leads to a name that more spellings share
         hop = step.toDF("to", "kind", "to2")
-        step = cut_lineage(step.join(hop, ["to", "kind"], "left").select("proper", "kind", F.coalesce("to2", "to").alias("to")))
+        far = cut_lineage(step.join(hop, ["to", "kind"], "left").select("proper", "kind", F.coalesce("to2", "to").alias("to"), F.col("to2").isNotNull().alias("moved")))
+        moved = not far.where("moved").isEmpty()
+        step = far.drop("moved")
     r = cut_lineage(r.join(step, ["proper", "kind"], "left").withColumn("proper", F.coalesce("to", "proper")).drop("to"))
 
     kinds = r.where("kind not in ('', 'energy')").groupBy("proper", "kind").agg(F.count("*").alias("n"))

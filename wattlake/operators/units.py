@@ -17,6 +17,8 @@ Repeated rows each keep their own result. Quantities that aren't finite numbers
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wattlake.functions.text import norm, program_hash
@@ -159,10 +161,10 @@ def labelled(rows: DataFrame, id_: str, entity: Column, percent: str, per_unit:
     return plain.unionByName(best).where("label is not null")
 
 
-def label_graph(q: DataFrame, rounds: int = 2, min_support: int = 3, tolerance: float = 0.01, agreement: float = 0.6) -> DataFrame:
+def label_graph(q: DataFrame, min_support: int = 3, tolerance: float = 0.01, agreement: float = 0.6) -> DataFrame:
     """(label, common_unit, scale, round): what each label converts to.
 
-    Round 0 are the anchors of the vocabulary. In each further round a label is linked, by the entities
+    Round 0 are the anchors of the vocabulary. In each further round, until one resolves nothing, a label is linked, by the entities
     it shares with resolved labels, to the unit most of them have; its scale is the median ratio, and it
     is taken if a known conversion lies within ``tolerance``, ``min_support`` entities bear it and
     ``agreement`` of the ratios lie within ``tolerance`` of it.
@@ -171,7 +173,7 @@ def label_graph(q: DataFrame, rounds: int = 2, min_support: int = 3, tolerance:
     labels = by.groupBy("label").agg(F.sum("n").alias("rows"))
     done = resolve(labels).where("scale is not null").select("label", "common_unit", "scale", F.lit(0).alias("round"))
     known = F.array(*[F.lit(x) for x in known_conversions()])
-    for i in range(1, rounds + 1):
+    for i in count(1):
         anchors = by.join(done, "label").groupBy("entity", "common_unit").agg(F.percentile_approx(F.col("amount") * F.col("scale"), 0.5, 10000).alias("ref"))
         free = by.join(done, "label", "left_anti")
         ratio = free.join(anchors, "entity").where("amount > 0 and ref > 0").withColumn("r", F.log(F.col("ref") / F.col("amount")))
@@ -186,7 +188,10 @@ def label_graph(q: DataFrame, rounds: int = 2, min_support: int = 3, tolerance:
         best = close.where((F.col("share") >= agreement) & (F.abs("offset") <= tolerance * F.col("size"))).groupBy("label").agg(
             F.max_by(F.struct("common_unit", "scale"), F.struct("support", "share", "common_unit")).alias("b")
         )
-        done = cut_lineage(done.unionByName(best.select("label", "b.common_unit", "b.scale", F.lit(i).alias("round"))))
+        found = cut_lineage(best.select("label", "b.common_unit", "b.scale", F.lit(i).alias("round")))
+        if found.isEmpty():
+            break
+        done = cut_lineage(done.unionByName(found))
     return done
 
 
