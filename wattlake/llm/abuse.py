@@ -112,8 +112,7 @@ def ratios(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple[np
     out = []
     for lo, hi in pieces(texts):
         c, owner = coded(texts[lo:hi], model.order)
-        p = model.log_probs(c)
-        best, frm, at = best_windows(p["toxic"] - p["plain"] - drift, owner, hi - lo)
+        best, frm, at = best_windows(model.gains(c, owner, drift)[0], owner, hi - lo)
         out.append((best, best / np.maximum(at - frm + 1, 12) + drift * (best > 0)))
     return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 

@@ -34,18 +34,35 @@ def coded(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
     return c, owner
 
 
+def _mixed(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The hash of a gram that is longer by one older character."""
+    with np.errstate(over="ignore"):
+        h = (h ^ (c + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(31)
+    return h
+
+
 def _each_order(c: np.ndarray, order: int) -> Iterator[np.ndarray]:
     """The hashes of ``grams`` for k = 1..order, one after the other."""
     h = np.full(len(c), 7, dtype=np.uint64)
     moved = c.copy()
+    for _ in range(order):
+        h = _mixed(h, moved)
+        yield h
+        moved[1:] = moved[:-1].copy()
+        moved[0] = 0
+
+
+def _key(c: np.ndarray, order: int) -> np.ndarray:
+    """A cheaper hash of the ``order`` characters that end at each position, for the memo only."""
     with np.errstate(over="ignore"):
-        for _ in range(order):
-            h = (h ^ (moved + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(31)
-            yield h
-            h = h.copy()
-            moved[1:] = moved[:-1].copy()
-            moved[0] = 0
+        h, factor = c.copy(), 1
+        for k in range(1, order):
+            factor = factor * 0xD1342543DE82EF95 & (1 << 64) - 1
+            h[k:] += c[:-k] * np.uint64(factor)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
 
 
 def grams(c: np.ndarray, order: int) -> list[np.ndarray]:
@@ -65,154 +82,240 @@ def pieces(texts: list[str], chars: int = 150_000) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-#: Bits of a character in a packed n-gram, three of them a word: the newest lowest, up to six characters in two words.
+#: Bits of a character in a packed n-gram, three of them a word.
 _BITS = 21
 
+#: The filled places of a table and what stands there.
+Sparse = tuple[np.ndarray, np.ndarray]
+
 
-def _packed(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The six characters that end at each position, in two words."""
+def _sparse(t: np.ndarray) -> Sparse:
+    at = np.flatnonzero(t)
+    return at.astype(np.uint32), t[at].astype(np.float32)
+
+
+def _packed(c: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``order`` characters that end at each position in two words, the newest highest, so that grams sort by their ends."""
     words = []
     for first in (0, 3):
         w = np.zeros(len(c), np.uint64)
-        for j in range(3):
-            w[first + j :] |= c[: max(len(c) - first - j, 0)] << np.uint64(_BITS * j)
+        for j in range(min(3, order - first)):
+            w[first + j :] |= c[: max(len(c) - first - j, 0)] << np.uint64(_BITS * (2 - j))
         words.append(w.astype(np.int64))
-    return words[1], words[0]
-
-
-def _suffix(k: int) -> tuple[Column, Column]:
-    """The last ``k`` characters of packed n-grams."""
-    m = lambda n: F.lit((1 << _BITS * min(max(n, 0), 3)) - 1)
-    return F.col("hi").bitwiseAND(m(k - 3)).alias("hi"), F.col("lo").bitwiseAND(m(k)).alias("lo")
+    return words[0], words[1]
 
 
 def _hash(chars: list[np.ndarray], n: int) -> np.ndarray:
     """The hash of ``grams`` from characters, newest first."""
     h = np.full(n, 7, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for x in chars:
-            h = (h ^ (x + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(31)
+    for x in chars:
+        h = _mixed(h, x)
     return h
 
 
-def corpus_tables(corpus: DataFrame, others: list[str], order: int, own: int, bits: int) -> tuple[list[tuple[np.ndarray, ...]], float] | None:
-    """The tables of orders 1 to ``order`` and the number of characters, as ``KneserNey.fit`` has them, counted in Spark over all of ``corpus`` (t, n: a text and how often it counts).
+def _windows(order: int):
+    """Of texts (t, n) the n-grams of ``order`` characters with how often they count, each once a piece."""
 
-    The orders below ``own`` are shared with the texts ``others`` of the other classes. The n-grams
-    stay distributed; what is collected is bounded by ``bits``. None if there is no text.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, times = b.column(0).to_pylist(), np.asarray(b.column(1).to_pylist(), np.int64)
+            for lo, hi in pieces(texts, 400_000):
+                c, owner = coded(texts[lo:hi], order)
+                at = np.flatnonzero(owner >= 0)
+                if not len(at):
+                    continue
+                *_, h = _each_order(c, order)
+                _, first, of = np.unique(h[at], return_index=True, return_inverse=True)
+                n = np.bincount(of, times[lo:hi][owner[at]].astype(np.float64)).astype(np.int64)
+                w1, w2 = (w[at[first]] for w in _packed(c, order))
+                yield pa.RecordBatch.from_arrays([pa.array(w1 >> _BITS), pa.array(w1), pa.array(w2), pa.array(n)], ["s", "w1", "w2", "n"])
+
+    return run
+
+
+def corpus_grams(corpus: DataFrame, others: list[str], order: int, own: int, less: DataFrame | None = None) -> DataFrame:
+    """The n-grams of all of ``corpus`` (t, n: a text and how often it counts), each once, sorted by their ends in partitions by the last two characters; with grams ``corpus`` already, those of the texts ``less`` are taken off.
+
+    Grams of ``others`` have ``o`` set: they count in the orders below ``own`` only.
     """
     assert 1 < own < order <= 6
     spark = corpus.sparkSession
+    if less is None:
+        c, owner = coded([t for t in others if t] or [" "], order)
+        seen = sorted({(int(a), int(b)) for a, b in zip(*(x[owner >= 0] for x in _packed(c, order)), strict=True)})
+        other = spark.createDataFrame([(a >> _BITS, a, b, 0, True) for a, b in seen], "s bigint, w1 bigint, w2 bigint, n bigint, o boolean")
+        rows = corpus.select("t", "n").mapInArrow(_windows(order), "s bigint, w1 bigint, w2 bigint, n bigint").withColumn("o", F.lit(False)).unionByName(other)
+    else:
+        gone = less.select("t", "n").mapInArrow(_windows(order), "s bigint, w1 bigint, w2 bigint, n bigint")
+        rows = corpus.unionByName(gone.select("s", "w1", "w2", (-F.col("n")).alias("n"), F.lit(False).alias("o")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    once = rows.repartition(parts, "s").groupBy("s", "w1", "w2").agg(F.sum("n").alias("n"), F.bool_or("o").alias("o")).where("n > 0 or o")
+    return cut_lineage(once.sortWithinPartitions("w1", "w2"))
+
+
+def _levels(orders: list[int], own: int, order: int, bits: int):
+    """Of sorted n-grams the filled places of the tables of ``orders``: count of the gram, count of its context and continuations of its context.
+
+    A gram of a lower order counts the different longer ones that end in it. Grams of a suffix lie side by
+    side, so one reading gives every order; what a batch leaves open goes on in the next one.
+    """
+    char = np.int64((1 << _BITS) - 1)
+    mask = np.uint64((1 << bits) - 1)
+
+    def chars(w1: np.ndarray, w2: np.ndarray) -> list[np.ndarray]:
+        return [((w1, w2)[j // 3] >> np.int64(_BITS * (2 - j % 3))) & char for j in range(order)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[bool, list[int]] = {}  # the gram before, among all and among those of the corpus
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def merged() -> pa.RecordBatch:
+            u, i = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(np.bincount(i, np.concatenate([y for _, y in held])))], ["place", "n"])
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, times = b.column(0).to_pylist(), np.asarray(b.column(1).to_pylist(), np.int64)
-            for lo_, hi_ in pieces(texts):
-                c, owner = coded(texts[lo_:hi_], order)
-                at = owner >= 0
-                hi, lo = (x[at] for x in _packed(c))
-                if order < 6:
-                    hi = hi & ((1 << _BITS * max(order - 3, 0)) - 1)
-                    lo = lo & ((1 << _BITS * min(order, 3)) - 1)
-                n = times[lo_:hi_][owner[at]]
-                by = np.lexsort((lo, hi))
-                hi, lo, n = hi[by], lo[by], n[by]
-                first = np.flatnonzero(np.concatenate([[True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])])) if len(hi) else np.zeros(0, int)
-                if len(first):
-                    yield pa.RecordBatch.from_arrays([pa.array(hi[first]), pa.array(lo[first]), pa.array(np.add.reduceat(n, first))], ["hi", "lo", "n"])
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mask, m = np.uint64((1 << bits) - 1), np.int64((1 << _BITS) - 1)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            ks, his, los, ns = (x.to_numpy(zero_copy_only=False) for x in b.columns)
-            at, by = [], []
-            for k in np.unique(ks):
-                hi, lo, n = (x[ks == k] for x in (his, los, ns))
-                chars = [(((lo, hi)[j // 3] >> np.int64(_BITS * (j % 3))) & m).astype(np.uint64) for j in range(k)]
-                gram, context = ((_hash(x, len(n)) & mask).astype(np.int64) for x in (chars, chars[1:]))
-                for kind, (x, w) in enumerate(((gram, n), (context, n), (context, np.ones(len(n))))):
-                    at.append(((int(k) * 3 + kind) << bits) | x)
-                    by.append(w)
-            u, i = np.unique(np.concatenate(at), return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(np.bincount(i, np.concatenate(by).astype(np.float64)))], ["place", "n"])
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            place, n = (x.to_numpy(zero_copy_only=False) for x in b.columns)
-            yield pa.RecordBatch.from_arrays([pa.array([place.astype(np.int32).tobytes()]), pa.array([n.astype(np.float32).tobytes()])], ["place", "n"])
-
-    level = cut_lineage(corpus.select("t", "n").mapInArrow(windows, "hi bigint, lo bigint, n bigint").groupBy("hi", "lo").agg(F.sum("n").alias("n")))
-    found = [level.select(F.lit(order).alias("k"), "hi", "lo", "n")]
-    for k in range(order - 1, own - 1, -1):
-        level = level.select(*_suffix(k)).groupBy("hi", "lo").agg(F.count("*").alias("n"))
-        found.append(level.select(F.lit(k).alias("k"), "hi", "lo", "n"))
-    c, owner = coded([t for t in others if t] or [" "], order)
-    seen = sorted({(int(h) & ((1 << _BITS * max(own - 3, 0)) - 1), int(l) & ((1 << _BITS * min(own, 3)) - 1)) for h, l in zip(*(x[owner >= 0] for x in _packed(c)), strict=True)})
-    level = level.select("hi", "lo").unionByName(spark.createDataFrame(seen, "hi bigint, lo bigint")).distinct()
-    for k in range(own - 1, 0, -1):
-        level = level.select(*_suffix(k)).groupBy("hi", "lo").agg(F.count("*").alias("n"))
-        found.append(level.select(F.lit(k).alias("k"), "hi", "lo", "n"))
-    rows = found[0]
-    for x in found[1:]:
-        rows = rows.unionByName(x)
-    filled = rows.mapInArrow(places, "place bigint, n double").groupBy("place").agg(F.sum("n").alias("n"))
-    tables = [tuple(np.zeros(1 << bits, np.float32) for _ in range(3)) for _ in range(order)]
-    for r in filled.mapInArrow(pack, "place binary, n binary").collect():
+            w1, w2, n, o = (b.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            for whole in (True, False):
+                ks = [k for k in orders if (k < own) == whole]
+                keep = np.arange(len(w1)) if whole else np.flatnonzero(n > 0)
+                if not ks or not len(keep):
+                    continue
+                cs = chars(w1[keep], w2[keep])
+                # from how many characters on a gram differs from the one before: it begins groups of those orders
+                new = np.zeros(len(keep), bool)
+                begins = [new]
+                for j, x in enumerate(cs):
+                    diff = np.concatenate([[whole not in last or last[whole][j] != x[0]], x[1:] != x[:-1]])
+                    begins.append(begins[-1] | diff)
+                last[whole] = [int(x[-1]) for x in cs]
+                us = [x.astype(np.uint64) for x in cs]
+                for k in ks:
+                    at = np.flatnonzero(begins[k])
+                    opened = len(at) == 0 or at[0] != 0
+                    if opened:
+                        at = np.concatenate([[0], at])
+                    weights = n[keep] if k == order else begins[k + 1]
+                    counts = np.add.reduceat(weights.astype(np.float64), at)
+                    gram, context = ((_hash([u[at] for u in us[a:k]], len(at)) & mask).astype(np.int64) for a in (0, 1))
+                    fresh = np.ones(len(at))
+                    fresh[0] -= opened
+                    if k == 1:  # an end may lie in several partitions, so the ends themselves are given
+                        held.append((-1 - us[0][at].astype(np.int64), np.ones(len(at))))
+                        fresh[:] = 0
+                    for kind, (x, w) in enumerate(((gram, counts), (context, counts), (context, fresh))):
+                        held.append(((np.int64(k * 3 + kind) << np.int64(bits)) | x, w))
+            size += len(w1)
+            if size > 100_000 and held:
+                yield merged()
+                held, size = [], 0
+        if held:
+            yield merged()
+
+    return run
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        place, n = (x.to_numpy(zero_copy_only=False) for x in b.columns)
+        yield pa.RecordBatch.from_arrays([pa.array([place.astype(np.int32).tobytes()]), pa.array([n.astype(np.float32).tobytes()])], ["place", "n"])
+
+
+def tables_of(found: DataFrame, order: int, own: int, bits: int, only: int = 0) -> tuple[list[tuple[Sparse, ...]], float] | None:
+    """The tables of orders 1 to ``order`` (of order ``only`` if given, the others empty) from ``corpus_grams``, and the number of characters.
+
+    What is collected is bounded by ``bits``. None if there is no text.
+    """
+    orders = [only] if only else list(range(1, order + 1))
+    filled = found.select("w1", "w2", "n", "o").mapInArrow(_levels(orders, own, order, bits), "place bigint, n double").groupBy("place").agg(F.sum("n").alias("n")).where("n <> 0")
+    parts: list[list[list[Sparse]]] = [[[] for _ in range(3)] for _ in range(order)]
+    ends = 0
+    for r in filled.mapInArrow(_pack, "place binary, n binary").collect():
         place, n = np.frombuffer(r["place"], np.int32), np.frombuffer(r["n"], np.float32)
+        ends += int((place < 0).sum())
         which = place >> bits
-        for w in np.unique(which):
-            tables[int(w) // 3 - 1][int(w) % 3][place[which == w] & ((1 << bits) - 1)] = n[which == w]
-    if not tables[-1][0].any():
+        for w in np.unique(which[place >= 0]):
+            parts[int(w) // 3 - 1][int(w) % 3].append(((place[which == w] & ((1 << bits) - 1)).astype(np.uint32), n[which == w]))
+    tables = [tuple((np.concatenate([np.zeros(0, np.uint32), *(a for a, _ in x)]), np.concatenate([np.zeros(0, np.float32), *(v for _, v in x)])) for x in kinds) for kinds in parts]
+    if not len(tables[(only or order) - 1][0][0]):
         return None
+    if 1 in orders:
+        empty = np.full(1, 7 & ((1 << bits) - 1), np.uint32)
+        tables[0] = (*tables[0][:2], (empty, np.full(1, ends, np.float32)))
     # the marks before a text are a character too, and so is what was never seen
-    return tables, float(tables[0][2].sum() + 2)
+    return tables, float(ends + 2)
+
+
+def corpus_tables(corpus: DataFrame, others: list[str], order: int, own: int, bits: int) -> tuple[list[tuple[Sparse, ...]], float] | None:
+    """The tables of orders 1 to ``order`` and the number of characters, as ``KneserNey.fit`` has them, counted in Spark over all of ``corpus`` (t, n: a text and how often it counts).
+
+    The orders below ``own`` are shared with the texts ``others`` of the other classes. The n-grams
+    stay distributed; what is collected is bounded by ``bits``. None if there is no text.
+    """
+    return tables_of(corpus_grams(corpus, others, order, own), order, own, bits)
+
+
+def corpus_empty(order: int) -> tuple[list[tuple[Sparse, ...]], float]:
+    """The tables of a corpus without any text."""
+    none = np.zeros(0, np.uint32), np.zeros(0, np.float32)
+    return [(none, none, none)] * order, 2.0
+
+
+#: Places of the memo of a model: the gains of the n-grams seen last.
+MEMO = 1 << 20
 
 
 class KneserNey:
-    """Models of several classes over one hashed space."""
+    """Models of several classes over one hashed space.
+
+    Only the filled places of the tables are held and broadcast; where texts are scored they are laid out so
+    that one look gives all classes, and the result of each n-gram is kept for when it comes again.
+    """
 
     def __init__(self, classes: list[str], order: int = 6, own: int = 3, bits: int = 19):
         self.classes, self.order, self.own, self.bits = classes, order, own, bits
         self.mask = np.uint64((1 << bits) - 1)
 
     def __getstate__(self) -> dict:
-        """Only the filled places of the tables, packed: what is broadcast grows with the n-grams seen, not with the space."""
+        """The filled places, packed: what is broadcast grows with the n-grams seen, not with the space."""
         seen: dict[int, int] = {}
         kept = []
-        for by in self.tables.values():
+        for by in self.filled.values():
             for ts in by:
                 if id(ts) not in seen:
                     seen[id(ts)] = len(kept)
-                    at = [np.flatnonzero(t).astype(np.uint32) for t in ts]
-                    kept.append([zlib.compress(a.tobytes() + t[a].tobytes(), 1) for a, t in zip(at, ts, strict=True)])
-        return self.__dict__ | {"tables": {y: [seen[id(ts)] for ts in by] for y, by in self.tables.items()}, "kept": kept}
+                    kept.append([zlib.compress(a.tobytes() + v.tobytes(), 1) for a, v in ts])
+        state = {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+        return state | {"filled": {y: [seen[id(ts)] for ts in by] for y, by in self.filled.items()}, "kept": kept}
 
     def __setstate__(self, state: dict) -> None:
         kept = []
         for ts in state.pop("kept"):
-            out = []
-            for packed in ts:
-                raw = zlib.decompress(packed)
-                t = np.zeros(1 << state["bits"], np.float32)
-                t[np.frombuffer(raw[: len(raw) // 2], np.uint32)] = np.frombuffer(raw[len(raw) // 2 :], np.float32)
-                out.append(t)
-            kept.append(tuple(out))
-        self.__dict__ = state | {"tables": {y: [kept[i] for i in by] for y, by in state["tables"].items()}}
+            raw = [zlib.decompress(x) for x in ts]
+            kept.append(tuple((np.frombuffer(x[: len(x) // 2], np.uint32), np.frombuffer(x[len(x) // 2 :], np.float32)) for x in raw))
+        self.__dict__ = state | {"filled": {y: [kept[i] for i in by] for y, by in state["filled"].items()}}
+
+    def _dense(self, t: Sparse) -> np.ndarray:
+        out = np.zeros(1 << self.bits, np.float32)
+        out[t[0]] = t[1]
+        return out
+
+    @property
+    def tables(self) -> dict[str, list[tuple[np.ndarray, ...]]]:
+        """Each class's tables of orders 1 to ``order``: counts, counts of the context and its continuations, by place."""
+        return {y: [tuple(self._dense(t) for t in ts) for ts in by] for y, by in self.filled.items()}
 
     def _at(self, h: np.ndarray) -> np.ndarray:
         return (h & self.mask).astype(np.int64)
 
-    def _table(self, grams_: np.ndarray, contexts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-        cnt, tot, typ = (np.zeros(1 << self.bits, np.float32) for _ in range(3))
-        np.add.at(cnt, self._at(grams_), n)
-        np.add.at(tot, self._at(contexts), n)
-        np.add.at(typ, self._at(contexts), 1)
-        return cnt, tot, typ
+    def _table(self, grams_: np.ndarray, contexts: np.ndarray, n: np.ndarray) -> tuple[Sparse, ...]:
+        out = []
+        for places, w in ((grams_, n), (contexts, n), (contexts, np.ones(len(contexts)))):
+            u, i = np.unique(self._at(places), return_inverse=True)
+            out.append((u.astype(np.uint32), np.bincount(i, w.astype(np.float64)).astype(np.float32)))
+        return tuple(out)
 
-    def _tables(self, coded_: list[tuple[np.ndarray, np.ndarray]], first: int, last: int) -> list[tuple[np.ndarray, ...]]:
+    def _tables(self, coded_: list[tuple[np.ndarray, np.ndarray]], first: int, last: int) -> list[tuple[Sparse, ...]]:
         """The tables of orders ``first`` to ``last`` over coded texts; no more than three hashes a character are held at once."""
         c = np.concatenate([x for x, _ in coded_])
         here = np.concatenate([o for _, o in coded_]) >= 0
@@ -235,64 +338,130 @@ class KneserNey:
         """From the texts of each class; repeated texts count each. Class ``of`` is counted over ``corpus`` instead, if that holds any text."""
         counted = corpus is not None and corpus_tables(corpus, [t for y in self.classes if y != of for t in texts[y]], self.order, self.own, self.bits)
         if counted:
-            tables, self.types = counted
-            shared, whole = tables[: self.own - 1], tables[self.own - 1 :]
-            self.tables = {y: shared + (whole if y == of else self._tables([coded([t for t in texts[y] if t] or [" "], self.order)], self.own, self.order)) for y in self.classes}
-            return self
+            return self.take(texts, of, *counted)
         code = {y: coded([t for t in texts[y] if t] or [" "], self.order) for y in self.classes}
         self.types = float(len(np.unique(np.concatenate([np.unique(c) for c, _ in code.values()]))) + 1)
         shared = self._tables(list(code.values()), 1, self.own - 1) if self.own > 1 else []
-        self.tables: dict[str, list[tuple[np.ndarray, ...]]] = {y: shared + self._tables([code[y]], self.own, self.order) for y in self.classes}
+        self.filled: dict[str, list[tuple[Sparse, ...]]] = {y: shared + self._tables([code[y]], self.own, self.order) for y in self.classes}
         return self
 
+    def take(self, texts: dict[str, Iterable[str]], of: str, tables: list[tuple[Sparse, ...]], types: float) -> KneserNey:
+        """From the texts of the classes but ``of``, whose tables, and those of the shared orders, have been counted."""
+        shared, whole = tables[: self.own - 1], tables[self.own - 1 :]
+        self.types = types
+        self.filled = {y: shared + (whole if y == of else self._tables([coded([t for t in texts[y] if t] or [" "], self.order)], self.own, self.order)) for y in self.classes}
+        return self
+
+    def counted(self, of: str, tables: list[tuple[Sparse, ...]], types: float) -> KneserNey:
+        """This model with other tables for class ``of`` and the shared orders; the rest is as it was."""
+        out = KneserNey(self.classes, self.order, self.own, self.bits)
+        out.types = types
+        out.filled = {y: tables[: self.own - 1] + (tables if y == of else by)[self.own - 1 :] for y, by in self.filled.items()}
+        return out
+
+    def _ready(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each order what is left of each gram's count after the discount, and each context's divisor and weight of the lower order, less one, the classes side by side."""
+        if "_laid" not in self.__dict__:
+            self._laid = []
+            for k in range(1, self.order + 1):
+                ys = self.classes if k >= self.own else self.classes[:1]
+                gram, context = np.zeros((1 << self.bits, len(ys)), np.float32), np.zeros((1 << self.bits, 2 * len(ys)), np.float32)
+                for j, y in enumerate(ys):
+                    (at, n), (of, tot), (of_typ, typ) = self.filled[y][k - 1]
+                    gram[at, j] = np.maximum(n - DISCOUNT, 0)
+                    context[of, j] = 1 / np.maximum(tot, 1)
+                    t = np.zeros(1 << self.bits, np.float32)
+                    t[of_typ] = typ
+                    context[of, len(ys) + j] = DISCOUNT * np.minimum(t[of], tot) / np.maximum(tot, 1) - 1
+                self._laid.append((gram, context))
+        return self._laid
+
+    def _logs(self, c: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Log-probabilities at some positions, a column a class."""
+        here, before = np.full(len(at), 7, np.uint64), np.full(len(at), 7, np.uint64)
+        p = np.full((len(at), 1), 1 / (self.types + 1), np.float32)
+        for k, (gram, context) in enumerate(self._ready()):
+            x = context[self._at(before)]
+            here = _mixed(here, c[np.maximum(at - k, 0)])
+            before = _mixed(before, c[np.maximum(at - k - 1, 0)])
+            n = x.shape[1] // 2
+            p = np.minimum(gram[self._at(here)] * x[:, :n] + (1 + x[:, n:]) * p, 1)
+        return np.log(np.maximum(p, 1e-12))
+
     def log_probs(self, c: np.ndarray) -> dict[str, np.ndarray]:
         """Per-character log-probability under each class."""
-        g = grams(c, self.order)
-        now = [self._at(x) for x in g]
-        before = [np.concatenate([x[:1], x[:-1]]) for x in now]
-        out, low = {}, None
-        for y in self.classes:
-            p, start = (np.full(len(c), 1 / (self.types + 1), np.float32), 1) if low is None else (low, self.own)
-            for k in range(start, self.order + 1):
-                if k == self.own:
-                    low = p
-                cnt, tot, typ = self.tables[y][k - 1]
-                n = tot[before[k - 1]]
-                den = np.maximum(n, 1)
-                back = np.where(n > 0, DISCOUNT * np.minimum(typ[before[k - 1]], n) / den, 1)
-                p = np.minimum(np.maximum(cnt[now[k]] - DISCOUNT, 0) / den * (n > 0) + back * p, 1).astype(np.float32)
-            out[y] = np.log(np.maximum(p, 1e-12))
+        logs = self._logs(c, np.arange(len(c)))
+        return {y: logs[:, j] for j, y in enumerate(self.classes)}
+
+    def gains(self, c: np.ndarray, owner: np.ndarray, drift: float) -> np.ndarray:
+        """Per-character log-ratio of each class against the last one, less ``drift``, a row a class; 0 at marks."""
+        if "_memo" not in self.__dict__:
+            self._memo = np.zeros(MEMO, np.uint64), np.zeros((len(self.classes) - 1, MEMO), np.float32)
+        keys, kept = self._memo
+        key = _key(c, self.order)
+        slot = (key & np.uint64(MEMO - 1)).astype(np.int64)
+        out = kept[:, slot]
+        missing = np.flatnonzero((keys[slot] != key) & (owner >= 0))
+        if len(missing):
+            _, first, of = np.unique(key[missing], return_index=True, return_inverse=True)
+            at = missing[first]
+            logs = self._logs(c, at).T
+            new = logs[:-1] - logs[-1:]
+            out[:, missing] = new[:, of]
+            keys[slot[at]], kept[:, slot[at]] = key[at], new
+        out -= np.float32(drift)
+        out[:, owner < 0] = 0
         return out
 
-
     def joint_ratio(self, c: np.ndarray, one: str, other: str, k: int = 5, a: float = 1.0) -> np.ndarray:
         """Per-position log-ratio of how frequent the k-gram that ends there is in two classes; 0 where neither has it.
 
         It doesn't condition on the context, so a text that leaked into the wrong class still shows where it is at home.
         """
-        at = self._at(grams(c, k)[k])
-        x, y = (self.tables[z][k - 1][0] for z in (one, other))
-        rare = a / max(x.sum() + y.sum(), 1)
-        r = np.log(x[at] / max(x.sum(), 1) + rare) - np.log(y[at] / max(y.sum(), 1) + rare)
-        return np.where((x[at] > 0) | (y[at] > 0), r, 0.0)
-
-
-def best_windows(gain: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each of ``n`` texts the stretch with the largest sum of ``gain``: (sum, first position, last position) in the coded array."""
-    g = np.where(owner >= 0, gain, 0).astype(np.float64)
-    which = np.maximum.accumulate(np.where(owner >= 0, owner, -1))
-    which = np.where(owner >= 0, owner, which + 1)  # marks belong to the text they precede
+        if "_joint" not in self.__dict__:
+            self._joint: dict[tuple[str, str, int], np.ndarray] = {}
+        if (one, other, k) not in self._joint:
+            x, y = (self._dense(self.filled[z][k - 1][0]) for z in (one, other))
+            rare = a / max(x.sum() + y.sum(), 1)
+            r = np.log(x / max(x.sum(), 1) + rare) - np.log(y / max(y.sum(), 1) + rare)
+            self._joint[one, other, k] = np.where((x > 0) | (y > 0), r, 0.0).astype(np.float32)
+        *_, h = _each_order(c, k)
+        return self._joint[one, other, k][self._at(h)]
+
+
+def spans(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``n`` coded texts the text of each position, marks counting to the one they precede, and where each begins."""
+    which = np.maximum.accumulate(owner)
+    which[owner < 0] += 1
     which = np.clip(which, 0, max(n - 1, 0))
-    s = np.cumsum(g)
-    prev = np.concatenate([[0.0], s[:-1]])
-    drop = 1e6
-    low = np.minimum.accumulate(prev - which * drop) + which * drop
-    gainful = s - low
-    starts = np.searchsorted(which, np.arange(n))
-    best = np.maximum.reduceat(gainful, starts)
-    hits = np.flatnonzero(gainful == best[which])
-    _, first = np.unique(which[hits], return_index=True)
-    at = hits[first]
-    # the window begins behind the last position where the running sum was lowest
-    low_at = np.maximum.accumulate(np.where(prev - which * drop <= low - which * drop + 1e-9, np.arange(len(s)), 0))
-    return best, low_at[at], at
+    return which, np.searchsorted(which, np.arange(n))
+
+
+def best_windows(gain: np.ndarray, owner: np.ndarray, n: int, spans_: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each of ``n`` texts the stretch with the largest sum of ``gain``: (sum, first position, last position) in the coded array; a sum of 0 where no position gains.
+
+    A best stretch begins and ends at positions that gain, so only those are looked at.
+    """
+    which, starts = spans_ or spans(owner, n)
+    best, first, last = np.zeros(n), starts.copy(), starts.copy()
+    at = np.flatnonzero((gain > 0) & (owner >= 0))
+    if not len(at):
+        return best, first, last
+    s = np.cumsum(np.where(owner >= 0, gain, 0), dtype=np.float64)
+    whose, end = which[at], s[at]
+    # a text's own running minimum: each text is set so far below the one before that no older minimum reaches into it
+    shift = whose * 1e6
+    prev = end - gain[at] - shift
+    low = np.minimum.accumulate(prev)
+    gainful = end - shift - low
+    begins = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
+    top = np.maximum.reduceat(gainful, begins)
+    owners = whose[begins]
+    best[owners] = top
+    hits = np.flatnonzero(gainful == np.repeat(top, np.diff(np.append(begins, len(at)))))
+    _, i = np.unique(whose[hits], return_index=True)
+    hit = hits[i]
+    # the window begins at the last position whose sum before it was lowest
+    low_at = np.maximum.accumulate(np.where(prev <= low + 1e-9, np.arange(len(at)), 0))
+    first[owners], last[owners] = at[low_at[hit]], at[hit]
+    return best, first, last

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wattlake.llm.lm import KneserNey, best_windows, coded, pieces
+from wattlake.llm.lm import KneserNey, best_windows, coded, corpus_empty, corpus_grams, pieces, spans, tables_of
 from wattlake.session import cut_lineage, spread
 
 CLASSES = ["filler", "error", "plain"]
@@ -56,7 +56,7 @@ _NUMBER = re.compile(r"\d[\d.,]*")
 
 
 def fold(text: str) -> str:
-    t = unicodedata.normalize("NFKC", text).lower()
+    t = (text if text.isascii() else unicodedata.normalize("NFKC", text)).lower()
     return " ".join(_NUMBER.sub("0", t).split())
 
 
@@ -86,11 +86,28 @@ def grammar(seed: int = 11, latin: int = 400) -> list[str]:
     return out
 
 
+#: Order of the n-grams whose joint frequencies are compared.
+JOINT = 5
 #: Joint log-ratio a character from which a text is kept out of the natural model's first fit, and marks of template fields that keep it out.
 LEAK = 0.3
 MARKED = re.compile(r"\{\{|\}\}|\$\{|<[%?]|\{[a-z_. ]+\}|\[\[|\[(?:insert|your|add) |\[[a-z_. ]{3,}\](?![a-z])|[<\[][^<>\[\]]{1,30} (?:goes )?here[>\]]|%%?[a-z_. ]+%|@@|#[a-z_. ]+#|__[a-z]|«|»|\b(?:null|undefined|nan)\b")
 
 
+#: What stands in every text that MARKED, or DUMMY, finds: looked for first, as that is much faster.
+_SIGNS = ("{", "}", "[", "<", "%", "@@", "#", "__", "«", "»", "null", "undefined", "nan")
+_DUMMIES = ("NaN", "undefined", "null", "[object")
+
+
+def marked(text: str) -> bool:
+    """Whether a folded text bears the marks of a template field or a dummy value."""
+    return any(x in text for x in _SIGNS) and MARKED.search(text) is not None
+
+
+def dummy(text: str) -> bool:
+    """Whether a dummy value stands in a text in its exact spelling."""
+    return any(x in text for x in _DUMMIES) and DUMMY.search(text) is not None
+
+
 def seeds() -> tuple[list[str], list[str]]:
     """The texts that the models of filler and of notices learn from."""
     return [f"{x} " for x in grammar()] + [f"{x} " for x in FILLER] * 8, [f"{x} " for x in ERRORS] * 8
@@ -98,12 +115,12 @@ def seeds() -> tuple[list[str], list[str]]:
 
 def at_home(model: KneserNey, texts: list[str]) -> np.ndarray:
     """Whether each folded text bears no mark of a template field and is more at home in natural wording, by joint frequencies."""
-    keep = np.array([not MARKED.search(x) for x in texts])
+    keep = np.array([not marked(x) for x in texts])
     for lo, hi in pieces(texts):
         c, owner = coded(texts[lo:hi], model.order)
         size = np.array([len(x) for x in texts[lo:hi]])
         for y in CLASSES[:2]:
-            r = np.bincount(owner[owner >= 0], model.joint_ratio(c, y, "plain")[owner >= 0], hi - lo)
+            r = np.bincount(owner[owner >= 0], model.joint_ratio(c, y, "plain", JOINT)[owner >= 0], hi - lo)
             keep[lo:hi] &= r < LEAK * size
     return keep
 
@@ -150,8 +167,8 @@ def stretches(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple
     out = []
     for lo, hi in pieces(texts):
         c, owner = coded(texts[lo:hi], model.order)
-        p = model.log_probs(c)
-        found = [best_windows(p[y] - p["plain"] - drift, owner, hi - lo) for y in CLASSES[:2]]
+        g, parts = model.gains(c, owner, drift), spans(owner, hi - lo)
+        found = [best_windows(g[j], owner, hi - lo, parts) for j in range(2)]
         score = np.stack([f[0] for f in found])
         k, at = score.argmax(axis=0), np.arange(hi - lo)
         out.append((score[k, at], k, np.stack([f[2] - f[1] + 1 for f in found])[k, at]))
@@ -170,33 +187,42 @@ def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([f"{fold(x)} " for x in b.column(0).to_pylist()], pa.string()), b.column(1)], ["t", "n"])
 
 
-def _keep(texts: DataFrame, model: KneserNey, joint: bool) -> DataFrame:
-    """The wordings that aren't residue: by marks and joint frequencies if ``joint``, else by what ``stretches`` finds."""
+def _told(texts: DataFrame, model: KneserNey, joint: bool) -> DataFrame:
+    """The wordings with ``gone``: whether they are residue, by marks and joint frequencies if ``joint``, else by what ``stretches`` finds."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
             t = b.column(0).to_pylist()
-            if not t:
-                continue
-            yield b.filter(pa.array(at_home(m, t) if joint else stretches(m, t)[0] < THRESHOLD))
+            if t:
+                gone = ~at_home(m, t) if joint else stretches(m, t)[0] >= THRESHOLD
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(gone)], ["t", "n", "gone"])
 
-    out = cut_lineage(texts.mapInArrow(run, "t string, n bigint"))
+    out = cut_lineage(texts.mapInArrow(run, "t string, n bigint, gone boolean"))
     shared.unpersist()
     return out
 
 
 def fit_all(texts: DataFrame, text: Column, rounds: int = 2, order: int = 6, own: int = 2, bits: int = 20) -> KneserNey:
-    """The models of ``fit``, whose natural wording is counted in Spark over all texts, not over a sample."""
-    filler, error = seeds()
+    """The models of ``fit``, whose natural wording is counted in Spark over all texts, not over a sample.
+
+    The n-grams are counted once; what a round finds to be residue is taken off again.
+    """
+    seed = dict(zip(CLASSES, (*seeds(), [" "]), strict=True))
+    others = [t for y in CLASSES[:2] for t in seed[y]]
     rest = cut_lineage(spread(wordings(texts, text)))
-    model = None
-    for i in range(rounds + 1):
-        if model is not None:
-            rest = _keep(rest, model, joint=i == 1)
-            del model
-        model = KneserNey(CLASSES, order, own, bits).fit({"filler": filler, "error": error, "plain": [" "]}, rest, "plain")
+    grams = corpus_grams(rest, others, order, own)
+    model = KneserNey(CLASSES, order, own, bits)
+    first = tables_of(grams, order, own, bits, only=JOINT)
+    if first is None:
+        return model.fit(seed)
+    model.take(seed, "plain", *first)
+    for i in range(rounds):
+        told = _told(rest, model, joint=i == 0)
+        rest = told.where("not gone").select("t", "n")
+        grams = corpus_grams(grams, others, order, own, less=told.where("gone"))
+        model = model.counted("plain", *(tables_of(grams, order, own, bits) or corpus_empty(order)))
     return model
 
 
@@ -220,8 +246,8 @@ def score(df: DataFrame, keys: tuple[str, ...], text: str, model: KneserNey) ->
                     part = folded[lo:i]
                     r, k, n = stretches(m, part)
                     cover = np.minimum(n / np.array([max(len(x) - 1, 1) for x in part]), 1.0)
-                    dummy = np.array([bool(DUMMY.search(x)) for x in raw[lo:i]], bool)
-                    found = (r >= THRESHOLD) | (dummy & (r >= WEAK)) | ((r >= WHOLE) & (cover >= COVERAGE))
+                    weak = np.array([dummy(x) for x in raw[lo:i]], bool)
+                    found = (r >= THRESHOLD) | (weak & (r >= WEAK)) | ((r >= WHOLE) & (cover >= COVERAGE))
                     yield pa.RecordBatch.from_arrays(
                         [*(c.slice(lo, i - lo) for c in b.columns[:-1]), pa.array(r), pa.array([CLASSES[x] for x in k]), pa.array(cover), pa.array(found)],
                         [*b.schema.names[:-1], "residue", "kind", "coverage", "found"],
