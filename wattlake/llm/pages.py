@@ -21,8 +21,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -38,13 +37,12 @@ VOID = frozenset("br hr img input meta link wbr source".split())
 TOP = frozenset("header main footer nav aside section article div".split())
 
 ROLES = ("furniture", "side", "link", "title", "heading", "item", "row", "paragraph")
-_WS = re.compile(r"\s+")
 _HTML = re.compile(r"<(?:!doctype|html|head|body|div|p|li|h[1-6]|header|main|table|ul)\b", re.I)
 _BULLET = re.compile(r"^(?:[•*·‣▪–—-]|\d+[.)])\s+")
 _CRUMB = re.compile(r"^[\w ]{1,30}(?:\s*(?:»|›|>|/|→)\s*[^»›>/→]{1,60}){1,6}$")
 
 
-@dataclass
+@dataclass(slots=True)
 class Line:
     no: int
     text: str = ""
@@ -57,77 +55,129 @@ class Line:
     notice: bool = False
 
 
-@dataclass
-class _Parser(HTMLParser):
-    """Depth-first visitor of the elements of a page; notes for each source line its text and where it stands."""
+@dataclass(slots=True)
+class _Open:
+    """An open element, and what its ancestors make of what stands in it."""
 
-    lines: dict[int, Line] = field(default_factory=dict)
-    stack: list[tuple[str, int]] = field(default_factory=list)
-    containers: int = 0
+    tag: str = ""
+    box: int = -1
+    path: tuple[tuple[int, str], ...] = ()
+    block: str = ""  # the innermost block
+    flow: bool = False  # inside a paragraph, item or row
+    hidden: bool = False
+    notice: bool = False
+    linked: bool = False
 
-    def __post_init__(self) -> None:
-        super().__init__(convert_charrefs=True)
 
-    def _is_known(self, tag: str) -> bool:
-        return tag in BLOCKS or tag in INLINE or tag in HIDDEN or tag in VOID
+# comments, declarations, instructions, end tags (1) and start tags (2, and their attributes, 3)
+_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<![^>]*>|<(\?[^>]*)>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style")}
+_FLOW = frozenset(("p", "li", "tr"))
+_SIDES = frozenset(("header", "footer", "nav", "aside"))
+
+
+class _Visitor:
+    """Depth-first visitor of the elements of a page; notes for each source line its text and where it stands."""
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if not self._is_known(tag):
-            return self.handle_data(self.get_starttag_text() or "")  # a placeholder in angle brackets
+    def __init__(self) -> None:
+        self.lines: dict[int, Line] = {}
+        self.root = _Open()
+        self.stack: list[_Open] = []
+        self.containers = 0
+
+    def read(self, raw: str) -> dict[int, Line]:
+        no, at, end = 1, 0, len(raw)
+        while at < end:
+            m = _TOKEN.search(raw, at)
+            start = m.start() if m else end
+            if start > at:
+                self.text(raw[at:start], no)
+                no += raw.count("\n", at, start)
+            if not m:
+                break
+            at = m.end()
+            said, closed, opened, attrs = m.groups()
+            if opened:
+                tag = opened.lower()
+                self.open(tag, no, m[0])
+                if attrs.endswith("/"):
+                    self.close(tag, no)
+                elif tag in _RAW_END:
+                    e = _RAW_END[tag].search(raw, at)
+                    at = e.start() if e else end
+            elif closed:
+                self.close(closed.lower(), no)
+            elif said:
+                self.add(f"<{said}>", no)
+            no += raw.count("\n", start, at)
+        return self.lines
+
+    def line(self, no: int) -> Line:
+        x = self.lines.get(no)
+        if x is None:
+            x = self.lines[no] = Line(no)
+        return x
+
+    def open(self, tag: str, no: int, whole: str) -> None:
+        block = tag in BLOCKS
+        if not block and tag not in INLINE and tag not in HIDDEN and tag not in VOID:
+            return self.add(whole, no)  # a placeholder in angle brackets
         if tag in VOID:
             return None
-        box = self.stack[-1][1] if self.stack else -1
-        if tag in TOP and not any(t in ("p", "li", "tr") for t, _ in self.stack):
-            self.containers += 1
-            box = box if box >= 0 and tag == "div" and self.stack[-1][0] in ("header", "footer", "nav", "aside") else self.containers
-        self.stack.append((tag, box))
-        if tag in BLOCKS and tag not in TOP:
-            self._line(self.getpos()[0]).tag = self._line(self.getpos()[0]).tag or tag
+        on = self.stack[-1] if self.stack else self.root
+        box, path = on.box, on.path
+        if tag in TOP:
+            if not on.flow:
+                self.containers += 1
+                if box < 0 or tag != "div" or on.tag not in _SIDES:
+                    box = self.containers
+                    path = (*path, (box, tag))
+        elif block:
+            x = self.line(no)
+            x.tag = x.tag or tag
+        self.stack.append(_Open(tag, box, path, tag if block else on.block, on.flow or tag in _FLOW, on.hidden or tag in HIDDEN, on.notice or tag == "noscript", on.linked or tag == "a"))
         return None
 
-    def handle_endtag(self, tag: str) -> None:
-        if any(t == tag for t, _ in self.stack):
-            while self.stack.pop()[0] != tag:
-                pass
-        elif not self._is_known(tag):
-            self.handle_data(f"</{tag}>")
-
-    def handle_pi(self, data: str) -> None:
-        self.handle_data(f"<?{data}>")
-
-    def _line(self, no: int) -> Line:
-        return self.lines.setdefault(no, Line(no))
-
-    def handle_data(self, data: str) -> None:
-        no = self.getpos()[0]
-        tags = [t for t, _ in self.stack]
-        hidden = any(t in HIDDEN for t in tags)
+    def close(self, tag: str, no: int) -> None:
+        stack = self.stack
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i].tag == tag:
+                del stack[i:]
+                return
+        if tag not in BLOCKS and tag not in INLINE and tag not in HIDDEN and tag not in VOID:
+            self.add(f"</{tag}>", no)
+
+    def text(self, data: str, no: int) -> None:
+        if not data.isspace():
+            self.add(html.unescape(data) if "&" in data else data, no)
+
+    def add(self, data: str, no: int) -> None:
+        on = self.stack[-1] if self.stack else self.root
         for k, part in enumerate(data.split("\n")):
-            if not part.strip():
+            n = len(part.strip())
+            if not n:
                 continue
-            x = self._line(no + k)
+            x = self.line(no + k)
             x.text += part
-            x.hidden |= hidden
-            x.notice |= "noscript" in tags
-            x.shown += len(part.strip())
-            x.linked += len(part.strip()) if "a" in tags else 0
+            x.hidden |= on.hidden
+            x.notice |= on.notice
+            x.shown += n
+            if on.linked:
+                x.linked += n
             if x.container < 0:
-                x.container = self.stack[-1][1] if self.stack else 0
-                x.path = tuple({b: t for t, b in reversed(self.stack) if b >= 0}.items())[::-1]
-            x.tag = x.tag or next((t for t in reversed(tags) if t in BLOCKS), "")
+                x.container = on.box if self.stack else 0
+                x.path = on.path
+            x.tag = x.tag or on.block
 
 
 def clean(text: str) -> str:
-    return _WS.sub(" ", text).strip()
+    return " ".join(text.split())
 
 
 def page_lines(raw: str, notices: bool = False) -> tuple[bool, list[Line]]:
     """Whether the page is HTML, and its lines with visible text, with those for browsers without scripts if ``notices``."""
-    if _HTML.search(raw[:4000]) or _HTML.search(raw):
-        p = _Parser()
-        p.feed(raw)
-        p.close()
-        out = [x for _, x in sorted(p.lines.items()) if not x.hidden or (notices and x.notice)]
+    if _HTML.search(raw):
+        out = [x for _, x in sorted(_Visitor().read(raw).items()) if not x.hidden or (notices and x.notice)]
         for x in out:
             x.text = clean(x.text)
         return True, [x for x in out if x.text]
@@ -252,59 +302,76 @@ SHARE, PAGES = 0.5, 2
 HEAD_SHARE, HEAD_PAGES = 0.7, 4
 
 
-@dataclass
+@dataclass(slots=True)
 class Hint:
-    """What the counts say of a line: its part by its whole text, by its ends, and its recurrence on its host."""
+    """What the counts say of a line: its part by its whole text, by its ends, and its recurrence on its host.
 
-    role: dict[str, int] = field(default_factory=dict)
+    It travels as one number, with the line's: see ``hint_code``.
+    """
+
+    known: bool = False
+    apart: bool = False  # its text is furniture more often than body
+    kind: str = "content"  # content, side, heading, furniture or link
+    top: str = ""  # the part its text plays most often
     ends: str = ""
+    pages: int = 0  # up to HEAD_PAGES
     share: float = 0.0
-    pages: int = 0
+    mixed: bool = False  # its text also plays parts other than furniture and link
+
+
+KINDS = ("content", "side", "heading", "furniture", "link")
+_NO_HINT = Hint()
+
+
+def hint_code(tally: dict[str, Column], known: Column, end: Column, share: Column, pages: Column) -> Column:
+    """A hint in 24 bits, from how often the text plays each part, the part its ends are sure of, and its recurrence."""
+    t = tally
+    rest = sum((t[r] for r in ROLES if r not in ("furniture", "link")), F.lit(0))
+    kind = (
+        F.when(t["side"] > t["heading"], 1).when(t["heading"] > 0, 2).when(t["furniture"] > rest + t["link"], 3)
+        .when((t["link"] > 0) & (t["link"] + t["title"] > t["item"] + t["paragraph"] + t["row"]), 4).otherwise(0)
+    )
+    most = F.array_max(F.array(*[F.struct(t[r].alias("n"), F.lit(r).alias("r"), F.lit(i).alias("i")) for i, r in enumerate(ROLES)]))["i"]
+    at = F.coalesce(F.array_position(F.array(*[F.lit(r) for r in ROLES]), end), F.lit(0))
+    by_text = F.when(known, 1 + 2 * (t["furniture"] > rest).cast("int") + 4 * kind + 32 * most).otherwise(F.lit(0))
+    return by_text.cast("bigint") + 256 * at.cast("bigint") + 4096 * F.least(pages, F.lit(7)).cast("bigint") + 32768 * F.round(share * 255).cast("bigint") + (1 << 23) * (known & (rest > 0)).cast("bigint")
+
+
+def _hint(code: int) -> Hint:
+    known = bool(code & 1)
+    end = code >> 8 & 15
+    return Hint(known, bool(code & 2), KINDS[code >> 2 & 7], ROLES[code >> 5 & 7] if known else "", ROLES[end - 1] if end else "", code >> 12 & 7, (code >> 15 & 255) / 255, bool(code >> 23 & 1))
 
 
 def text_body(lines: list[Line], hints: list[Hint]) -> list[int]:
     """The numbers of the lines of the main body of a page without structure."""
     n = len(lines)
 
-    def top(h: Hint) -> str:
-        return max(h.role, key=lambda r: (h.role[r], r)) if h.role else ""
-
     def furniture(i: int) -> bool:
         x, h = lines[i], hints[i]
-        if h.role:
-            return h.role.get("furniture", 0) > sum(v for r, v in h.role.items() if r not in ("furniture", "link"))
+        if h.known:
+            return h.apart
         if h.ends == "furniture" or x.text.count(" | ") >= 2:
             return True
         sentence = x.text.endswith((".", "!", "?"))
-        return h.pages >= (4 if sentence else PAGES) and h.share >= (0.7 if sentence else SHARE)
+        return h.pages >= (HEAD_PAGES if sentence else PAGES) and h.share >= (HEAD_SHARE if sentence else SHARE)
 
     lo = 0
-    while lo < n and (furniture(lo) or (_CRUMB.match(lines[lo].text) and not hints[lo].role.keys() - {"link", "furniture"} and len(lines[lo].text) < 120)):
+    while lo < n and (furniture(lo) or (_CRUMB.match(lines[lo].text) and not hints[lo].mixed and len(lines[lo].text) < 120)):
         lo += 1
     hi = n
     while hi > lo and furniture(hi - 1):
         hi -= 1
 
     def kind(i: int) -> str:
-        """content, heading, side, link or furniture"""
+        """content, heading, side, link, furniture or open"""
         x, h = lines[i], hints[i]
         if _BULLET.match(x.text) or "\t" in x.text:
             return "content"
-        r = h.role
-        if r:
-            if r.get("side", 0) > r.get("heading", 0):
-                return "side"
-            if r.get("heading", 0) > 0:
-                return "heading"
-            if r.get("furniture", 0) > sum(v for k, v in r.items() if k != "furniture"):
-                return "furniture"
-            if r.get("link", 0) and r.get("link", 0) + r.get("title", 0) > r.get("item", 0) + r.get("paragraph", 0) + r.get("row", 0):
-                return "link"
-            return "content"
-        if h.ends == "link":
-            return "link"
-        if h.ends == "furniture":
-            return "furniture"
+        if h.known:
+            return h.kind
+        if h.ends in ("link", "furniture"):
+            return h.ends
         return "content" if x.text.endswith((".", "!", "?", ":", ";")) or h.ends in ("item", "paragraph", "row") else "open"
 
     kinds = [kind(i) if lo <= i < hi else "furniture" for i in range(n)]
@@ -321,7 +388,7 @@ def text_body(lines: list[Line], hints: list[Hint]) -> list[int]:
             # headings at the end of the block: links too, unless a list follows, which needs a heading, or the block is full without them
             back = j
             if j < hi and kinds[j - 1] == "heading" and j - 1 > i:
-                listed = bool(_BULLET.match(lines[j].text)) or hints[j].ends in ("item", "row") or top(hints[j]) in ("item", "row")
+                listed = bool(_BULLET.match(lines[j].text)) or hints[j].ends in ("item", "row") or hints[j].top in ("item", "row")
                 size = j - 1 - i
                 if (listed and size > 2) or size >= 6:
                     back = j - 1
@@ -334,7 +401,7 @@ def text_body(lines: list[Line], hints: list[Hint]) -> list[int]:
 
 
 def html_body(lines: list[Line], hints: list[Hint], headed: bool = True) -> list[int]:
-    rec = [1.0 if h.ends == "furniture" or max(h.role, key=lambda r: (h.role[r], r), default="") == "furniture" else h.share if h.pages >= PAGES else 0.0 for h in hints]
+    rec = [1.0 if "furniture" in (h.ends, h.top) else h.share if h.pages >= PAGES else 0.0 for h in hints]
     roles = html_roles(lines, rec, headed)
     return [x.no for x, r in zip(lines, roles, strict=True) if r not in ("furniture", "side", "link")]
 
@@ -345,18 +412,35 @@ def host_of(url: Column, other: Column) -> Column:
     return F.when(h != "", h)
 
 
-LINE_SCHEMA = "pid bigint, id string, host string, line_no int, role string, h bigint, h_first bigint, h_last bigint, text string, box bigint, nested boolean"
+LINE_SCHEMA = "pid bigint, id string, host string, line_no int, role string, h bigint, h_first bigint, h_last bigint, text string, box bigint, nested boolean, first int"
+#: Bits of ``first``: the first line of its page, the first there with its hash, the first there in its box.
+OF_PAGE, OF_HASH, OF_BOX = 1, 2, 4
 #: A page with such an element shows its structure.
 HEADED = r"(?i)<h1[\s>]"
 
 
+#: Rows of a batch turned into Python objects at once, and lines given out at once: they bound what a task holds, beside its largest page.
+ROWS, LINES = 64, 8_000
+
+
+def _rows(b: pa.RecordBatch) -> Iterator[tuple]:
+    for i in range(0, b.num_rows, ROWS):
+        yield from zip(*(c.to_pylist() for c in b.slice(i, ROWS).columns), strict=True)
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every line with its hashes; in pages that show their structure also its part, and the text if that is the body."""
     names = [c.split()[0] for c in LINE_SCHEMA.split(", ")]
-    types = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
+    types = (pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int32())
+    rows: list[tuple] = []
+
+    def out() -> pa.RecordBatch:
+        made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+        rows.clear()
+        return made
+
     for b in batches:
-        cols: list[list] = [[] for _ in names]
-        for pid, key, raw, host, org in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for pid, key, raw, host, org in _rows(b):
             if is_json(raw):
                 continue
             is_html, lines = page_lines(raw, notices=True)
@@ -364,11 +448,16 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             roles = html_roles(lines) if headed else [None] * len(lines)
             said = [hashes(x.text, org or "") for x in lines]
             held = boxes(lines, roles, [h[0] for h in said]) if headed else [None] * len(lines)
+            seen: set = {None}
             for x, r, h, at in zip(lines, roles, said, held, strict=True):
                 body = headed and r not in ("furniture", "side", "link")
-                for c, v in zip(cols, (pid, key if body else None, host, x.no, r, *h, x.text if body else None, *(at or (None, None))), strict=True):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
+                first = OF_PAGE * (len(seen) == 1) + OF_HASH * (h[0] not in seen) + OF_BOX * (at not in seen)
+                seen |= {h[0], at}
+                rows.append((pid, key if body else None, host, x.no, r, *h, x.text if body else None, *(at or (None, None)), first))
+            if len(rows) >= LINES:
+                yield out()
+    if rows:
+        yield out()
 
 
 def _salted(big: DataFrame, small: DataFrame, keys: list[str], n: int = 16) -> DataFrame:
@@ -379,8 +468,7 @@ def _salted(big: DataFrame, small: DataFrame, keys: list[str], n: int = 16) -> D
 
 def _without_recurring(lines: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """The lines without the parts that recurring subtrees took, and the pages (pid), if any, whose heading stands in the site's masthead: their lines have no part yet."""
-    held = lines.where("host is not null and box is not null").groupBy("host", "box", "nested", "pid").agg(F.lit(1).alias("one"))
-    often = held.groupBy("host", "box", "nested").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= F.when(F.col("nested"), PAGES).otherwise(HEAD_PAGES)).join(sizes, "host")
+    often = lines.where(f"host is not null and box is not null and first & {OF_BOX} <> 0").groupBy("host", "box", "nested").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= F.when(F.col("nested"), PAGES).otherwise(HEAD_PAGES)).join(sizes, "host")
     often = cut_lineage(often.where(F.col("on_pages") >= F.when(F.col("nested"), SHARE).otherwise(HEAD_SHARE) * F.col("host_pages")).select("host", "box", "nested"))
     kinds = {r[0] for r in often.select("nested").distinct().collect()}
     masthead = None
@@ -398,15 +486,16 @@ def _without_recurring(lines: DataFrame, sizes: DataFrame) -> tuple[DataFrame, D
 
 
 def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation: str, least: int = 3, pure: float = 0.97) -> DataFrame:
-    """(id, line_no, text) of the lines of each page's main body; the lines of a repeated row come as often as it does."""
-    src = (
+    """(id, line_no, text) of the lines of each page's main body; a repeated row counts once."""
+    every = (
         pages.select(F.col(id_).cast("string").alias("id"), F.col(raw).alias("raw"), host.alias("host"), F.lower(F.trim(F.col(organisation))).alias("org"))
         .where("id is not null and raw is not null and raw <> ''")
         .select(F.xxhash64("id", "raw").alias("pid"), "*")
     )
+    src = every.dropDuplicates(["pid"])
     lines = cut_lineage(spread(src.select("pid", "id", "raw", "host", "org")).mapInArrow(_parse, LINE_SCHEMA))
 
-    sizes = lines.where("host is not null").groupBy("host").agg(F.count_distinct("pid").alias("host_pages"))
+    sizes = lines.where(f"host is not null and first & {OF_PAGE} <> 0").groupBy("host").agg(F.count("*").alias("host_pages"))
     lines, masthead = _without_recurring(lines, sizes)
 
     tally = [F.count_if(F.col("role") == r).alias(r) for r in ROLES]
@@ -415,37 +504,46 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
     ends = known.select("role", F.explode(F.array("h_first", "h_last")).alias("h")).where("h <> 0").groupBy("h").agg(*tally).withColumn("n", F.expr("+".join(ROLES)))
     best = F.array_max(F.array(*[F.struct(F.col(r).alias("n"), F.lit(r).alias("role")) for r in ROLES]))
     ends = ends.where(F.col("n") >= 5 * least).withColumn("b", best).where(F.col("b.n") >= pure * F.col("n")).select("h", F.col("b.role").alias("end"))
-    once = lines.where("host is not null").select("host", "h", "pid").distinct()
-    recurs = once.groupBy("host", "h").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= PAGES).join(sizes, "host")
+    recurs = lines.where(f"host is not null and first & {OF_HASH} <> 0").groupBy("host", "h").agg(F.count("*").alias("on_pages")).where(F.col("on_pages") >= PAGES).join(sizes, "host")
     recurs = recurs.where(F.col("on_pages") >= SHARE * F.col("host_pages")).select("host", "h", "on_pages", (F.col("on_pages") / F.col("host_pages")).alias("share"))
 
     # only lines of pages without structure need what the counts say, and of them only those whose text is unknown need more than that
+    none, zero = F.lit(None).cast("string"), F.lit(0)
+    tallies, no_tally = {r: F.coalesce(r, zero) for r in ROLES}, dict.fromkeys(ROLES, zero)
     x = _salted(lines.where("role is null").select("pid", "host", "line_no", "h", "h_first", "h_last"), whole, ["h"])
-    x = cut_lineage(x.select("pid", "host", "line_no", "h", "h_first", "h_last", F.when(F.col(ROLES[0]).isNotNull(), F.array(*ROLES)).alias("tally")))
-    y = _salted(x.where("tally is null").drop("tally"), ends.withColumnsRenamed({"h": "h_first", "end": "end_first"}), ["h_first"])
+    x = x.withColumn("code", F.when(F.col(ROLES[0]).isNotNull(), hint_code(tallies, F.lit(True), none, F.lit(0.0), zero)))
+    x = cut_lineage(x.select("pid", "host", "line_no", "h", "h_first", "h_last", "code"))
+    y = _salted(x.where("code is null").drop("code"), ends.withColumnsRenamed({"h": "h_first", "end": "end_first"}), ["h_first"])
     y = _salted(y, ends.withColumnsRenamed({"h": "h_last", "end": "end_last"}), ["h_last"])
     y = _salted(y, recurs, ["host", "h"])
-    known = x.where("tally is not null").select("pid", "line_no", "tally", F.lit("").alias("ends"), F.lit(0.0).alias("share"), F.lit(0).alias("pages"))
-    other = y.select("pid", "line_no", F.lit(None).cast(x.schema["tally"].dataType).alias("tally"), F.coalesce("end_first", "end_last", F.lit("")).alias("ends"), F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("on_pages", F.lit(0)).cast("int").alias("pages"))
-    hints = known.unionByName(other).groupBy("pid").agg(F.collect_list(F.struct("line_no", "tally", "ends", "share", "pages")).alias("hints"))  # as many as the page has lines
-    plain = src.select("pid", "id", "raw", (~F.col("raw").rlike(HEADED)).alias("plain"))
-    plain = plain.where("plain") if masthead is None else plain.join(masthead.withColumn("m", F.lit(True)), "pid", "left").where("plain or m").drop("m")
-    plain = plain.join(hints, "pid").select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string")
-    return lines.where("text is not null").select("id", "line_no", "text").unionByName(plain)
+    unknown = hint_code(no_tally, F.lit(False), F.coalesce("end_first", "end_last"), F.coalesce("share", F.lit(0.0)), F.coalesce("on_pages", zero))
+    coded = x.where("code is not null").select("pid", "line_no", "code").unionByName(y.select("pid", "line_no", unknown.alias("code")))
+    hints = coded.groupBy("pid").agg(F.collect_list(F.shiftleft(F.col("line_no").cast("bigint"), 24) + F.col("code")).alias("hints"))  # as many as the page has lines
+    plain = ~F.col("raw").rlike(HEADED)
+    if masthead is None:
+        pages_left = every.where(plain)
+    else:
+        pages_left = every.join(masthead.withColumn("m", F.lit(True)), "pid", "left").where(plain | F.col("m"))
+    pages_left = pages_left.select("pid", "id", "raw").dropDuplicates(["pid"]).join(hints, "pid")
+    return lines.where("text is not null").select("id", "line_no", "text").unionByName(pages_left.select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string"))
 
 
 def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+
+    def made() -> pa.RecordBatch:
+        b = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.string()), strict=True)], ["id", "line_no", "text"])
+        out.clear()
+        return b
+
     for b in batches:
-        ids, nos, texts = [], [], []
-        for key, raw, said in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for key, raw, said in _rows(b):
             is_html, lines = page_lines(raw)
-            by = {s["line_no"]: s for s in said}
-            hints = []
-            for x in lines:
-                s = by.get(x.no)
-                hints.append(Hint({r: v for r, v in zip(ROLES, s["tally"], strict=True) if v} if s["tally"] else {}, s["ends"], s["share"], s["pages"]) if s else Hint())
+            by = {c >> 24: _hint(c & 0xFFFFFF) for c in said}
+            hints = [by.get(x.no, _NO_HINT) for x in lines]
             body = set(html_body(lines, hints, headed=False) if is_html else text_body(lines, hints))
-            for x in lines:
-                if x.no in body:
-                    ids.append(key), nos.append(x.no), texts.append(x.text)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(nos, pa.int32()), pa.array(texts, pa.string())], ["id", "line_no", "text"])
+            out += [(key, x.no, x.text) for x in lines if x.no in body]
+            if len(out) >= LINES:
+                yield made()
+    if out:
+        yield made()
