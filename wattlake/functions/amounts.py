@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from wattlake.functions.text import strip
+
 # Words near which an amount is that of the offer itself.
 CONTEXT = ("rebate", "incentive", "up to $", "receive up to", "save up to", "earn up to", "tax credit", "grant", "award", "discount", "reimburs", "you could receive", "you may receive", "qualifying purchase")
 
+# Patterns of amounts.
 DOLLARS, SHARE = r"\$([0-9,]+(?:\.[0-9]+)?)", r"([0-9]+(?:\.[0-9]+)?)\s*%"
 PER_KWH, UP_TO = r"\$([0-9]+(?:\.[0-9]+)?)\s*/\s*(?:k[Ww][Hh])", r"(?i)up\s+to\s+\$([0-9,]+(?:\.[0-9]+)?)"
 
@@ -57,28 +60,43 @@ def share_in_text(text: Column) -> Column:
     return F.regexp_extract(F.coalesce(text, F.lit("")), r"\b([1-9][0-9]?|100)\s*%", 1).try_cast("double")
 
 
+# Patterns of the amounts in an amount field.
+LISTED_RANGE = r"\$\s*([0-9,]+(?:\.[0-9]+)?)\s*-\s*\$\s*([0-9,]+(?:\.[0-9]+)?)"
+LISTED_UP_TO = r"(?i)up\s+to\s+\$\s*([0-9,]+(?:\.[0-9]+)?)"
+LISTED_SUM = r"\$\s*([0-9,]+(?:\.[0-9]+)?)"
+LISTED_PLAIN = r"^([0-9,]+(?:\.[0-9]+)?)$"
+
+
 def read_listed_amount(text: Column) -> Column:
     """Struct (format, amount, maximum, percent) of an amount field: range, ceiling, share, sum or plain number.
 
-    A ceiling, share or sum of zero has no format.
+    The first pattern that occurs decides; a ceiling, share or sum of zero has no format, a bound of zero is null.
     """
-    t = F.trim(F.coalesce(text, F.lit("")))
-    lo, hi = r"\$?\s*([0-9,]+(?:\.[0-9]+)?)\s*-\s*\$\s*([0-9,]+(?:\.[0-9]+)?)", r"(?i)up\s+to\s+\$?\s*([0-9,]+(?:\.[0-9]+)?)"
+    t = strip(F.coalesce(text, F.lit("")))
     none = F.lit(None).cast("double")
 
     def out(fmt: str | None, amount: Column = none, maximum: Column = none, percent: Column = none) -> Column:
         return F.struct(F.lit(fmt).cast("string").alias("format"), amount.alias("amount"), maximum.alias("maximum"), percent.alias("percent"))
 
-    def some(v: Column, kept: Column) -> Column:
-        return F.when(v != 0, kept).otherwise(out(None))
+    def some(v: Column) -> Column:
+        return F.when(v != 0, v)
 
-    up, share, money, plain = _first(t, hi), _first(t, SHARE), _first(t, DOLLARS), number(t)
+    def single(pattern: str, made) -> Column:
+        v = some(_first(t, pattern))
+        return F.when(v.isNotNull(), made(v)).otherwise(out(None))
+
+    lo, hi = (some(number(F.regexp_extract(t, LISTED_RANGE, i))) for i in (1, 2))
     return (
-        F.when((t == "") | F.lower(t).isin("varies", "n/a", "na"), out("narrative"))
-        .when(t.rlike(lo), out("tiered", number(F.regexp_extract(t, lo, 1)), number(F.regexp_extract(t, lo, 2))))
-        .when(t.rlike(hi), some(up, out("dollar_amount", none, up)))
-        .when(t.rlike(SHARE), some(share, out("percent", none, none, share)))
-        .when(t.rlike(DOLLARS), some(money, out("dollar_amount", money)))
-        .when(t.rlike(r"^[0-9,]+(?:\.[0-9]+)?$"), some(plain, out("dollar_amount", plain)))
+        F.when((t == "") | F.lower(t).isin("varies", "n/a"), out("narrative"))
+        .when(t.rlike(LISTED_RANGE), out("tiered", lo, hi))
+        .when(t.rlike(LISTED_UP_TO), single(LISTED_UP_TO, lambda v: out("dollar_amount", maximum=v)))
+        .when(t.rlike(SHARE), single(SHARE, lambda v: out("percent", percent=v)))
+        .when(t.rlike(LISTED_SUM), single(LISTED_SUM, lambda v: out("dollar_amount", v)))
+        .when(t.rlike(LISTED_PLAIN), single(LISTED_PLAIN, lambda v: out("dollar_amount", v)))
         .otherwise(out("narrative"))
     )
+
+
+def settle_hub(amount: Column, text: Column, most: int = 3) -> Column:
+    """``amount`` (format, amount) unless the text names ``most`` different amounts or more: then it lists offers and has none of its own."""
+    return F.when(distinct_amounts(text) >= most, F.struct(F.lit("narrative").alias("format"), F.lit(None).cast("double").alias("amount"))).otherwise(amount)

@@ -13,6 +13,8 @@ CONTRACTOR = r"(?i)(?:must be (?:installed|completed) by|licensed contractor|app
 AUDIT = r"(?i)(?:energy audit required|home assessment required|home energy assessment|home energy checkup required|pre-inspection required)"
 ENDED = r"(?i)(?:expired|program ended|no longer available|program closed|funding exhausted|wait ?list)"
 
+LOW_INCOME = r"(?i)(?:low.income|income.qualified|income.eligible|CARE|FERA|LIHEAP|Good Neighbor|affordable|<\s*\d+%\s*AMI|\d+%\s*(?:of\s+)?(?:area\s+median|AMI))"
+
 
 def found(text: Column, pattern: str) -> Column:
     x = F.regexp_extract(F.coalesce(text, F.lit("")), pattern, 1)

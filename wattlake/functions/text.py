@@ -14,6 +14,12 @@ def norm(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), WS, " "))
 
 
+def strip(c: Column | str) -> Column:
+    """Without white space of any kind at its ends."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(c, f"^{WS}|{WS}$", "")
+
+
 def blank_to_null(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.when(F.trim(F.regexp_replace(c, WS, " ")) != "", c)

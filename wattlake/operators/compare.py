@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlake.functions.arrays import jaccard
+from wattlake.functions.text import strip
 
 
-def compare_texts(a: Column, b: Column, long: int = 490) -> Column:
-    """match, partial (one holds the other), mismatch; empty, missing (only the second) or extra (only the first). Case and outer spaces ignored."""
-    x, y = (F.lower(F.trim(F.coalesce(c, F.lit("")))) for c in (a, b))
-    return (
-        F.when((x == "") & (y == ""), "empty").when(x == "", "missing").when(y == "", "extra").when(x == y, "match").when(x.contains(y) | y.contains(x), "partial").otherwise("mismatch")
-    )
+def compare_texts(a: Column, b: Column, long: int = 490, head: int = 100) -> Column:
+    """match, partial (one holds the other, or the second the first ``head`` characters of a first of ``long`` bytes or more), mismatch; empty, missing (only the second) or extra (only the first). Case and outer spaces ignored."""
+    x, y = (strip(F.coalesce(c, F.lit(""))) for c in (a, b))
+    cut = F.octet_length(x) >= long
+    x, y = F.lower(x), F.lower(y)
+    partial = (cut & y.contains(F.substring(x, 1, head))) | x.contains(y) | y.contains(x)
+    return F.when((x == "") & (y == ""), "empty").when(x == "", "missing").when(y == "", "extra").when(x == y, "match").when(partial, "partial").otherwise("mismatch")
 
 
 def compare_numbers(a: Column, b: Column, tolerance: float = 0.05) -> Column:
@@ -49,3 +51,18 @@ def overall(melted: DataFrame, id_: str) -> DataFrame:
 def gaps(melted: DataFrame) -> DataFrame:
     """(field, n): how often a field is missing or differs."""
     return melted.where(F.col("status").isin("missing", "mismatch")).groupBy("field").agg(F.count("*").alias("n"))
+
+
+def means(scores: DataFrame, group: str, score: str, failed: str) -> DataFrame:
+    """(group, n, mean, mean_of_read): the mean score, failed records counted with their score and left out."""
+    return scores.groupBy(group).agg(F.count("*").alias("n"), F.avg(score).alias("mean"), F.avg(F.when(~F.col(failed), F.col(score))).alias("mean_of_read"))
+
+
+def grade(score: Column) -> Column:
+    return F.when(score >= 0.85, "good").when(score >= 0.65, "fair").when(score >= 0.4, "weak").otherwise("poor")
+
+
+def bar(score: Column, width: int = 10) -> Column:
+    """A bar of ``width`` signs, as many of them filled as the score has whole parts."""
+    n = F.floor(score * width).cast("int")
+    return F.concat(F.repeat(F.lit("#"), n), F.repeat(F.lit("."), F.lit(width) - n))

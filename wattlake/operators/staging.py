@@ -89,3 +89,14 @@ def top_n(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int)
     """The first ``n`` rows of each key with their ``rank``; row_number with a limit on it, so Spark keeps no more than ``n`` a key and partition before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def limited(rows: DataFrame, group: str, order: Sequence[Column], limits: dict[str, int]) -> DataFrame:
+    """The first rows of each group up to its limit; groups without a limit, and a null group, are whole."""
+    most = F.lit(None).cast("int")
+    for g, n in limits.items():
+        most = F.when(F.col(group) == g, n).otherwise(most)
+    some = rows.where(most.isNotNull()).withColumn("__most", most)
+    w = Window.partitionBy(group).orderBy(*order)
+    kept = some.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= max([0, *limits.values()])).where(F.col("__n") <= F.col("__most"))
+    return rows.where(most.isNull()).unionByName(kept.select(*rows.columns))

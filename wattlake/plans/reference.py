@@ -22,7 +22,9 @@ PRIORITY = ("rewiring_america", "dsireusa", "energy_star")
 # Formats and units that a catalog takes.
 FORMATS = ("dollar_amount", "percent", "per_unit", "tiered", "tax_credit", "tax_deduction", "tax_exemption", "financing", "bill_credit", "free_product", "performance", "narrative")
 UNITS = ("watt", "kilowatt", "kwh", "mmbtu", "sqft", "linear_ft", "ton", "unit", "port", "month", "year", "percent_saved", "other")
-NORM_SQL = r"trim(regexp_replace(lower({0}), '[\s\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]+', ' ', 'g'))"
+WS_SQL = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+NORM_SQL = "trim(regexp_replace(lower({0}), '" + WS_SQL.replace("{", "{{").replace("}", "}}") + "', ' ', 'g'))"
+STRIP_SQL = "regexp_replace({0}, '^" + (WS_SQL + "|" + WS_SQL).replace("{", "{{").replace("}", "}}") + "$', '', 'g')"
 HASH_SQL = f"sha256(coalesce({NORM_SQL.format('program_name')},'') || '|' || coalesce({NORM_SQL.format('utility_company')},''))"
 RANK_SQL = "CASE source WHEN 'rewiring_america' THEN 0 WHEN 'dsireusa' THEN 1 WHEN 'energy_star' THEN 2 ELSE 3 END"
 LIVE_SQL = f"WITH s AS (SELECT *, coalesce(nullif(stg_program_hash,''), {HASH_SQL}) AS k, {RANK_SQL} AS r FROM rebates_staging WHERE deleted_at IS NULL)"
@@ -160,14 +162,21 @@ def stats_activity(spark, d):
     return report.activity(table(spark, d, "rebates_staging"), "created_at", "updated_at", AT, {"day": "24 hours", "week": "7 days"})
 
 
+SHIFT = 500
+
+
 def _sides(spark, d):
+    """All events as a table, and all of them again as arrivals, other values under keys that are shifted: some keys are new, some are known, some aren't seen."""
     e = table(spark, d, "events")
-    old = e.where("event_id % 3 <> 0").select("event_id", "event_type", "value", F.lit("done").alias("state"))
-    new = e.where("event_id % 2 = 0").select("event_id", F.concat("event_type", F.lit("2")).alias("event_type"), F.when(F.col("event_id") % 5 != 0, F.col("value") + 1).alias("value"), F.lit("new").alias("state"))
+    old = e.select("event_id", "event_type", "value", F.lit("done").alias("state"))
+    new = e.select(
+        (F.col("event_id") + SHIFT).alias("event_id"), F.concat("event_type", F.lit("2")).alias("event_type"), F.when(F.col("event_type") != "click", F.col("value") + 1).alias("value"), F.lit("new").alias("state")
+    )
     return old, new
 
 
-UPSERT_SQL = "WITH e AS (SELECT event_id, event_type, value, 'done' AS state FROM events WHERE event_id % 3 <> 0), i AS (SELECT event_id, event_type || '2' AS event_type, CASE WHEN event_id % 5 <> 0 THEN value + 1 END AS value, 'new' AS state FROM events WHERE event_id % 2 = 0) "
+UPSERT_SQL = f"""WITH e AS (SELECT event_id, event_type, value, 'done' AS state FROM events),
+i AS (SELECT event_id + {SHIFT} AS event_id, event_type || '2' AS event_type, CASE WHEN event_type <> 'click' THEN value + 1 END AS value, 'new' AS state FROM events) """
 
 
 @query(UPSERT_SQL + "SELECT coalesce(e.event_id, i.event_id) AS event_id, CASE WHEN i.event_id IS NOT NULL THEN i.event_type ELSE e.event_type END AS event_type, CASE WHEN i.event_id IS NOT NULL THEN i.value ELSE e.value END AS value, coalesce(e.state, i.state) AS state FROM e FULL JOIN i ON e.event_id = i.event_id")
@@ -192,10 +201,14 @@ def unseen_rows(spark, d):
     return staging.unseen(old, new, "event_id").select("event_id")
 
 
-@query("WITH n AS (SELECT DISTINCT l_orderkey, l_suppkey + 1 AS l_suppkey FROM lineitem WHERE l_orderkey % 2 = 0) SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT * FROM n")
+@query(
+    """WITH n AS (SELECT DISTINCT o_orderkey + 1000 AS l_orderkey, o_custkey AS l_suppkey FROM orders)
+SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM n) UNION ALL SELECT * FROM n"""
+)
 def replace_links(spark, d):
-    old = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey")
-    return staging.replace_links(old, old.where("l_orderkey % 2 = 0").select("l_orderkey", (F.col("l_suppkey") + 1).alias("l_suppkey")), "l_orderkey")
+    """The links of lineitem, those of every order that another table has links for replaced by these."""
+    new = table(spark, d, "orders").select((F.col("o_orderkey") + 1000).alias("l_orderkey"), F.col("o_custkey").alias("l_suppkey"))
+    return staging.replace_links(table(spark, d, "lineitem").select("l_orderkey", "l_suppkey"), new, "l_orderkey")
 
 
 @query(LIVE_SQL + """, g AS (SELECT k, arg_min(stg_source_id, row(r,id)) AS first FROM s GROUP BY k), l AS (SELECT program_hash, min(id) AS id FROM rebates WHERE program_hash IS NOT NULL GROUP BY 1) SELECT g.k AS program_hash, coalesce(l.id, g.first) AS id FROM g LEFT JOIN l ON l.program_hash = g.k""")
@@ -298,12 +311,26 @@ def distinct_amounts(spark, d):
     return table(spark, d, "documents").select("doc_id", amounts.distinct_amounts(F.col("text")).alias("n"))
 
 
+_NUM = r"([0-9,]+(?:\.[0-9]+)?)"
+_VALUE = "nullif(coalesce(try_cast(replace(regexp_extract(t, '{0}', {1}), ',', '') AS DOUBLE), 0), 0)"
+
+
 @query(
-    r"""WITH d AS (SELECT DISTINCT incentiveamount AS a FROM energy_star_raw), t AS (SELECT a, trim(coalesce(a,'')) AS t FROM d), x AS (SELECT *, regexp_matches(t, '\$?\s*([0-9,]+(?:\.[0-9]+)?)\s*-\s*\$\s*([0-9,]+(?:\.[0-9]+)?)') AS rng, regexp_matches(t, '(?i)up\s+to\s+\$?\s*[0-9,]+') AS up, regexp_matches(t, '[0-9]\s*%') AS pc, regexp_matches(t, '\$[0-9,]+') AS dl, regexp_matches(t, '^[0-9,]+(?:\.[0-9]+)?$') AS pl FROM t),
- y AS (SELECT *, coalesce(try_cast(replace(regexp_extract(t, '(?i)up\s+to\s+\$?\s*([0-9,]+(?:\.[0-9]+)?)', 1), ',', '') AS DOUBLE),0) AS vu, coalesce(try_cast(regexp_extract(t, '([0-9]+(?:\.[0-9]+)?)\s*%', 1) AS DOUBLE),0) AS vp, coalesce(try_cast(replace(regexp_extract(t, '\$([0-9,]+(?:\.[0-9]+)?)', 1), ',', '') AS DOUBLE),0) AS vd, coalesce(try_cast(replace(t, ',', '') AS DOUBLE),0) AS vl,
- try_cast(replace(regexp_extract(t, '\$?\s*([0-9,]+(?:\.[0-9]+)?)\s*-\s*\$', 1), ',', '') AS DOUBLE) AS lo, try_cast(replace(regexp_extract(t, '-\s*\$\s*([0-9,]+(?:\.[0-9]+)?)', 1), ',', '') AS DOUBLE) AS hi, (t = '' OR lower(t) IN ('varies','n/a','na')) AS nv FROM x)
- SELECT a AS written, CASE WHEN nv THEN 'narrative' WHEN rng THEN 'tiered' WHEN up THEN CASE WHEN vu<>0 THEN 'dollar_amount' END WHEN pc THEN CASE WHEN vp<>0 THEN 'percent' END WHEN dl THEN CASE WHEN vd<>0 THEN 'dollar_amount' END WHEN pl THEN CASE WHEN vl<>0 THEN 'dollar_amount' END ELSE 'narrative' END AS format,
- CASE WHEN nv THEN NULL WHEN rng THEN lo WHEN up OR pc THEN NULL WHEN dl THEN nullif(vd,0) WHEN pl THEN nullif(vl,0) END AS amount, CASE WHEN nv THEN NULL WHEN rng THEN hi WHEN up THEN nullif(vu,0) END AS maximum, CASE WHEN nv OR rng OR up THEN NULL WHEN pc THEN nullif(vp,0) END AS percent FROM y"""
+    rf"""
+WITH d AS (SELECT DISTINCT incentiveamount AS a FROM energy_star_raw),
+t AS (SELECT a, regexp_replace(coalesce(a, ''), '^{WS_SQL}|{WS_SQL}$', '', 'g') AS t FROM d),
+x AS (SELECT a, t = '' OR lower(t) IN ('varies', 'n/a') AS bare,
+    regexp_matches(t, '\$\s*{_NUM}\s*-\s*\$\s*{_NUM}') AS rng, regexp_matches(t, '(?i)up\s+to\s+\$\s*{_NUM}') AS up,
+    regexp_matches(t, '([0-9]+(?:\.[0-9]+)?)\s*%') AS pc, regexp_matches(t, '\$\s*{_NUM}') AS dl, regexp_matches(t, '^{_NUM}$') AS pl,
+    {_VALUE.format(rf"\$\s*{_NUM}\s*-\s*\$\s*{_NUM}", 1)} AS lo, {_VALUE.format(rf"\$\s*{_NUM}\s*-\s*\$\s*{_NUM}", 2)} AS hi,
+    {_VALUE.format(rf"(?i)up\s+to\s+\$\s*{_NUM}", 1)} AS vu, {_VALUE.format(r"([0-9]+(?:\.[0-9]+)?)\s*%", 1)} AS vp,
+    {_VALUE.format(rf"\$\s*{_NUM}", 1)} AS vd, {_VALUE.format(rf"^{_NUM}$", 1)} AS vl FROM t)
+SELECT a AS written,
+    CASE WHEN bare THEN 'narrative' WHEN rng THEN 'tiered' WHEN up THEN CASE WHEN vu > 0 THEN 'dollar_amount' END WHEN pc THEN CASE WHEN vp > 0 THEN 'percent' END
+    WHEN dl THEN CASE WHEN vd > 0 THEN 'dollar_amount' END WHEN pl THEN CASE WHEN vl > 0 THEN 'dollar_amount' END ELSE 'narrative' END AS format,
+    CASE WHEN bare THEN NULL WHEN rng THEN lo WHEN up OR pc THEN NULL WHEN dl THEN vd WHEN pl THEN vl END AS amount,
+    CASE WHEN bare THEN NULL WHEN rng THEN hi WHEN up THEN vu END AS maximum,
+    CASE WHEN bare OR rng OR up THEN NULL WHEN pc THEN vp END AS percent FROM x"""
 )
 def listed_amounts(spark, d):
     x = table(spark, d, "energy_star_raw").select(F.col("incentiveamount").alias("written")).distinct()
@@ -372,7 +399,7 @@ def backfill_links(spark, d):
 
 DIFF_SQL = LIVE_SQL + f""", i AS (SELECT program_hash AS h, administrator AS a1, maximum_amount AS m1, contractor_required AS c1, category_tag AS t1, row_number() OVER (PARTITION BY program_hash ORDER BY updated_at DESC, id) AS n FROM incentive WHERE program_hash IS NOT NULL),
  g AS (SELECT {HASH_SQL} AS h, administrator AS a2, maximum_amount AS m2, contractor_required AS c2, category_tag AS t2, row_number() OVER (PARTITION BY {HASH_SQL} ORDER BY r, id) AS n FROM s),
- p AS (SELECT i.h, lower(trim(coalesce(a1,''))) AS x, lower(trim(coalesce(a2,''))) AS y, coalesce(m1,0) AS m1, coalesce(m2,0) AS m2, c1, c2, list_distinct(list_transform(coalesce(t1,[]), lambda x: lower(trim(x)))) AS l1, list_distinct(list_transform(coalesce(t2,[]), lambda x: lower(trim(x)))) AS l2 FROM i JOIN g ON i.h = g.h AND i.n = 1 AND g.n = 1),
+ p AS (SELECT i.h, lower({STRIP_SQL.format("coalesce(a1,'')")}) AS x, lower({STRIP_SQL.format("coalesce(a2,'')")}) AS y, coalesce(m1,0) AS m1, coalesce(m2,0) AS m2, c1, c2, list_distinct(list_transform(coalesce(t1,[]), lambda x: lower(trim(x)))) AS l1, list_distinct(list_transform(coalesce(t2,[]), lambda x: lower(trim(x)))) AS l2 FROM i JOIN g ON i.h = g.h AND i.n = 1 AND g.n = 1),
  q AS (SELECT *, CASE WHEN len(list_distinct(list_concat(l1,l2))) > 0 THEN len(list_intersect(l1,l2))::DOUBLE / len(list_distinct(list_concat(l1,l2))) END AS j FROM p),
  d AS (SELECT h, 'administrator' AS field, CASE WHEN x='' AND y='' THEN 'empty' WHEN x='' THEN 'missing' WHEN y='' THEN 'extra' WHEN x=y THEN 'match' WHEN contains(x,y) OR contains(y,x) THEN 'partial' ELSE 'mismatch' END AS status, 1.0::DOUBLE AS weight FROM q
  UNION ALL SELECT h, 'maximum', CASE WHEN m1=0 AND m2=0 THEN 'empty' WHEN m1=0 THEN 'missing' WHEN m2=0 THEN 'extra' WHEN abs(m1-m2)/greatest(abs(m2),0.01) < 0.05 THEN 'match' ELSE 'mismatch' END, 2.0 FROM q
