@@ -94,15 +94,12 @@ def _sparse(t: np.ndarray) -> Sparse:
     return at.astype(np.uint32), t[at].astype(np.float32)
 
 
-def _packed(c: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``order`` characters that end at each position in two words, the newest highest, so that grams sort by their ends."""
-    words = []
-    for first in (0, 3):
-        w = np.zeros(len(c), np.uint64)
-        for j in range(min(3, order - first)):
-            w[first + j :] |= c[: max(len(c) - first - j, 0)] << np.uint64(_BITS * (2 - j))
-        words.append(w.astype(np.int64))
-    return words[0], words[1]
+def _packed(c: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``order`` characters that end at some positions in two words, the newest highest, so that grams sort by their ends."""
+    words = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    for j in range(order):
+        words[j // 3][:] |= c[at - j] << np.uint64(_BITS * (2 - j % 3))
+    return words[0].astype(np.int64), words[1].astype(np.int64)
 
 
 def _hash(chars: list[np.ndarray], n: int) -> np.ndarray:
@@ -127,7 +124,7 @@ def _windows(order: int):
                 *_, h = _each_order(c, order)
                 _, first, of = np.unique(h[at], return_index=True, return_inverse=True)
                 n = np.bincount(of, times[lo:hi][owner[at]].astype(np.float64)).astype(np.int64)
-                w1, w2 = (w[at[first]] for w in _packed(c, order))
+                w1, w2 = _packed(c, at[first], order)
                 yield pa.RecordBatch.from_arrays([pa.array(w1 >> _BITS), pa.array(w1), pa.array(w2), pa.array(n)], ["s", "w1", "w2", "n"])
 
     return run
@@ -142,7 +139,7 @@ def corpus_grams(corpus: DataFrame, others: list[str], order: int, own: int, les
     spark = corpus.sparkSession
     if less is None:
         c, owner = coded([t for t in others if t] or [" "], order)
-        seen = sorted({(int(a), int(b)) for a, b in zip(*(x[owner >= 0] for x in _packed(c, order)), strict=True)})
+        seen = sorted({(int(a), int(b)) for a, b in zip(*_packed(c, np.flatnonzero(owner >= 0), order), strict=True)})
         other = spark.createDataFrame([(a >> _BITS, a, b, 0, True) for a, b in seen], "s bigint, w1 bigint, w2 bigint, n bigint, o boolean")
         rows = corpus.select("t", "n").mapInArrow(_windows(order), "s bigint, w1 bigint, w2 bigint, n bigint").withColumn("o", F.lit(False)).unionByName(other)
     else:

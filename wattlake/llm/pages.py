@@ -22,6 +22,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -39,6 +40,7 @@ TOP = frozenset("header main footer nav aside section article div".split())
 ROLES = ("furniture", "side", "link", "title", "heading", "item", "row", "paragraph")
 _HTML = re.compile(r"<(?:!doctype|html|head|body|div|p|li|h[1-6]|header|main|table|ul)\b", re.I)
 _BULLET = re.compile(r"^(?:[•*·‣▪–—-]|\d+[.)])\s+")
+_DIGITS = re.compile(r"\d+")
 _CRUMB = re.compile(r"^[\w ]{1,30}(?:\s*(?:»|›|>|/|→)\s*[^»›>/→]{1,60}){1,6}$")
 
 
@@ -87,29 +89,31 @@ class _Visitor:
 
     def read(self, raw: str) -> dict[int, Line]:
         no, at, end = 1, 0, len(raw)
-        while at < end:
-            m = _TOKEN.search(raw, at)
-            start = m.start() if m else end
+        for m in _TOKEN.finditer(raw):
+            start = m.start()
+            if start < at:
+                continue  # inside a script
             if start > at:
-                self.text(raw[at:start], no)
-                no += raw.count("\n", at, start)
-            if not m:
-                break
+                data = raw[at:start]
+                self.text(data, no)
+                no += data.count("\n")
             at = m.end()
-            said, closed, opened, attrs = m.groups()
-            if opened:
-                tag = opened.lower()
+            kind = m.lastindex
+            if kind == 4:
+                tag = m[3].lower()
                 self.open(tag, no, m[0])
-                if attrs.endswith("/"):
+                if m[4].endswith("/"):
                     self.close(tag, no)
                 elif tag in _RAW_END:
                     e = _RAW_END[tag].search(raw, at)
                     at = e.start() if e else end
-            elif closed:
-                self.close(closed.lower(), no)
-            elif said:
-                self.add(f"<{said}>", no)
+            elif kind == 2:
+                self.close(m[2].lower(), no)
+            elif kind == 1:
+                self.add(f"<{m[1]}>", no)
             no += raw.count("\n", start, at)
+        if at < end:
+            self.text(raw[at:end], no)
         return self.lines
 
     def line(self, no: int) -> Line:
@@ -193,20 +197,27 @@ def mask(text: str, organisation: str) -> str:
     t = _BULLET.sub("", t)
     if organisation:
         t = t.replace(organisation, "ORG")
-    return re.sub(r"\d+", "0", t)
+    return _DIGITS.sub("0", t)
 
 
 def _h(kind: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}\x00{text}") - (1 << 63)
 
 
-def hashes(text: str, organisation: str) -> tuple[int, int, int]:
-    """Of the whole element and, if it has more than two words, of its first word and of its last two."""
+def _hashes(text: str, organisation: str) -> tuple[int, int, int]:
     t = mask(text, organisation)
     w = t.split(" ")
     return (_h("all", t), _h("first", w[0]), _h("last", " ".join(w[-2:]))) if len(w) > 2 else (_h("all", t), 0, 0)
 
 
+_known_hashes = lru_cache(1 << 14)(_hashes)
+
+
+def hashes(text: str, organisation: str) -> tuple[int, int, int]:
+    """Of the whole element and, if it has more than two words, of its first word and of its last two; those of short elements, which recur, are remembered."""
+    return _known_hashes(text, organisation) if len(text) < 100 else _hashes(text, organisation)
+
+
 def _only_link(x: Line) -> bool:
     return x.linked > 0 and x.linked >= x.shown
 
@@ -337,6 +348,7 @@ def hint_code(tally: dict[str, Column], known: Column, end: Column, share: Colum
     return by_text.cast("bigint") + 256 * at.cast("bigint") + 4096 * F.least(pages, F.lit(7)).cast("bigint") + 32768 * F.round(share * 255).cast("bigint") + (1 << 23) * (known & (rest > 0)).cast("bigint")
 
 
+@lru_cache(1 << 12)
 def _hint(code: int) -> Hint:
     known = bool(code & 1)
     end = code >> 8 & 15
@@ -452,7 +464,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x, r, h, at in zip(lines, roles, said, held, strict=True):
                 body = headed and r not in ("furniture", "side", "link")
                 first = OF_PAGE * (len(seen) == 1) + OF_HASH * (h[0] not in seen) + OF_BOX * (at not in seen)
-                seen |= {h[0], at}
+                seen.add(h[0])
+                seen.add(at)
                 rows.append((pid, key if body else None, host, x.no, r, *h, x.text if body else None, *(at or (None, None)), first))
             if len(rows) >= LINES:
                 yield out()

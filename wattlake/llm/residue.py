@@ -18,6 +18,7 @@ import random
 import re
 import string
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -177,14 +178,16 @@ def stretches(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple
 
 def wordings(texts: DataFrame, text: Column, most: int = 10) -> DataFrame:
     """(t, n): every distinct text, numbers aside, of whatever length, with its frequency (``most`` at most)."""
-    t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"\d[\d.,]*", "0"), r"\s+", " "))
-    counts = texts.select(t.alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("n"))
-    return counts.select("t", F.least("n", F.lit(most)).cast("bigint").alias("n")).mapInArrow(_folded, "t string, n bigint")
+    folded = texts.select(text.cast("string").alias("t")).where("trim(t) <> ''").mapInArrow(_folded, "t string, n bigint")
+    return folded.groupBy("t").agg(F.least(F.sum("n"), F.lit(most)).cast("bigint").alias("n"))
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts folded and counted, each once a batch."""
     for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([f"{fold(x)} " for x in b.column(0).to_pylist()], pa.string()), b.column(1)], ["t", "n"])
+        n = Counter(f"{fold(x)} " for x in b.column(0).to_pylist())
+        n.pop(" ", None)
+        yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.int64())], ["t", "n"])
 
 
 def _told(texts: DataFrame, model: KneserNey, joint: bool) -> DataFrame:
