@@ -8,7 +8,6 @@ matches nothing. Of several incoming rows of one key the first by ``order`` coun
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Sequence
 
@@ -69,20 +68,92 @@ def reuse_ids(groups: DataFrame, live: DataFrame, match: str, id_: str, fallback
     return groups.join(known, match, "left").withColumn(id_, F.coalesce("__live", fallback)).drop("__live")
 
 
-def write_snapshot(df: DataFrame, folder: str, name: str) -> str:
-    """Write the next state of a table and swap its pointer; readers of the last state aren't disturbed."""
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    tmp = f"{folder}/{name}.json.{uuid.uuid4().hex}"
-    with open(tmp, "w") as f:
-        json.dump({"path": path}, f)
-    os.replace(tmp, f"{folder}/{name}.json")
-    return path
+#: Parts of a snapshot by the hash of its key; an upsert rewrites only those that its keys fall into.
+BUCKETS = 32
+
+
+def _part(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _files(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
 
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file at once, on whatever file system the path is."""
+    jvm = spark._jvm
+    fs, tmp = _files(spark, f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(tmp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(tmp), fs.makeQualified(_files(spark, path)[1]), how)
 
-def read_snapshot(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    with open(f"{folder}/{name}.json") as f:
-        return spark.read.parquet(json.load(f)["path"])
+
+def _parts(spark: SparkSession, folder: str, name: str) -> dict[str, str]:
+    """The path of each filled part of a snapshot."""
+    fs, p = _files(spark, f"{folder}/{name}.json")
+    if not fs.exists(p):
+        raise FileNotFoundError(f"{folder}/{name}.json")
+    stream = fs.open(p)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_snapshot(df: DataFrame, folder: str, name: str, key: str | None = None, touched: set[int] | None = None) -> None:
+    """Write the next state of a table, in parts by its key if one is given, or of its ``touched`` parts beside the others, and swap its pointer.
+
+    Readers of the last state aren't disturbed: what a state replaces is removed when the next one is written.
+    """
+    spark = df.sparkSession
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    if key is None:
+        df.write.parquet(f"{path}/__part=0")
+    else:
+        df.withColumn("__part", _part(key)).repartition("__part").write.partitionBy("__part").parquet(path)
+    fs, p = _files(spark, path)
+    made = {x.getPath().getName().split("=")[1]: x.getPath().toString() for x in fs.listStatus(p) if x.isDirectory()}
+    try:
+        last = _parts(spark, folder, name)
+    except FileNotFoundError:
+        last = {}
+    kept = {k: v for k, v in last.items() if not k.startswith("-") and touched is not None and int(k) not in touched}
+    gone = [v for k, v in last.items() if k.startswith("-")]
+    replaced = {f"-{i}": v for i, v in enumerate(v for k, v in last.items() if not k.startswith("-") and k not in kept)}
+    _put(spark, f"{folder}/{name}.json", json.dumps(kept | made | replaced))
+    for x in gone:
+        f, q = _files(spark, x)
+        f.delete(q, True)
+
+
+def read_snapshot(spark: SparkSession, folder: str, name: str, parts: set[int] | None = None) -> DataFrame:
+    """A table as its last state, or some parts of it."""
+    at = {k: v for k, v in _parts(spark, folder, name).items() if not k.startswith("-")}
+    some = [v for k, v in at.items() if parts is None or int(k) in parts]
+    if some:
+        return spark.read.parquet(*some)
+    return spark.read.parquet(*list(at.values())[:1]).limit(0)
+
+
+def upsert_snapshot(rows: DataFrame, folder: str, name: str, key: str, update: Sequence[str]) -> None:
+    """Upsert rows, one a key, into a snapshot; only the parts their keys fall into are read and written."""
+    spark = rows.sparkSession
+    rows = rows.where(F.col(key).isNotNull())
+    touched = {r[0] for r in rows.select(_part(key)).distinct().collect()}
+    try:
+        old = read_snapshot(spark, folder, name, touched)
+    except FileNotFoundError:
+        write_snapshot(rows, folder, name, key)
+        return
+    if touched:
+        write_snapshot(upsert(old, rows, key, update), folder, name, key, touched)
 
 
 def top_n(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

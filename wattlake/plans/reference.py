@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -12,7 +12,7 @@ from wattlake.functions import amounts, arrays, contacts, dates, urls
 from wattlake.functions.identity import source_uuid
 from wattlake.functions.text import norm, program_hash
 from wattlake.operators import compare, merge, report, routing, staging
-from wattlake.session import table
+from wattlake.session import cut_lineage, shared_folder, table
 from wattlake.sources.landed import join_pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,7 +100,7 @@ def program_hashes(spark, d):
     return table(spark, d, "rebates_staging").select("id", program_hash("program_name", "utility_company").alias("program_hash"))
 
 
-_NS = __import__("uuid").uuid5(__import__("uuid").NAMESPACE_URL, "https://wattlake.example/documents").hex
+_NS = uuid.uuid5(uuid.NAMESPACE_URL, "https://wattlake.example/documents").hex
 
 
 @query(
@@ -446,8 +446,6 @@ def ordered_pages(spark, d):
 def sweep_batches(spark, d):
     """A sweep over keys and three profiles in batches of 500; the number is counted from keys sorted by range, without one task for all."""
     c = table(spark, d, "customer").select("c_custkey").repartitionByRange("c_custkey").sortWithinPartitions("c_custkey").withColumn("part", F.spark_partition_id())
-    from wattlake.session import cut_lineage
-
     c = cut_lineage(c)
     from pyspark.sql import Window
 
@@ -457,15 +455,43 @@ def sweep_batches(spark, d):
     return pos.select("c_custkey", F.explode(F.array(*[F.lit(i) for i in range(3)])).alias("profile"), "pos").select("c_custkey", "profile", F.floor((F.col("pos") * 3 + F.col("profile")) / 500).alias("batch"))
 
 
-@query()
+def _landed_twice(spark, d, folder: str) -> DataFrame:
+    """A stream of all events, landed in files, each event in two of them."""
+    from wattlake.streaming import ingest
+
+    src = table(spark, d, "events").select("event_id", "ts", "event_type", "value")
+    src.unionByName(src).repartition(4).write.parquet(f"{folder}/in")
+    return ingest.landed(spark, f"{folder}/in", src.schema, 2)
+
+
+@query("SELECT event_id, ts, event_type, value FROM events")
 def stream_upsert(spark, d):
     """Events streamed in batches into a snapshot; equals the batch upsert."""
     from wattlake.streaming import ingest
 
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    local = (base or "").removeprefix("file://") or None
-    folder = tempfile.mkdtemp(prefix="stream-", dir=local if local and __import__("os").path.isdir(local) else None)
-    src = table(spark, d, "events").select("event_id", "event_type", "value")
-    src.repartition(4).write.parquet(f"file://{folder}/in")
-    ingest.run_available(ingest.landed(spark, f"file://{folder}/in", src.schema, 2), ingest.upsert_sink(folder, "events", "event_id", ["event_type", "value"], ["event_type"]), f"file://{folder}/ck")
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    ingest.run_available(_landed_twice(spark, d, folder), ingest.upsert_sink(folder, "events", "event_id", ["ts", "event_type", "value"], ["ts", "event_type"]), f"{folder}/ck")
     return staging.read_snapshot(spark, folder, "events")
+
+
+@query("SELECT event_id, event_type FROM events")
+def stream_first(spark, d):
+    """The first arrival of each event within the watermark."""
+    from wattlake.streaming import ingest
+
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    kept = ingest.first_of_key(_landed_twice(spark, d, folder), "event_id", "ts", "1000 days").select("event_id", "event_type")
+    ingest.run_available(kept, lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{folder}/out/{epoch}"), f"{folder}/ck")
+    return spark.read.parquet(f"{folder}/out/*")
+
+
+@query("SELECT event_type, date_trunc('day', ts)::TIMESTAMP AS day, (2 * count(*))::BIGINT AS n FROM events GROUP BY 1, 2")
+def stream_counts(spark, d):
+    """Counts by event time as they stand after the last batch: each batch upserts the windows it changes."""
+    from wattlake.streaming import ingest
+
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    counts = ingest.counts_by_window(_landed_twice(spark, d, folder), "ts", ["event_type"], "1 day", "1000 days")
+    counts = counts.select(F.concat_ws(" ", "event_type", F.col("window.start").cast("string")).alias("key"), "event_type", F.col("window.start").cast("timestamp_ntz").alias("day"), F.col("count").alias("n"))
+    ingest.run_available(counts, ingest.upsert_sink(folder, "counts", "key", ["n"], [-F.col("n")]), f"{folder}/ck", "update")
+    return staging.read_snapshot(spark, folder, "counts").select("event_type", "day", "n")

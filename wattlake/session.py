@@ -48,23 +48,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, that ``spark.checkpoint.dir`` names; a folder of our own on a single node only."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if spark.sparkContext.applicationId not in _OWN:
+        _OWN[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="wattlake-shared-")
+    return _OWN[spark.sparkContext.applicationId]
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset
-    (single-node tests) a folder of our own is used.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+
+_OWN: dict[str, str] = {}
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` reliably in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wattlake-ckpt-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Spread rows over the cores before per-row Python work, if the plan alone wouldn't.
 
-    A scan that already gives every core a partition is left as it is, and so is what comes out of a
+    Only the plan depends on the estimated size, never the result. A scan that already gives every core a partition is left as it is, and so is what comes out of a
     shuffle large enough to be cut into a piece for every core; nothing is moved twice at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -7,26 +7,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from wattlake.operators.staging import keep_first, read_snapshot, upsert, write_snapshot
+from wattlake.operators.staging import keep_first, upsert_snapshot
 
 
 def upsert_sink(folder: str, name: str, key: str, update: Sequence[str], order: Sequence[Column | str]) -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that upserts each batch by key into the snapshot; a batch seen twice changes nothing."""
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        rows = keep_first(batch, [key], order)
-        try:
-            old = read_snapshot(batch.sparkSession, folder, name)
-        except FileNotFoundError:
-            old = rows.limit(0)
-        write_snapshot(upsert(old, rows, key, update), folder, name)
+        upsert_snapshot(keep_first(batch, [key], order), folder, name, key, update)
 
     return sink
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process what has landed, batch by batch, and stop."""
-    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 
