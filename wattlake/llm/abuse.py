@@ -2,17 +2,19 @@
 
 A document is cut into segments (lines and sentences); each segment is folded to plain spelling
 (compatibility forms, look-alike letters, marks, invisible characters, digits for letters, stretched
-and spaced-out words) and read by two models, one of toxic and one of ordinary language. The score of
-a segment is the largest log-likelihood ratio over its stretches, each character less a drift, so
-that a short outburst counts in a long text; the score of a document is that of its worst segment,
-as a probability, and the ratio normalised by length is given beside it.
+and spaced-out words) and read by two models, one of toxic and one of ordinary language. The stretch
+with the largest sum of log-likelihood ratios, each character less a drift, tells where in a segment
+such language stands; what decides is the ratio normalised by length, over that stretch and as much
+around it as makes ``LEAST`` characters, so a misspelt word doesn't count. The score of a document is
+that of its surest segment.
 
 The models are fitted on the reviewed documents (``max_reviewed`` of them, chosen by hash), on a few
-fixed expressions, and, for ordinary language, on the wordings that recur over all documents. A review tells of a document only whether there is such language in it, and
-reviewers err, so the toxic segments of flagged documents are found in rounds: the models of a round
-choose the segments of the next.
+common expressions, and, for ordinary language, on the wordings that recur over all documents. A review
+tells of a document only whether there is such language in it, and reviewers err. So wordings that stand
+in documents passed by reviewers too, beyond what errors explain, are not toxic, and the toxic segments
+of a flagged document are chosen in rounds by models that were fitted without the documents of its fold.
 
-Null, empty and blank texts score 0. Repeated rows score each. Without reviews only the fixed
+Null, empty and blank texts score 0. Repeated rows score each. Without reviews only the common
 expressions stand for the toxic class.
 """
 
@@ -27,26 +29,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wattlake.llm.lm import KneserNey, best_windows, coded, pieces
+from wattlake.llm.lm import KneserNey, best_windows, coded, pieces, spans
 from wattlake.session import spread
 
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһкмтвнԛԝАЕОРСУХІЈЅКМТВНαορυνικτεΑΟΡΤΕΙΚΝΜΗΒΧΥΖı", "aeopcyxijsdhkmtbhqwaeopcyxijskmtbhaopuvikteaoptieknmhbxyzi".ljust(58)[:58])
 # Digits and signs written for letters inside words.
 LEET = str.maketrans("013457@$!|", "oieastasil")
-# Expressions that stand for the class whatever was reviewed.
+# Common expressions that stand for the class whatever was reviewed.
 EXPRESSIONS = tuple(
-    """you are an idiot|you moron|you stupid bitch|you piece of garbage|you piece of shit|you fucking asshole|you useless loser|you worthless scum|what a dumbass|shut your mouth you cretin
-shut up you imbecile|you brainless halfwit|you filthy pig|you ugly parasite|you spineless scumbag|some bastard lost my file|that fucking jerk of an inspector|are you stupid or just a moron
-go to hell|burn in hell|rot in hell|drop dead|go kill yourself|kill yourself|nobody likes you|nobody would miss you|i hope you die|get cancer|someone should slap you|i will break your jaw|i will kill you
-i know where you live|i am coming for you with a bat|i hope your house burns down with you inside|crawl back into your hole|choke on it|i spit on you|jump off a bridge|go play in traffic
-immigrants are vermin|foreigners are a plague|refugees do not belong here|these people are subhuman|their kind only steals|send them back where they came from|lock them all up|kick them out
-gay people deserve a beating|god hates them|disabled people should be put down|old people stink|those people breed like rats|lazy and dirty people, a disease on the county|never hire people of that faith
-round up those people and be done with it|we would all be better off if they were dead|no rebates for that filth|ship them all off
-send me nudes|show me your tits|i want you naked|i want to bang you|let me undress you|spread your legs for me|sit on my lap|touch me under the table|my dick is hard|my cock is hard|nice ass baby
-your agent has great tits|live sex cams free|hot horny singles want sex tonight|escort girls, full service, naked massage|fuck you and your rebate|hot girls xxx porn|suck my cock|pics first, sweet lips|come to bed with me
-espèce d'abruti|va au diable, sale imbécile|sale connard|va te faire foutre|envoie-moi des photos nues|les étrangers sont de la vermine|pedazo de idiota|váyanse al infierno|hijo de puta|mándame fotos desnuda
-los extranjeros son una plaga|fahr zur hölle, du abschaum|du arschloch|du blöde schlampe|ausländer sind ungeziefer|schick mir nacktbilder|你这个白痴|去死吧|滚出去，垃圾|外国人都是害虫|给我发裸照""".replace("\n", "|").split("|")
+    """you are an idiot|you moron|you stupid bitch|you bastard|you piece of shit|you asshole|you loser|you scumbag|what an idiot|are you stupid|shut up|shut your mouth|go to hell|burn in hell|rot in hell|drop dead
+kill yourself|i will kill you|i will hurt you|i hope you die|i know where you live|nobody likes you|fuck you|fuck off|screw you|you make me sick|you are disgusting|you are worthless
+immigrants are vermin|foreigners are animals|they are subhuman|send them back|they should all be shot|gay people are sick|women are stupid|i hate those people|go back to where you came from
+send me nudes|send nudes|show me your tits|i want you naked|i want to fuck you|take off your clothes|suck my cock|my dick is hard|nice ass|live sex cams|hot singles|escort girls|porn
+espèce d'idiot|ta gueule|va te faire foutre|sale connard|hijo de puta|vete al infierno|eres un idiota|puta madre|du arschloch|halt die fresse|fahr zur hölle|verdammter idiot|你这个白痴|去死|滚开""".replace("\n", "|").split("|")
 )
 
 _ZERO = re.compile("[​-‏⁠-⁤﻿­͏᠎️]")
@@ -101,50 +97,77 @@ def segments(text: str | None) -> list[str]:
 
 
 DRIFT = 0.25
-#: Windowed ratio from which a document counts as a case.
-THRESHOLD = 15.0
+#: Characters over which the ratio is normalised at least, if the segment has as many.
+LEAST = 24
+#: Summed ratio of a stretch, and ratio normalised by length, from which a segment makes a document a case.
+THRESHOLD, RATE = 15.0, 0.6
+#: What a doubling of the odds is worth in both.
+SCALE, RATE_SCALE = 4.0, 0.1
+FOLDS = 4
 
 
 def ratios(model: KneserNey, texts: list[str], drift: float = DRIFT) -> tuple[np.ndarray, np.ndarray]:
-    """For each folded text the largest windowed log-likelihood ratio, and that ratio by its length."""
+    """For each folded text the largest windowed log-likelihood ratio, and the ratio normalised by length around that window."""
     if not texts:
         return np.zeros(0), np.zeros(0)
     out = []
     for lo, hi in pieces(texts):
         c, owner = coded(texts[lo:hi], model.order)
-        best, frm, at = best_windows(model.gains(c, owner, drift)[0], owner, hi - lo)
-        out.append((best, best / np.maximum(at - frm + 1, 12) + drift * (best > 0)))
-    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
+        g, parts = model.gains(c, owner, drift)[0], spans(owner, hi - lo)
+        best, frm, at = best_windows(g, owner, hi - lo, parts)
+        size = np.array([len(x) for x in texts[lo:hi]])
+        first = parts[1] + model.order
+        wide = np.minimum(np.maximum(at - frm + 1, LEAST), size)
+        begin = np.clip(frm - (wide - (at - frm + 1)) // 2, first, first + size - wide)
+        total = np.concatenate([[0.0], np.cumsum(np.where(owner >= 0, g + drift, 0), dtype=np.float64)])
+        out.append((best, np.where(best > 0, (total[begin + wide] - total[begin]) / np.maximum(wide, 1), 0.0)))
+    return tuple(np.concatenate([x[i] for x in out]) for i in range(2))
 
 
-def fit(reviewed: list[tuple[str | None, bool]], recurrent: list[str] = (), rounds: int = 4, least: float = 6.0, max_plain: int = 25_000, order: int = 6, own: int = 3, bits: int = 20) -> KneserNey:
+def sureness(ratio: np.ndarray, by_length: np.ndarray) -> np.ndarray:
+    """The log-odds of a segment: what the weaker of its two ratios says; 0 where both just reach their bounds."""
+    return np.minimum((ratio - THRESHOLD) / SCALE, (by_length - RATE) / RATE_SCALE)
+
+
+def fit(reviewed: list[tuple[str | None, bool]], recurrent: list[str] = (), rounds: int = 4, least: float = 6.0, max_plain: int = 25_000, order: int = 6, own: int = 3, bits: int = 20, errs: int = 4) -> KneserNey:
     """The two models, from (text, flagged) of reviewed documents and from wordings that recur over the whole corpus.
 
-    Recurring wordings are ordinary unless the reviews speak against it, that is, unless most of the
-    reviewed documents that hold them are flagged. Of the ordinary segments ``max_plain`` are used, chosen by hash.
+    A wording may be toxic if at most one in ``errs`` + 1 of the reviewed documents that hold it were passed; at
+    first all such count, then those that models without their own fold find so. Recurring wordings are ordinary
+    unless the reviews speak against it in that way. Of the ordinary segments ``max_plain`` are used, chosen by hash.
     """
-    fixed = [f"{fold(e)} " for e in EXPRESSIONS]
+    fixed = [f"{fold(e)} " for e in EXPRESSIONS] * 2
     docs = [(list(dict.fromkeys(segments(t))), bool(y)) for t, y in reviewed]
     held: dict[str, list[int]] = {}
     for s, y in docs:
         for x in s:
             held.setdefault(x, [0, 0])[y] += 1
-    common = [x for x in dict.fromkeys(x for r in recurrent for x in segments(r))]
+    bad = lambda x: x in held and held[x][1] > 0 and errs * held[x][0] <= held[x][1]
+    common = dict.fromkeys(x for r in recurrent for x in segments(r))
     free = sorted({x for x, (n, y) in held.items() if n and n >= y}, key=lambda x: zlib.crc32(x.encode()))[:max_plain]
-    suspect = [x for s, y in docs if y for x in s if held[x][0] <= held[x][1]]
-    ordinary = {x for x in common if held.get(x, [0, 0])[0] >= held.get(x, [0, 0])[1]}
-    model = KneserNey(["toxic", "plain"], order, own, bits).fit({"toxic": fixed * 2, "plain": free + sorted(ordinary)})
+    ordinary = sorted(x for x in common if not bad(x))
+    known = set(ordinary)
+    flagged = [(i % FOLDS, [x for x in s if bad(x) and x not in known]) for i, (s, y) in enumerate(docs) if y]
+    toxic = [s for _, s in flagged]
+    plain = free + ordinary
+    model = KneserNey(["toxic", "plain"], order, own, bits).fit({"toxic": fixed + [x for t in toxic for x in t], "plain": plain})
     for _ in range(rounds):
-        r = dict(zip(suspect, ratios(model, suspect)[0], strict=True))
-        toxic = fixed * 2
-        for s, y in docs:
-            if y:
-                mine = {x: r[x] for x in s if x in r and x not in ordinary}
-                toxic += [x for x, v in mine.items() if v >= max(least, 0.3 * max(mine.values()))]
-        chosen = set(toxic)
-        plain = [x for x, v in zip(free, ratios(model, free)[0], strict=True) if x not in chosen and v < 4 * least]
-        plain += [x for x in sorted(ordinary) if x not in chosen] * 2 + [x for x in suspect if r[x] < least and x not in chosen]
-        model = KneserNey(["toxic", "plain"], order, own, bits).fit({"toxic": toxic, "plain": plain})
+        chosen: list[list[str]] = [[]] * len(flagged)
+        for k in range(FOLDS):
+            apart = model.with_class("toxic", fixed + [x for (f, _), t in zip(flagged, toxic, strict=True) if f != k for x in t])
+            mine = [i for i, (f, _) in enumerate(flagged) if f == k]
+            r = ratios(apart, [x for i in mine for x in flagged[i][1]])[0]
+            at = 0
+            for i in mine:
+                s = flagged[i][1]
+                v, at = r[at : at + len(s)], at + len(s)
+                chosen[i] = [x for x, w in zip(s, v, strict=True) if w >= max(least, 0.3 * v.max())]
+        toxic = chosen
+        taken = {x for t in toxic for x in t}
+        rest = dict.fromkeys(x for _, s in flagged for x in s if x not in taken)
+        few = [x for x, v in zip(free, ratios(model, free)[0], strict=True) if v < 4 * least]
+        low = [x for x, v in zip(rest, ratios(model, list(rest))[0], strict=True) if v < least]
+        model = KneserNey(["toxic", "plain"], order, own, bits).fit({"toxic": fixed + [x for t in toxic for x in t], "plain": few + ordinary * 2 + low})
     return model
 
 
@@ -172,8 +195,8 @@ def train(docs: DataFrame, id_: str, text: str, reviews: DataFrame, flagged: str
     return fit([(t, v > 0.5) for t, v in zip(rows[text], rows["v"], strict=True)], common)
 
 
-def score(docs: DataFrame, id_: str, text: str, model: KneserNey, keep: tuple[str, ...] = (), threshold: float = THRESHOLD) -> DataFrame:
-    """(id, *keep, score, ratio, by_length, flagged) for each document."""
+def score(docs: DataFrame, id_: str, text: str, model: KneserNey, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, *keep, score, ratio, by_length, flagged) for each document, the ratios those of its surest segment."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     d = spread(docs.select(id_, *keep, F.col(text).cast("string").alias("__text")))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema.fields[:-1])
@@ -181,32 +204,44 @@ def score(docs: DataFrame, id_: str, text: str, model: KneserNey, keep: tuple[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            texts = b.column(b.num_columns - 1).to_pylist()
-            worst, even = np.zeros(len(texts)), np.zeros(len(texts))
+            n = b.num_rows
+            worst, even, odds = np.zeros(n), np.zeros(n), np.full(n, -np.inf)
+            seen: dict[str, int] = {}
             part: list[str] = []
             of: list[int] = []
+            at: list[int] = []
             size = 0
 
             def flush() -> None:
                 r, q = ratios(m, part)
-                np.maximum.at(worst, of, r)
-                np.maximum.at(even, of, q)
-
-            for i, t in enumerate(texts):
-                for x in segments(t):
-                    part.append(x)
-                    of.append(i)
-                    size += len(x)
-                    if size > 200_000:
-                        flush()
-                        part.clear(), of.clear()
-                        size = 0
+                z = sureness(r, q)
+                doc, seg = np.array(of), np.array(at)
+                by = np.lexsort((z[seg], doc))
+                last = np.flatnonzero(np.append(doc[by][1:] != doc[by][:-1], True))
+                i, j = doc[by][last], seg[by][last]
+                better = z[j] > odds[i]
+                i, j = i[better], j[better]
+                worst[i], even[i], odds[i] = r[j], q[j], z[j]
+
+            for lo in range(0, n, 256):
+                for i, t in enumerate(b.column(b.num_columns - 1).slice(lo, 256).to_pylist(), lo):
+                    for x in segments(t):
+                        if x not in seen:
+                            seen[x] = len(part)
+                            part.append(x)
+                            size += len(x)
+                        of.append(i)
+                        at.append(seen[x])
+                        if size > 200_000:
+                            flush()
+                            seen.clear(), part.clear(), of.clear(), at.clear()
+                            size = 0
             if part:
                 flush()
-            p = 1 / (1 + np.exp(-(worst - threshold) / 4))
+            p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
             p[worst <= 0] = 0
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(p), pa.array(worst), pa.array(even), pa.array(worst >= threshold)], [*b.schema.names[:-1], "score", "ratio", "by_length", "flagged"]
+                [*b.columns[:-1], pa.array(p), pa.array(worst), pa.array(even), pa.array((odds >= 0) & (worst > 0))], [*b.schema.names[:-1], "score", "ratio", "by_length", "flagged"]
             )
 
     return d.mapInArrow(run, f"{schema}, score double, ratio double, by_length double, flagged boolean")

@@ -349,6 +349,11 @@ class KneserNey:
         self.filled = {y: shared + (whole if y == of else self._tables([coded([t for t in texts[y] if t] or [" "], self.order)], self.own, self.order)) for y in self.classes}
         return self
 
+    def with_class(self, of: str, texts: Iterable[str]) -> KneserNey:
+        """This model with the counts of class ``of`` from other texts; the shared orders stay."""
+        own = self._tables([coded([t for t in texts if t] or [" "], self.order)], self.own, self.order)
+        return self.counted(of, self.filled[of][: self.own - 1] + own, self.types)
+
     def counted(self, of: str, tables: list[tuple[Sparse, ...]], types: float) -> KneserNey:
         """This model with other tables for class ``of`` and the shared orders; the rest is as it was."""
         out = KneserNey(self.classes, self.order, self.own, self.bits)
