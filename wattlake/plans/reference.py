@@ -459,7 +459,7 @@ def _landed_twice(spark, d, folder: str) -> DataFrame:
     """A stream of all events, landed in files, each event in two of them."""
     from wattlake.streaming import ingest
 
-    src = table(spark, d, "events").select("event_id", "ts", "event_type", "value")
+    src = table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
     src.unionByName(src).repartition(4).write.parquet(f"{folder}/in")
     return ingest.landed(spark, f"{folder}/in", src.schema, 2)
 
@@ -471,7 +471,7 @@ def stream_upsert(spark, d):
 
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     ingest.run_available(_landed_twice(spark, d, folder), ingest.upsert_sink(folder, "events", "event_id", ["ts", "event_type", "value"], ["ts", "event_type"]), f"{folder}/ck")
-    return staging.read_snapshot(spark, folder, "events")
+    return staging.read_snapshot(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("SELECT event_id, event_type FROM events")
