@@ -127,3 +127,57 @@ def portfolio_of(category: Column) -> Column:
 def cut(text: Column, most: int, mark: str = "…") -> Column:
     """A text of more than ``most`` characters cut to that length with ``mark`` at its end."""
     return F.when(F.length(text) > most, F.concat(F.substring(text, 1, most - 1), F.lit(mark))).otherwise(text)
+
+
+# Categories of items, names of items that their keys don't spell, how payments are made, and how to apply, in the order in which they count.
+ITEM_CATEGORIES = {
+    "Electric Vehicles": ("electric_vehicle_charger", "electric_vehicle", "ebike"),
+    "HVAC": ("heat_pump", "heat_pump_air_to_air", "heat_pump_mini_split", "ductless_heat_pump", "central_air_conditioner", "geothermal_heating_installation", "geothermal"),
+    "Water Heating": ("heat_pump_water_heater", "non_heat_pump_water_heater"), "Electrical": ("electric_panel", "electric_wiring", "electric_panel_upgrade"),
+    "Weatherization": ("weatherization", "insulation_air_sealing", "insulation", "air_sealing", "efficient_windows_skylights_doors"), "Solar": ("rooftop_solar_panels", "rooftop_solar", "community_solar"),
+    "Energy Storage": ("battery_storage_installation", "battery_storage"), "Appliances": ("electric_stove", "heat_pump_clothes_dryer"),
+}
+ITEM_NAMES = {
+    "heat_pump_air_to_air": "Air-to-Air Heat Pump", "heat_pump_mini_split": "Mini-Split Heat Pump", "weatherization": "Weatherization / Insulation", "insulation_air_sealing": "Weatherization / Insulation",
+    "rooftop_solar_panels": "Rooftop Solar", "battery_storage_installation": "Energy Storage", "battery_storage": "Energy Storage", "ebike": "E-Bike",
+    "geothermal_heating_installation": "Geothermal Heat Pump", "geothermal": "Geothermal Heat Pump", "efficient_windows_skylights_doors": "Efficient Windows, Skylights & Doors",
+    "non_heat_pump_water_heater": "Water Heater (Non-Heat Pump)",
+}
+PAYMENT_NAMES = {"pos_rebate": "Point of Sale Rebate"}
+APPLY_BY_PAYMENT = (
+    ("pos_rebate", "Discount applied at point of sale through participating retailers or contractors."),
+    ("tax_credit", "Claim when filing federal taxes using the relevant IRS form. Consult a tax professional for guidance."),
+    ("rebate", "Apply through the program website. Check eligibility requirements before purchasing equipment."),
+    ("account_credit", "Contact your utility to enroll. Credits will be applied to your account statement."),
+    ("assistance_program", "Apply through the program website. Income verification may be required."),
+)
+
+
+def item_name(key: Column) -> Column:
+    """The name of an item: a fixed one, else its key as a title."""
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in ITEM_NAMES.items() for x in kv]), key), titled(key))
+
+
+def item_category(key: Column) -> Column:
+    by = {k: c for c, ks in ITEM_CATEGORIES.items() for k in ks}
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in by.items() for x in kv]), key), titled(key))
+
+
+def payment_name(key: Column) -> Column:
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in PAYMENT_NAMES.items() for x in kv]), key), titled(key))
+
+
+def apply_by(methods: Column, default: str) -> Column:
+    """How to apply, by the first of the known payments that is among a list's."""
+    out = F.lit(default)
+    for m, text in reversed(APPLY_BY_PAYMENT):
+        out = F.when(F.array_contains(methods, m), F.lit(text)).otherwise(out)
+    return out
+
+
+def owners_of(statuses: Column) -> Column:
+    """Residential, Commercial or both, by who may own; null for neither."""
+    s = F.transform(statuses, F.lower)
+    parts = F.array(F.when(F.arrays_overlap(s, F.array(F.lit("homeowner"), F.lit("renter"))), "Residential"), F.when(F.arrays_overlap(s, F.array(F.lit("business"), F.lit("commercial_industrial"), F.lit("commercial"))), "Commercial"))
+    out = F.array_join(F.filter(parts, lambda x: x.isNotNull()), ", ")
+    return F.when(out != "", out)

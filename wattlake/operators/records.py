@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlake.functions import amounts, contacts, dates, labels
+from wattlake.functions.identity import source_uuid
 from wattlake.functions.text import program_hash, strip
 
 # Units of rates per unit, as a source writes them.
@@ -221,3 +222,58 @@ def from_plain_text(rows: DataFrame, id_: str, text: str) -> DataFrame:
     about = F.coalesce("__p", "title")
     cut = F.when(F.length(about) > 500, F.concat(F.substring(about, 1, 497), F.lit("..."))).otherwise(about)
     return d.where(F.col("title").isNotNull() & ~labels.any_word(F.col("title"), FAILED_TITLES)).select(id_, "title", cut.alias("description"))
+
+
+CALCULATOR = """authorities map<string,struct<name:string,url:string>>, incentives array<struct<payment_methods:array<string>,authority_type:string,authority:string,program:string,program_url:string,more_info_url:string,
+items:array<string>,amount:struct<type:string,number:double,maximum:double,representative:double>,owner_status:array<string>,start_date:string,end_date:string,short_description:string>>, zip string""".replace("\n", "")
+
+
+def calculator_rows(responses: DataFrame, source: str = "calculator", at: Column | None = None) -> DataFrame:
+    """Canonical rows of the answers of a calculator by postal code (``CALCULATOR``), one an offer.
+
+    The same offer of several codes has one id: that of its authority, program and first item.
+    """
+    x = responses.select("authorities", "zip", F.explode("incentives").alias("x")).select("authorities", "zip", "x.*")
+    authority = F.coalesce(filled(F.try_element_at("authorities", "authority")["name"]), F.col("authority"), F.lit(""))
+    a = F.col("amount")
+    n, most, usual = F.coalesce(a["number"], F.lit(0.0)), F.when(a["maximum"] > 0, a["maximum"]), F.when(a["representative"] > 0, a["representative"])
+    some = lambda c: F.when(c != 0, c)
+    kind = F.coalesce(a["type"], F.lit(""))
+    share, money, unit = kind == "percent", kind == "dollar_amount", kind == "dollars_per_unit"
+    plain = ~share & ~money & ~unit
+    pays = F.coalesce("payment_methods", F.array().cast("array<string>"))
+    told = _last(F.filter(pays, lambda m: m.isin("tax_credit", "loan")))
+    fmt = F.when(told == "tax_credit", "tax_credit").when(told == "loan", "financing").when(share, "percent").when(money, "dollar_amount").when(unit, "per_unit").when(n > 0, "dollar_amount").otherwise("narrative")
+    name = F.concat(authority, F.lit(" — "), F.coalesce("program", F.lit("")))
+    item = F.get("items", F.lit(0))
+    page, more = filled(F.col("program_url")), filled(F.col("more_info_url"))
+    kinds = F.when(F.col("authority_type") == "federal", "Nationwide").when(F.col("authority_type") == "state", F.concat(authority, F.lit(" Statewide"))).otherwise(F.concat(authority, F.lit(" Service Area")))
+    sector = F.when(F.col("authority_type").isin("city", "county"), "Local Government").otherwise(F.coalesce(labels.titled(filled(F.col("authority_type"))), F.lit("Utility")))
+    start, end = (dates.whole_date(filled(F.trim(c))) for c in ("start_date", "end_date"))
+    return x.select(
+        source_uuid(source, F.concat_ws("|", F.coalesce("authority", F.lit("")), F.coalesce("program", F.lit("")), F.coalesce(item, F.lit("")))).alias("id"),
+        name.alias("program_name"),
+        authority.alias("utility_company"),
+        filled(F.col("short_description")).alias("incentive_description"),
+        fmt.alias("incentive_format"),
+        F.when(money, F.coalesce(usual, some(n))).when(unit, some(n)).when(plain, F.when(n > 0, n)).alias("incentive_amount"),
+        F.when(share, most).when(money, F.when(usual.isNotNull(), some(n)).otherwise(most)).alias("maximum_amount"),
+        F.when(share, some(F.when((n > 0) & (n <= 1), n * 100).otherwise(n))).alias("percent_value"),
+        F.when(unit, some(n)).alias("per_unit_amount"),
+        F.when(unit, "unit").alias("unit_type"),
+        start.alias("start_date"),
+        end.alias("end_date"),
+        F.when(dates.is_current(start, end, at if at is not None else F.current_timestamp()), "active").otherwise("draft").alias("status"),
+        F.coalesce(page, more).alias("program_url"),
+        F.coalesce(more, page).alias("application_url"),
+        labels.apply_by(pays, APPLY_DEFAULT).alias("application_process"),
+        F.array_join(F.transform(pays, labels.payment_name), ", ").alias("payments"),
+        (F.coalesce(F.col("authority_type"), F.lit("")) == "federal").alias("available_nationwide"),
+        F.col("zip").alias("zip_code"),
+        kinds.alias("service_territory"),
+        sector.alias("implementing_sector"),
+        F.array_distinct(F.transform("items", labels.item_category)).alias("category_tag"),
+        labels.item_name(item).alias("item"),
+        labels.owners_of(F.col("owner_status")).alias("customer_type"),
+        program_hash(name, authority).alias("program_hash"),
+    )

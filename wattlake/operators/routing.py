@@ -52,3 +52,8 @@ def route(rows: DataFrame, rules: list[Rule], state: str, organisation: str, are
         raise ValueError(f"more than {most} rules: split them into states and codes (equi-joins) first")
     hit = F.array(*[F.when(matches(r, F.col(state), F.col(organisation), F.col(area), F.col(nationwide), codes), F.lit(r.id)) for r in rules])
     return rows.withColumn("rule", F.explode(F.filter(hit, lambda x: x.isNotNull())))
+
+
+def write_routed(rows: DataFrame, folder: str, column: str = "rule") -> None:
+    """Routed rows, one folder a subscriber, in one write."""
+    rows.write.mode("overwrite").partitionBy(column).parquet(folder)

@@ -26,24 +26,28 @@ def keep_first(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | st
     return out.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*rows.columns)
 
 
-def upsert(existing: DataFrame, incoming: DataFrame, key: str, update: Sequence[str], on_refresh: Sequence[str] = (), refresh: bool = False) -> DataFrame:
+def upsert(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str], update: Sequence[str], on_refresh: Sequence[str] = (), refresh: bool = False) -> DataFrame:
     """Existing rows with the ``update`` columns of incoming ones of the same key (nulls too), and the new rows.
 
     Columns outside ``update`` keep their value, those in ``on_refresh`` take the incoming one only if ``refresh``.
-    One full outer join on the key.
+    One full outer join on the key, which may be several columns; a key with a null in it is never the same as another.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     take = set(update) | (set(on_refresh) if refresh else set())
-    e, i = existing.alias("e"), incoming.alias("i")
-    new, known = F.col(f"e.{key}").isNull(), F.col(f"i.{key}").isNotNull()
+    e, i = existing.withColumn("__e", F.lit(True)).alias("e"), incoming.withColumn("__i", F.lit(True)).alias("i")
+    new, known = F.col("__e").isNull(), F.col("__i").isNotNull()
     cols = []
     for c in existing.columns:
-        if c == key:
+        if c in keys:
             cols.append(F.coalesce(f"e.{c}", f"i.{c}").alias(c))
         elif c not in incoming.columns:
             cols.append(F.col(f"e.{c}").alias(c))
         else:
             cols.append(F.when(new | (known & F.lit(c in take)), F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")).alias(c))
-    return e.join(i, F.col(f"e.{key}") == F.col(f"i.{key}"), "full_outer").select(*cols)
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(f"e.{k}") == F.col(f"i.{k}"))
+    return e.join(i, same, "full_outer").select(*cols)
 
 
 def insert_absent(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -171,3 +175,8 @@ def limited(rows: DataFrame, group: str, order: Sequence[Column], limits: dict[s
     w = Window.partitionBy(group).orderBy(*order)
     kept = some.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= max([0, *limits.values()])).where(F.col("__n") <= F.col("__most"))
     return rows.where(most.isNull()).unionByName(kept.select(*rows.columns))
+
+
+def fill_keys(rows: DataFrame, key: str, identify: Column) -> DataFrame:
+    """Rows whose key is null or empty take the one that ``identify`` gives, the same at every run; then every row has a key."""
+    return rows.withColumn(key, F.coalesce(F.when(F.col(key) != "", F.col(key)), identify))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -147,12 +148,12 @@ def promote_known(spark, d):
 
 
 @query(
-    """SELECT id, CASE WHEN source = 'energy_star' AND stg_promotion_status = 'promoted' AND stg_source_id NOT IN (SELECT id FROM incentive WHERE id IS NOT NULL) THEN 'stale' ELSE stg_promotion_status END AS stg_promotion_status FROM rebates_staging"""
+    """SELECT id, CASE WHEN source = 'energy_star' AND stg_promotion_status = 'promoted' AND stg_source_id NOT IN (SELECT stg_source_id FROM rebates_staging WHERE updated_at >= TIMESTAMPTZ '2025-03-01 00:00:00+00' AND stg_source_id IS NOT NULL) THEN 'stale' ELSE stg_promotion_status END AS stg_promotion_status FROM rebates_staging"""
 )
 def mark_stale(spark, d):
     """Promoted rows of one source that its last run didn't bring go stale."""
     s = table(spark, d, "rebates_staging").select("id", "stg_source_id", "source", "stg_promotion_status")
-    seen = table(spark, d, "incentive").select(F.col("id").alias("stg_source_id"))
+    seen = table(spark, d, "rebates_staging").where(F.col("updated_at") >= F.lit(datetime(2025, 3, 1, tzinfo=timezone.utc))).select("stg_source_id")
     return catalog.unseen_to(s, seen, "stg_source_id", "stg_promotion_status", "promoted", "stale", F.col("source") == "energy_star").select("id", "stg_promotion_status")
 
 
