@@ -20,6 +20,7 @@ import string
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from http import HTTPStatus
 
 import numpy as np
 import pyarrow as pa
@@ -39,26 +40,47 @@ FIELDS = """name|title|state|amount|product|price|date|city|utility|company|prog
 customer name|rebate amount|rebate amt|offer title|item label|item name|page heading|page title|site name|company name|start date|end date|contact email|row name|your name|product name|category""".replace("\n", "|").split("|")
 # Marks around template fields; @ stands for the field.
 MARKS = """{{@}}|{{ @ }}|{@}|${@}|<%= @ %>|<?= $row['@'] ?>|<?php echo $@; ?>|%@%|%%@%%|{% @ %}|[[@]]|[@]|[insert @]|[@ here]|[your @]|[add @ here]|<@ goes here>|<insert @>|<@>|__@__|##@##|#@#|@@F@@|«@»|$@$|{{{@}}}|[%@%]""".split("|")
-# Filler that an editor was to replace.
-FILLER = """heading goes here|insert title here|your title goes here|your text here|sample text - replace|sample page|sample paragraph|this is a sample paragraph. replace it with your own text.|body copy to come from marketing.
-click edit to change this block.|add a short description of the program here.|new page (copy)|untitled document|untitled page|untitled|heading 0|title tbd|tbd|to be determined|placeholder|placeholder text|text to come|copy tk|asdf asdf|asdf|qwerty|xxxxxxxx|xxxx|xxx xxx
-test test|test test test|foo bar|undefined|null|nan|none|null null|none none|none | none|undefined undefined|[object object]|- undefined|nan nan|object object|n/a n/a|description goes here|enter text here|replace this text|coming soon|content goes here|page title here""".replace("\n", "|").replace("none | none", "none none").split("|") + ["none | none", "null | null"]
-# Notices of failed or blocked requests.
-ERRORS = """page not found|0 - page not found|0 not found|error 0|http error 0|oops! 0|oops! something went wrong|server error (0)|0 forbidden|http 0: request failed|request failed|http 0|0 bad gateway|0 - internal server error|internal server error|service unavailable
-service temporarily unavailable|site under maintenance|scheduled maintenance is in progress. thank you for your patience.|we'll be right back|gateway timed out|gateway timeout|upstream timed out|upstream connect error or disconnect before headers|connection timed out|connection reset
-access denied|access denied for this resource.|permission denied|request blocked|your request was blocked by our security service|attention required!|just a moment...|checking your browser before access|checking if the connection is secure|verify you are human|verifying you are human. this may take a few seconds.
-please enable javascript to continue|please enable javascript in your browser to use this site.|you need to enable javascript to run this app.|javascript is required|enable cookies and javascript|you need to turn on scripts to view this page|your browser does not support scripts|this application needs scripts. turn them on and reload.
-scripts are disabled; the rebate finder cannot start.|scripts are disabled|session expired - sign in again|your session has expired|please log in to continue|something went wrong on our end|an unexpected error occurred|this page isn't available|this content has moved or no longer exists|we can't find that page
-the page you requested could not be found|sorry, that page is gone|sorry, we could not find that page|the page you are looking for might have been removed or had its name changed.|the link you followed is broken or out of date. try the search box.|we looked everywhere but this address leads nowhere.|the record you asked for does not exist.
-the server met an unexpected condition. please try again later.|please try again later|too many requests|rate limit reached|rate limit exceeded|internal error|fatal error: uncaught exception in template line 0|uncaught exception|stack trace|database connection failed|could not connect to server|bad request|unauthorized|not authorized
-reference number: 0b0.0|reference number: 0d0c0.0|reference number: 0f0ea0.0|ray id: 0a0b0c|record not found|resource not found|failed to load resource|no response from server|failed|status failed""".replace("\n", "|").split("|")
+# Common wording of office and site software where an editor is to write something, and of values that stand for nothing.
+FILLER = """your title here|your text here|your name here|insert title here|insert text here|add title|add text here|add your text here|enter text here|enter title here|type here|sample text|sample page|sample document
+placeholder|placeholder text|this is placeholder text|this is a sample page|dummy text|text goes here|title goes here|content goes here|description goes here|replace this text|edit this text|click to add title
+click to add text|click here to edit|untitled|untitled document|untitled page|new page|copy of untitled|heading|tbd|tba|to be determined|to be announced|to be completed|coming soon|under construction
+test|test page|test test|testing testing|foo bar|foo|asdf|asdf asdf|qwerty|xxx|xxxx|xxxxxxxx|abc abc|null|undefined|none|nan|n/a n/a|null null|none none|nan nan|undefined undefined|[object object]""".replace("\n", "|").split("|")
+# Common wording of failed, refused and blocked requests, beside the names that the protocol has for them.
+NOTICES = """page not found|oops!|oops! something went wrong|something went wrong|an unexpected error occurred|an error occurred while processing your request|the page you requested could not be found
+the page you are looking for might have been removed, had its name changed, or is temporarily unavailable.|we can't find the page you're looking for|sorry, this page isn't available|this page no longer exists
+please try again later|site under maintenance|down for maintenance|scheduled maintenance|we'll be right back|connection timed out|connection refused|connection reset by peer|upstream request timeout
+upstream connect error or disconnect/reset before headers|access denied|permission denied|you don't have permission to access this resource|request blocked|sorry, you have been blocked|attention required!
+just a moment...|checking your browser before accessing|checking if the site connection is secure|verify you are human|verifying you are human. this may take a few seconds.|please enable cookies
+please enable javascript to continue|you need to enable javascript to run this app.|please enable javascript in your browser|this site requires javascript|javascript is required|javascript is disabled
+your browser does not support javascript|enable scripts in your browser|scripting is turned off|your session has expired|session expired|please log in to continue|sign in to continue|rate limit exceeded
+fatal error: uncaught exception|unhandled exception|stack trace|database connection failed|could not connect to server|record not found|failed to load resource|no response from server|request failed""".replace("\n", "|").split("|")
+
+
+def notices() -> list[str]:
+    """Examples of failure messages: the protocol's own names and explanations of failures, as pages show them, and the common wording."""
+    out = list(NOTICES) + [f.format(404) for f in ("{}", "error {}", "{} error", "http {}", "http error {}", "status {}", "code {}", "{} page not found")]
+    for s in HTTPStatus:
+        if s >= 400:
+            name = s.phrase
+            out += [name, f"{s.value} {name}", f"{s.value} - {name}", f"error {s.value}: {name}", f"http {s.value} {name}", *([s.description] if s.description else [])]
+    return [fold(x) for x in out]
+
 
 _NUMBER = re.compile(r"\d[\d.,]*")
+#: What stands for a number, and for one that the protocol has for a failed request.
+PLAIN_NUMBER, FAILURE = "0", "4"
+_CODES = {str(s.value): FAILURE for s in HTTPStatus if s >= 400}
+
+
+def _number(m: re.Match) -> str:
+    n = m[0]
+    return _CODES.get(n) or _CODES.get(n.rstrip(".,"), PLAIN_NUMBER)
 
 
 def fold(text: str) -> str:
+    """A text in lower case and compatibility forms, with one sign for a number and another for the code of a failure."""
     t = (text if text.isascii() else unicodedata.normalize("NFKC", text)).lower()
-    return " ".join(_NUMBER.sub("0", t).split())
+    return " ".join(_NUMBER.sub(_number, t).split())
 
 
 def _fields() -> list[str]:
@@ -79,7 +101,7 @@ def grammar(seed: int = 11, latin: int = 400) -> list[str]:
         for f in fields:
             out.append(inner.replace("@", f) if "\x00" not in inner else f"@@{f}@@")
     for f in FIELDS:
-        out += [f"{f} nan", f"{f} - undefined", f"null null {f}", f"undefined {f}", f"{f} null"]
+        out += [f"{f} nan", f"{f} - undefined", f"null null {f}", f"undefined {f}", f"{f} null", f"{f} tbd", f"{f} tba", f"{f} to be determined"]
     for w in ("nan", "null", "undefined", "none"):
         out += [x for c in string.ascii_lowercase for x in (f"{c} {w}", f"{c} - {w}")] * 3
     for _ in range(latin):
@@ -111,7 +133,7 @@ def dummy(text: str) -> bool:
 
 def seeds() -> tuple[list[str], list[str]]:
     """The texts that the models of filler and of notices learn from."""
-    return [f"{x} " for x in grammar()] + [f"{x} " for x in FILLER] * 8, [f"{x} " for x in ERRORS] * 8
+    return [f"{x} " for x in grammar()] + [f"{x} " for x in FILLER] * 8, [f"{x} " for x in notices()] * 8
 
 
 def at_home(model: KneserNey, texts: list[str]) -> np.ndarray:
@@ -154,8 +176,8 @@ def fit(natural: list[tuple[str, int]], rounds: int = 2, order: int = 6, own: in
 DRIFT = 0.3
 #: Windowed log-likelihood ratio from which a text counts as a case.
 THRESHOLD = 14.0
-#: A lower ratio is enough where the residue covers the text to this share.
-WHOLE, COVERAGE = 9.0, 0.5
+#: A lower ratio is enough where the residue covers the text to this share, if the text has so many characters at least: two letters are a code of something.
+WHOLE, COVERAGE, SHORTEST = 9.0, 0.5, 3
 #: So is one from here on, if a value that programs write for a missing one stands in the text in its exact spelling.
 WEAK = 4.0
 DUMMY = re.compile(r"(?<![\w])(?:NaN|undefined|null|\[object Object\])(?![\w])")
@@ -243,21 +265,22 @@ def score(df: DataFrame, keys: tuple[str, ...], text: str, model: KneserNey) ->
         for b in batches:
             raw = b.column(b.num_columns - 1).to_pylist()
             folded = [f"{fold(t)} " for t in raw]
-            lo, size = 0, 0
+            lo, chars = 0, 0
             for i in range(len(folded) + 1):
-                if i == len(folded) or size > 150_000:
+                if i == len(folded) or chars > 150_000:
                     part = folded[lo:i]
                     r, k, n = stretches(m, part)
                     cover = np.minimum(n / np.array([max(len(x) - 1, 1) for x in part]), 1.0)
+                    size = np.array([len(x.strip()) for x in raw[lo:i]], np.int64)
                     weak = np.array([dummy(x) for x in raw[lo:i]], bool)
-                    found = (r >= THRESHOLD) | (weak & (r >= WEAK)) | ((r >= WHOLE) & (cover >= COVERAGE))
+                    found = (r >= THRESHOLD) | (weak & (r >= WEAK)) | ((r >= WHOLE) & (cover >= COVERAGE) & (size >= SHORTEST))
                     yield pa.RecordBatch.from_arrays(
                         [*(c.slice(lo, i - lo) for c in b.columns[:-1]), pa.array(r), pa.array([CLASSES[x] for x in k]), pa.array(cover), pa.array(found)],
                         [*b.schema.names[:-1], "residue", "kind", "coverage", "found"],
                     )
-                    lo, size = i, 0
+                    lo, chars = i, 0
                 if i < len(folded):
-                    size += len(folded[i])
+                    chars += len(folded[i])
 
     return d.mapInArrow(run, f"{schema}, residue double, kind string, coverage double, found boolean")
 
