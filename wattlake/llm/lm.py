@@ -361,33 +361,46 @@ class KneserNey:
         out.filled = {y: tables[: self.own - 1] + (tables if y == of else by)[self.own - 1 :] for y, by in self.filled.items()}
         return out
 
-    def _ready(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each order what is left of each gram's count after the discount, and each context's divisor and weight of the lower order, less one, the classes side by side."""
+    def _ready(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each order the places of its grams and what is left of their counts after the discount, and those of its contexts with their divisor and weight of the lower order, less one; the classes side by side.
+
+        Only filled places have a row, and the last row is that of all others, so a worker holds what was seen, not the space.
+        """
         if "_laid" not in self.__dict__:
             self._laid = []
             for k in range(1, self.order + 1):
                 ys = self.classes if k >= self.own else self.classes[:1]
-                gram, context = np.zeros((1 << self.bits, len(ys)), np.float32), np.zeros((1 << self.bits, 2 * len(ys)), np.float32)
+                grams_ = np.unique(np.concatenate([self.filled[y][k - 1][0][0] for y in ys]))
+                contexts = np.unique(np.concatenate([self.filled[y][k - 1][1][0] for y in ys]))
+                left, way = np.zeros((len(grams_) + 1, len(ys)), np.float32), np.zeros((len(contexts) + 1, 2 * len(ys)), np.float32)
                 for j, y in enumerate(ys):
                     (at, n), (of, tot), (of_typ, typ) = self.filled[y][k - 1]
-                    gram[at, j] = np.maximum(n - DISCOUNT, 0)
-                    context[of, j] = 1 / np.maximum(tot, 1)
-                    t = np.zeros(1 << self.bits, np.float32)
-                    t[of_typ] = typ
-                    context[of, len(ys) + j] = DISCOUNT * np.minimum(t[of], tot) / np.maximum(tot, 1) - 1
-                self._laid.append((gram, context))
+                    left[np.searchsorted(grams_, at), j] = np.maximum(n - DISCOUNT, 0)
+                    i = np.searchsorted(contexts, of)
+                    kinds = np.zeros(len(contexts) + 1, np.float32)
+                    kinds[np.searchsorted(contexts, of_typ)] = typ
+                    way[i, j] = 1 / np.maximum(tot, 1)
+                    way[i, len(ys) + j] = DISCOUNT * np.minimum(kinds[i], tot) / np.maximum(tot, 1) - 1
+                self._laid.append((grams_, left, contexts, way))
         return self._laid
 
+    def _rows(self, places: np.ndarray, h: np.ndarray, values: np.ndarray) -> np.ndarray:
+        at = (h & self.mask).astype(np.uint32)
+        if not len(places):
+            return values[np.zeros(len(at), np.int64)]
+        i = np.minimum(np.searchsorted(places, at), len(places) - 1)
+        return values[np.where(places[i] == at, i, len(places))]
+
     def _logs(self, c: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probabilities at some positions, a column a class."""
         here, before = np.full(len(at), 7, np.uint64), np.full(len(at), 7, np.uint64)
         p = np.full((len(at), 1), 1 / (self.types + 1), np.float32)
-        for k, (gram, context) in enumerate(self._ready()):
-            x = context[self._at(before)]
+        for k, (grams_, left, contexts, way) in enumerate(self._ready()):
+            x = self._rows(contexts, before, way)
             here = _mixed(here, c[np.maximum(at - k, 0)])
             before = _mixed(before, c[np.maximum(at - k - 1, 0)])
             n = x.shape[1] // 2
-            p = np.minimum(gram[self._at(here)] * x[:, :n] + (1 + x[:, n:]) * p, 1)
+            p = np.minimum(self._rows(grams_, here, left) * x[:, :n] + (1 + x[:, n:]) * p, 1)
         return np.log(np.maximum(p, 1e-12))
 
     def log_probs(self, c: np.ndarray) -> dict[str, np.ndarray]:
