@@ -50,7 +50,7 @@ def test_children_against_brute_force(spark, sf):
         for i, s in enumerate(r[1] or [], 1):
             for f, tag in (("parameters", "parameter"), ("technologies", "technology"), ("sectors", "sector")):
                 for j, x in enumerate((s[f] if s else None) or [], 1):
-                    if x and _filled(x.asDict()):
+                    if x and any(v is not None for v in x):
                         expected.add((tag, str(r[0]), i, j))
     got = [tuple(r) for r in problems.p7_found(spark, sf).collect()]
     assert len(got) == len(set(got)) and set(got) == expected

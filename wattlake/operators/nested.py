@@ -6,7 +6,8 @@ tables come out of one scan and no shuffle is needed until repeats of a parent a
 can be written once, partitioned by tag, and each tag read back under its own schema.
 
 Nulls: a null record, list or element has no items, but null elements keep their place in the
-numbering. An element without any non-blank content is no item either. Text that isn't whole JSON,
+numbering. An element of JSON without any non-blank content is no item either, nor is a typed element
+whose fields are all null; fields that are there but blank make one. Text that isn't whole JSON,
 after its carrier (byte order mark, anti-hijacking prefix, HTML escaping, JSON string) is taken off,
 has no items. A parent key that is null is kept as a key of its own and yields no child rows.
 """
@@ -103,7 +104,9 @@ def struct_children(df: DataFrame, key: str, sets: str, lists: dict[str, str]) -
         names = kind.elementType[field].dataType.elementType.names
 
         def item(i: Column, x: Column, j: Column) -> Column:
-            filled = F.trim(F.concat_ws("", *[x[n].cast("string") for n in names])) != ""
+            filled = F.lit(False)
+            for n in names:
+                filled = filled | x[n].isNotNull()
             return F.when(filled, _tagged(F.lit(tag), k, i + 1, j + 1, F.to_json(x)))
 
         return F.flatten(
