@@ -2,17 +2,19 @@
 
 A *label* is what a row says about the unit of its quantity: its unit field or, where that says
 nothing, the phrase that follows the same number in its text. Labels are the nodes of the graph; two
-labels are linked where the same entity is recorded under both. Every label of the fixed vocabulary
-is an anchor with a known conversion. For any other label the scale towards the anchors is estimated
-robustly over all linked entities (median of log ratios, spread, and a residual offset), snapped to
-the nearest known conversion, and handed on: labels resolved in one round anchor the next.
-
-Only per-(entity, label) medians are joined, never rows, so a hot entity or source costs one row per
-label; after that pre-aggregation an entity holds at most
-as many rows as it has labels, so the joins need no salt.
-
-Nulls: a row without a quantity, or whose label is unknown to vocabulary and graph, has no result.
-Repeated rows each keep their own result. Quantities that aren't finite numbers are left out.
+labels are linked where two sources record the same entity under them. A few labels of each unit are
+anchors with a known conversion. For any other label the scale towards resolved ones is estimated
+robustly over all linked pairs of sources (median of log ratios, share of ratios that agree, median
+residual offset), snapped to the nearest known conversion, and handed on: labels resolved in one round
+anchor the next, until a round resolves nothing. Labels that no link reaches are read from the fixed
+vocabulary, and what these reach is resolved after them.
+
+Only per-(entity, source, label) medians are joined, never rows, so a hot entity or source costs one row per
+label; after that pre-aggregation an entity holds at most as many rows as its sources have labels, so the
+joins need no salt.
+
+Nulls: a row without a quantity, or whose label is unknown to vocabulary and graph, has no result. A null
+source is one of its own. Repeated rows each keep their own result. Quantities that aren't finite numbers are left out.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ UNIT_NAMES: dict[str, dict[float, str]] = {
     "unit": {1: "unit|units|each|ea|apiece|piece|item", 1 / 12: "dozen|doz|dz"},
     "port": {1: "port|ports|charging port|charging ports|charger port"},
 }
+#: Names that anchor the graph; the labels that units give shares and counts themselves belong to them.
+ANCHORS = ("percent", "%", "fraction", "kw", "kwh", "mmbtu", "sqft", "linear_ft", "ton", "year", "unit", "port")
 # Labels that name no unit.
 NO_UNIT = ("", "other", "none", "null", "n/a", "na", "unknown", "varies", "misc", "-", "tbd")
 # Words that may follow a unit in a sentence.
@@ -127,8 +131,8 @@ def _shares(t: Column) -> Column:
     return F.filter(F.concat(F.regexp_extract_all(t, rx, 1), F.regexp_extract_all(t, rx, 2)), lambda x: x != "")
 
 
-def labelled(rows: DataFrame, id_: str, entity: Column, percent: str, per_unit: str, unit: str, text: str) -> DataFrame:
-    """(id, entity, amount, label): each quantity of a row under the label that the row itself gives it.
+def labelled(rows: DataFrame, id_: str, entity: Column, percent: str, per_unit: str, unit: str, text: str, source: str = "source") -> DataFrame:
+    """(id, entity, source, amount, label): each quantity of a row under the label that the row itself gives it.
 
     The unit field counts first, then the text, and last, for a share above one, the field it stands in.
     """
@@ -139,15 +143,16 @@ def labelled(rows: DataFrame, id_: str, entity: Column, percent: str, per_unit:
     q = rows.select(
         F.col(id_).alias("id"),
         entity.alias("entity"),
+        (F.coalesce(F.col(source), F.lit("")) if source in rows.columns else F.lit("")).alias("source"),
         said.alias("said"),
         F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+", " ").alias("t"),
         F.explode(F.array(*[F.struct(F.lit(k).alias("share"), finite(F.col(c).cast("double")).alias("amount")) for k, c in ((True, percent), (False, per_unit))])).alias("q"),
-    ).select("id", "entity", "said", "t", "q.share", "q.amount").where("amount is not null")
-    plain = q.where("said is not null").select("id", "entity", "amount", F.col("said").alias("label"))
+    ).select("id", "entity", "source", "said", "t", "q.share", "q.amount").where("amount is not null")
+    plain = q.where("said is not null").select("id", "entity", "source", "amount", F.col("said").alias("label"))
     free = q.where("said is null")
     kind = lambda name, a: F.transform(a, lambda x, i: F.struct(F.lit(name).alias("kind"), i.alias("pos"), x.alias("text")))
     told = F.concat(kind("unit", F.when(F.col("share"), F.array().cast("array<string>")).otherwise(_unit_phrases(F.col("t"), F.col("amount")))), kind("share", _shares(F.col("t"))))
-    c = free.select("id", "entity", "amount", "share", F.explode_outer(told).alias("c")).select("*", "c.kind", "c.pos", F.col("c.text").alias("label")).drop("c")
+    c = free.select("id", "entity", "source", "amount", "share", F.explode_outer(told).alias("c")).select("*", "c.kind", "c.pos", F.col("c.text").alias("label")).drop("c")
     c = resolve(c).join(_numbers(spark), F.col("label") == F.col("word"), "left")
     number = F.coalesce(F.col("label").try_cast("double"), F.col("spelled"))
     label = (
@@ -156,50 +161,87 @@ def labelled(rows: DataFrame, id_: str, entity: Column, percent: str, per_unit:
         .when((F.col("kind") == "share") & _near(F.col("amount") * 100, number), F.lit("fraction"))
     )
     rank = F.struct(label.isNull(), F.col("kind") == "share", "pos")
-    best = c.groupBy("id", "entity", "amount", "share").agg(F.min_by(label, rank).alias("label"))
+    best = c.groupBy("id", "entity", "source", "amount", "share").agg(F.min_by(label, rank).alias("label"))
     best = best.withColumn("label", F.coalesce("label", F.when(F.col("share") & (F.col("amount") > 1), F.lit("percent")))).drop("share")
     return plain.unionByName(best).where("label is not null")
 
 
-def label_graph(q: DataFrame, min_support: int = 3, tolerance: float = 0.01, agreement: float = 0.6) -> DataFrame:
+def _observed(q: DataFrame) -> DataFrame:
+    """(entity, source, label, amount, n): what each source records of an entity under each label. Without sources each label is one."""
+    d = q if "source" in q.columns else q.withColumn("source", F.col("label"))
+    d = d.withColumn("source", F.when(F.col("source") == "", F.col("label")).otherwise(F.col("source")))
+    return d.groupBy("entity", "source", "label").agg(F.percentile_approx("amount", 0.5, 10000).alias("amount"), F.count("*").alias("n"))
+
+
+def _estimated(ratio: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, scale, off, support, share, offset, size): from pairs (amount, ref) the median ratio, the known conversion nearest to it and how far off that is, how many pairs bear it, and the median residual."""
+    known = F.array(*[F.lit(x) for x in known_conversions()])
+    r = ratio.withColumn("r", F.log(F.col("ref") / F.col("amount")))
+    edge = r.groupBy(*keys).agg(F.count("*").alias("support"), F.percentile_approx("r", 0.5, 10000).alias("m"))
+    snapped = F.array_min(F.transform(known, lambda k: F.struct(F.abs(F.log(k) - F.col("m")).alias("off"), k.alias("scale"))))
+    edge = edge.select(*keys, "support", snapped.alias("s")).select(*keys, "support", "s.off", "s.scale")
+    return r.join(edge, keys).groupBy(*keys, "scale", "off", "support").agg(
+        F.avg((F.abs(F.col("r") - F.log("scale")) <= TOLERANCE).cast("double")).alias("share"),
+        F.percentile_approx(F.col("ref") - F.col("scale") * F.col("amount"), 0.5, 10000).alias("offset"),
+        F.percentile_approx("ref", 0.5, 10000).alias("size"),
+    )
+
+
+#: How far a ratio may be from a known conversion, in logarithms, and a residual offset from nothing, by size.
+TOLERANCE = 0.01
+
+
+def source_edges(q: DataFrame) -> DataFrame:
+    """(source_a, label_a, source_b, label_b, scale, offset, support, share): the links between labels of two sources and what turns a value of the first into one of the second."""
+    by = _observed(q).where("amount > 0")
+    a = by.select("entity", F.col("source").alias("source_a"), F.col("label").alias("label_a"), "amount")
+    b = by.select("entity", F.col("source").alias("source_b"), F.col("label").alias("label_b"), F.col("amount").alias("ref"))
+    pairs = a.join(b, "entity").where("source_a < source_b")
+    return _estimated(pairs, ["source_a", "label_a", "source_b", "label_b"]).select("source_a", "label_a", "source_b", "label_b", "scale", "offset", "support", "share")
+
+
+def label_graph(q: DataFrame, min_support: int = 3, agreement: float = 0.6, anchors: tuple[str, ...] = ANCHORS) -> DataFrame:
     """(label, common_unit, scale, round): what each label converts to.
 
-    Round 0 are the anchors of the vocabulary. In each further round, until one resolves nothing, a label is linked, by the entities
-    it shares with resolved labels, to the unit most of them have; its scale is the median ratio, and it
-    is taken if a known conversion lies within ``tolerance``, ``min_support`` entities bear it and
-    ``agreement`` of the ratios lie within ``tolerance`` of it.
+    Round 0 are the anchors. In each further round, until one resolves nothing, a label is linked, by the entities that other
+    sources record under resolved labels, to the unit most of them have; its scale is the median ratio, and it
+    is taken if a known conversion lies within the tolerance, ``min_support`` links bear it and
+    ``agreement`` of the ratios lie within the tolerance of it. Labels no link reaches are read from the vocabulary (round -1).
     """
-    by = cut_lineage(q.groupBy("entity", "label").agg(F.percentile_approx("amount", 0.5, 10000).alias("amount"), F.count("*").alias("n")))
+    by = cut_lineage(_observed(q))
     labels = by.groupBy("label").agg(F.sum("n").alias("rows"))
-    done = resolve(labels).where("scale is not null").select("label", "common_unit", "scale", F.lit(0).alias("round"))
-    known = F.array(*[F.lit(x) for x in known_conversions()])
+    named = _base(F.col("label"))
+    read = resolve(labels).where("scale is not null").select("label", "common_unit", "scale", (named["base"].isin(*anchors) & (named["factor"] == 1)).alias("anchor"))
+    read = cut_lineage(read)
+    done = read.where("anchor").select("label", "common_unit", "scale", F.lit(0).alias("round"))
+    rest = read.where("not anchor").select("label", "common_unit", "scale", F.lit(-1).alias("round"))
+    last = False
     for i in count(1):
-        anchors = by.join(done, "label").groupBy("entity", "common_unit").agg(F.percentile_approx(F.col("amount") * F.col("scale"), 0.5, 10000).alias("ref"))
-        free = by.join(done, "label", "left_anti")
-        ratio = free.join(anchors, "entity").where("amount > 0 and ref > 0").withColumn("r", F.log(F.col("ref") / F.col("amount")))
-        edge = ratio.groupBy("label", "common_unit").agg(F.count("*").alias("support"), F.percentile_approx("r", 0.5, 10000).alias("m"))
-        snapped = F.array_min(F.transform(known, lambda k: F.struct(F.abs(F.log(k) - F.col("m")).alias("off"), k.alias("scale"))))
-        edge = edge.withColumn("s", snapped).where((F.col("support") >= min_support) & (F.col("s.off") <= tolerance))
-        close = ratio.join(edge.select("label", "common_unit", F.col("s.scale").alias("scale"), "support"), ["label", "common_unit"]).groupBy("label", "common_unit", "scale", "support").agg(
-            F.avg((F.abs(F.col("r") - F.log("scale")) <= tolerance).cast("double")).alias("share"),
-            F.percentile_approx(F.col("ref") - F.col("scale") * F.col("amount"), 0.5, 10000).alias("offset"),
-            F.percentile_approx("ref", 0.5, 10000).alias("size"),
-        )
-        best = close.where((F.col("share") >= agreement) & (F.abs("offset") <= tolerance * F.col("size"))).groupBy("label").agg(
-            F.max_by(F.struct("common_unit", "scale"), F.struct("support", "share", "common_unit")).alias("b")
-        )
+        refs = by.join(done, "label").groupBy("entity", F.col("source").alias("other"), "common_unit").agg(F.percentile_approx(F.col("amount") * F.col("scale"), 0.5, 10000).alias("ref"))
+        free = by.join(done, "label", "left_anti").where("amount > 0")
+        close = _estimated(free.join(refs, "entity").where("source <> other and ref > 0"), ["label", "common_unit"])
+        fits = (F.col("support") >= min_support) & (F.col("off") <= TOLERANCE) & (F.col("share") >= agreement) & (F.abs("offset") <= TOLERANCE * F.col("size"))
+        best = close.where(fits).groupBy("label").agg(F.max_by(F.struct("common_unit", "scale"), F.struct("support", "share", "common_unit")).alias("b"))
         found = cut_lineage(best.select("label", "b.common_unit", "b.scale", F.lit(i).alias("round")))
         if found.isEmpty():
-            break
+            if last:
+                break
+            last, found = True, rest.join(done, "label", "left_anti")
+            if found.isEmpty():
+                break
         done = cut_lineage(done.unionByName(found))
     return done
 
 
 def harmonise(
     rows: DataFrame, id_: str = "id", name: str = "program_name", organisation: str = "utility_company", percent: str = "percent_value",
-    per_unit: str = "per_unit_amount", unit: str = "unit_type", text: str = "incentive_description", **graph
+    per_unit: str = "per_unit_amount", unit: str = "unit_type", text: str = "incentive_description", learn: bool = True, **graph
 ) -> DataFrame:
-    """(id, common_unit, value): each quantity of a row in its common unit."""
+    """(id, common_unit, value): each quantity of a row in its common unit; by the vocabulary alone unless ``learn``."""
     q = labelled(rows, id_, program_hash(name, organisation), percent, per_unit, unit, text)
-    g = label_graph(q, **graph).select("label", "common_unit", "scale")
+    if learn:
+        q = cut_lineage(q)
+        g = label_graph(q, **graph).select("label", "common_unit", "scale")
+    else:
+        g = resolve(q.select("label").distinct()).where("scale is not null").select("label", "common_unit", "scale")
     return q.join(g, "label").select("id", "common_unit", (F.col("amount") * F.col("scale")).alias("value"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wattlake.functions.text import program_hash
 from wattlake.operators import nested, units
 from wattlake.session import table
 
@@ -14,14 +15,20 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("id", "common_unit", F.round(F.col("value") * 1000).cast("bigint").alias("value_milli"))
 
 
-def p5_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The source graph: what each unit label means, and in which round it was resolved."""
-    from wattlake.functions.text import program_hash
-
-    q = units.labelled(
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return units.labelled(
         table(spark, sf_dir, "rebates_staging"), "id", program_hash("program_name", "utility_company"), "percent_value", "per_unit_amount", "unit_type", "incentive_description"
     )
-    return units.label_graph(q)
+
+
+def p5_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each unit label means, and in which round of the source graph it was resolved."""
+    return units.label_graph(_labelled(spark, sf_dir))
+
+
+def p5_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The links of the source graph: what turns values of one source's label into those of another's."""
+    return units.source_edges(_labelled(spark, sf_dir))
 
 
 def _children(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,5 +54,5 @@ def p7_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _children(spark, sf_dir)
 
 
-QUERIES = {"p5_found": p5_found, "p5_labels": p5_labels, "p7_found": p7_found, "p7_children": p7_children}
+QUERIES = {"p5_found": p5_found, "p5_labels": p5_labels, "p5_edges": p5_edges, "p7_found": p7_found, "p7_children": p7_children}
 ORACLE: dict[str, str] = {}
