@@ -1,9 +1,10 @@
 """Matching records of two sources without a key, by collective graph linkage.
 
-Every record is a node with partial, noisy attributes: its organisation, the product its name is
-about, the customer group, words of a brand, a place in the name, dates. Edges are drawn between
-records of the two sources that share a block of rare attributes; an edge weighs the sum of the rarity
-(inverse frequency) of what it shares. Meta-blocking prunes: of the edges of a node only those of at
+Every record has partial, noisy attributes: its organisation, the product its name is
+about, the customer group, words of a brand, a place in the name, the state, dates and the rate. Records
+that share all of them are one node with a count, so copies make no edges of their own. Edges are drawn between
+nodes of the two sources that share a block of rare attributes; an edge weighs the sum of the rarity
+(inverse frequency) of what it shares, less that of what contradicts. Meta-blocking prunes: of the edges of a node only those of at
 least ``keep`` of its best weight stay. The weights are then refined by the neighbours: records of
 one source with the same name, organisation and group support each other's edges, until no weight
 moves by more than ``eps`` (or ``rounds`` are over); last, each record takes its best edge.
@@ -20,10 +21,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlake.functions.text import norm
 from wattlake.llm.names import edit_distance, similar
@@ -42,10 +45,24 @@ GROUPS = (
 )
 # Abbreviations of the states.
 STATES = frozenset("al ak az ar ca co ct dc de fl ga hi id il in ia ks ky la me md ma mi mn ms mo mt ne nv nh nj nm ny nc nd oh ok or pa ri sc sd tn tx ut vt va wa wv wi wy".split())
+# Names of the states and their abbreviations.
+STATE_NAMES = dict(
+    x.split("=")
+    for x in """alabama=AL|alaska=AK|arizona=AZ|arkansas=AR|california=CA|colorado=CO|connecticut=CT|delaware=DE|district of columbia=DC|florida=FL|georgia=GA|hawaii=HI|idaho=ID|illinois=IL|indiana=IN|iowa=IA|kansas=KS
+kentucky=KY|louisiana=LA|maine=ME|maryland=MD|massachusetts=MA|michigan=MI|minnesota=MN|mississippi=MS|missouri=MO|montana=MT|nebraska=NE|nevada=NV|new hampshire=NH|new jersey=NJ|new mexico=NM|new york=NY|north carolina=NC
+north dakota=ND|ohio=OH|oklahoma=OK|oregon=OR|pennsylvania=PA|rhode island=RI|south carolina=SC|south dakota=SD|tennessee=TN|texas=TX|utah=UT|vermont=VT|virginia=VA|washington=WA|west virginia=WV|wisconsin=WI|wyoming=WY""".replace("\n", "|").split("|")
+)
 FEATURES = 1 << 15
 _STATE = re.compile(r"\(([a-z]{2})\)|,\s*([a-z]{2})$")
 
 
+def state_of(c: Column) -> Column:
+    """The abbreviation of a state, written out or not; null for anything else."""
+    t = norm(c)
+    by = F.create_map(*[F.lit(x) for kv in STATE_NAMES.items() for x in kv])
+    return F.when(t.isin(*[v.lower() for v in STATE_NAMES.values()]), F.upper(t)).otherwise(F.try_element_at(by, t))
+
+
 def plain(name: str) -> str:
     from wattlake.llm.names import _plain
 
@@ -148,20 +165,49 @@ def read(rows: DataFrame, model: ProductModel) -> DataFrame:
     return rows.mapInPandas(run, f"{schema}, product string, sure double, words array<string>, `group` string")
 
 
+class Near:
+    """Whether a word is a small edit away from one of the words given: two from words of more than six letters, else one.
+
+    By symmetric deletion: words are filed, by hash, under what taking up to two letters out leaves, and only words that
+    share such a rest are compared. Built where it is used, once a worker.
+    """
+
+    def __init__(self, words_: list[str]):
+        self.words = words_
+
+    def __getstate__(self) -> dict:
+        return {"words": self.words}
+
+    @staticmethod
+    def _rests(w: str, most: int) -> set[str]:
+        out = {w}
+        for k in range(1, most + 1):
+            out |= {"".join(c for i, c in enumerate(w) if i not in cut) for cut in combinations(range(len(w)), k)} if len(w) > k else set()
+        return out
+
+    def has(self, w: str) -> bool:
+        if "keys" not in self.__dict__:
+            filed = [(xxhash.xxh64_intdigest(r), i) for i, x in enumerate(self.words) for r in self._rests(x, 2)]
+            keys, at = (np.array(z, t) for z, t in zip(zip(*filed, strict=True), (np.uint64, np.int32), strict=True)) if filed else (np.zeros(0, np.uint64), np.zeros(0, np.int32))
+            by = np.argsort(keys, kind="stable")
+            self.keys, self.at, self.memo = keys[by], at[by], {}
+        if w not in self.memo:
+            if len(self.memo) > 100_000:
+                self.memo.clear()
+            most = 2 if len(w) > 6 else 1
+            rests = np.array([xxhash.xxh64_intdigest(r) for r in self._rests(w, most)], np.uint64)
+            lo, hi = np.searchsorted(self.keys, rests, "left"), np.searchsorted(self.keys, rests, "right")
+            near = {int(i) for a, b in zip(lo, hi, strict=True) for i in self.at[a:b]}
+            self.memo[w] = any(edit_distance(w, self.words[i], most) <= most for i in near)
+        return self.memo[w]
+
+
 def marks(rows: DataFrame, vocab: dict[str, float], telling: float = 0.08) -> DataFrame:
     """Adds brand (words many use that tell of no product) and place (words nobody else uses, other than the organisation's own)."""
-    shared = rows.sparkSession.sparkContext.broadcast(vocab)
+    shared = rows.sparkSession.sparkContext.broadcast((vocab, Near([w for w in vocab if len(w) >= 4])))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        v = shared.value
-        long = [w for w in v if len(w) >= 4]
-        memo: dict[str, bool] = {}
-
-        def known(w: str) -> bool:
-            if w not in memo:
-                memo[w] = any(abs(len(w) - len(x)) <= 2 and edit_distance(w, x) <= (2 if len(w) > 6 else 1) for x in long)
-            return memo[w]
-
+        v, near = shared.value
         own_words = PAYMENT | JOINING | STATES
         for pdf in batches:
             brands, places = [], []
@@ -175,7 +221,7 @@ def marks(rows: DataFrame, vocab: dict[str, float], telling: float = 0.08) -> Da
                     if w in v:
                         if v[w] < telling:
                             b.add(w)
-                    elif len(w) >= 6 and w.isalpha() and not known(w) and edit_distance(w, proper) > 2 and w not in proper:
+                    elif len(w) >= 6 and w.isalpha() and not near.has(w) and edit_distance(w, proper) > 2 and w not in proper:
                         p.append(w)
                 brands.append(" ".join(sorted(b)))
                 places.append("".join(p))
@@ -197,48 +243,84 @@ def settle_places(rows: DataFrame, usual: float = 0.5) -> DataFrame:
     return rows.join(to.withColumnRenamed("a", "place"), "place", "left").withColumn("place", F.coalesce("to", "place")).drop("to")
 
 
+#: What tells a node from another, and of these what an edge may share or contradict.
+NODE = ("org", "group", "brand", "place", "product", "sure", "state", "start", "end", "rate", "cluster")
+SHARED = ("org", "product", "place", "state", "start", "end", "rate")
+
+
+def nodes(rows: DataFrame) -> DataFrame:
+    """(node, n, *NODE): what the rows share, with how many they are."""
+    return rows.select(node_of().alias("node"), *NODE).groupBy("node", *NODE).agg(F.count("*").alias("n"))
+
+
+def node_of() -> Column:
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in NODE])
+
+
 def edges(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(left, right, weight) of records that share a block: organisation, place, group and brand, with the product or with both dates.
+    """(left, right, n, r_n, cluster, r_cluster, same, weight) of nodes that share a block: organisation, place, group and brand, with the product or with both dates.
 
+    Where one name leaves out the brand, or the place, the block takes the day of the start, or the state and a date or the rate, instead.
     The weight is the summed rarity of what is shared. Blocks are keyed on all of these at once, so a
     hot organisation is split by product, group, brand and place.
     """
-    both = left.select("org", "product", "start", "end", "rate").unionByName(right.select("org", "product", "start", "end", "rate"))
-    total = F.lit(float(max(1, both.count())))
+    both = left.select("n", *SHARED).unionByName(right.select("n", *SHARED))
+    total = F.lit(float(max(1, both.agg(F.sum("n")).first()[0] or 1)))
 
     def rarity(c: str) -> DataFrame:
-        return both.where(f"{c} is not null").groupBy(c).agg(F.log(total / F.count("*")).alias(f"w_{c}"))
+        return both.where(F.col(c).isNotNull() & (F.col(c) != "")).groupBy(c).agg(F.log(total / F.sum("n")).alias(f"w_{c}"))
 
-    for c in ("org", "product", "start", "end", "rate"):  # once a record, not once an edge
+    for c in SHARED:  # once a node, not once an edge
         left = left.join(rarity(c), c, "left")
     base = ["org", "group", "brand", "place"]
-    cols = [*base, "product", "sure", "start", "end", "rate", "cluster"]
-    weights = [f"w_{c}" for c in ("org", "product", "start", "end", "rate")]
-    a = left.select(F.col("id").alias("left"), *[F.col(c) for c in [*cols, *weights]])
-    b = right.select(F.col("id").alias("right"), *[F.col(c).alias(c if c in base else f"r_{c}") for c in cols])
-    by_product = a.join(b.withColumn("product", F.col("r_product")), [*base, "product"]).withColumn("same", F.lit(True)).select("left", "right", "org", "product", "start", "end", "rate", "r_start", "r_end", "r_rate", "same", "cluster", "r_cluster", "sure", "r_sure", *weights)
-    dated = a.where("start is not null and end is not null").join(b.withColumns({"start": F.col("r_start"), "end": F.col("r_end")}), [*base, "start", "end"])
-    dated = dated.where((F.col("product") != F.col("r_product")) & (F.least("sure", "r_sure") < 4)).withColumn("same", F.lit(False))
+    cols = [*base, "product", "sure", "state", "start", "end", "rate", "cluster", "n"]
+    weights = [f"w_{c}" for c in SHARED]
+    a = left.select(F.col("node").alias("left"), *[F.col(c) for c in [*cols, *weights]])
+    b = right.select(F.col("node").alias("right"), *[F.col(c).alias(c if c == "org" or c == "group" else f"r_{c}") for c in cols])
+
+    def kept(x: DataFrame) -> DataFrame:
+        return x.select("left", "right", "same", "n", "r_n", "cluster", "r_cluster", "sure", "r_sure", *weights, "org", *[c for k in ("brand", "product", "place", "state", "start", "end", "rate") for c in (k, f"r_{k}")])
+
+    def meet(x: DataFrame, keys: list[str], same: bool) -> DataFrame:
+        """Nodes of both sides that agree in ``keys``."""
+        y = b.select("org", "group", *[F.col(f"r_{k}").alias(k) for k in keys], "right", *[f"r_{k}" for k in cols if k not in ("org", "group")])
+        return kept(x.join(y, ["org", "group", *keys]).withColumn("same", F.lit(same)))
+
+    by_product = meet(a, ["brand", "place", "product"], True)
+    dated = meet(a.where("start is not null and end is not null"), ["brand", "place", "start", "end"], False)
+    dated = dated.where((F.col("product") != F.col("r_product")) & (F.least("sure", "r_sure") < 4))
     # one name may leave the brand out; the same day of start then has to speak for it
-    bare = a.where("start is not null").join(b.withColumns({"start": F.col("r_start"), "product": F.col("r_product"), "r_brand": F.col("brand")}).drop("brand"), ["org", "group", "place", "product", "start"])
-    bare = bare.where((F.col("brand") != F.col("r_brand")) & ((F.col("brand") == "") | (F.col("r_brand") == ""))).withColumn("same", F.lit(True))
-    x = by_product.unionByName(dated.select(*by_product.columns)).unionByName(bare.select(*by_product.columns))
-    shared = lambda c: F.when(F.col(c) == F.col(f"r_{c}"), F.col(f"w_{c}")).when(F.col(c).isNotNull() & F.col(f"r_{c}").isNotNull(), -F.col(f"w_{c}") / 2).otherwise(0.0)
-    w = F.col("w_org") + F.when(F.col("same"), F.col("w_product")).otherwise(0.0) + shared("start") + shared("end") + shared("rate")
-    return x.select("left", "right", "cluster", "r_cluster", "same", w.alias("weight"))
+    bare = meet(a.where("start is not null"), ["place", "product", "start"], True)
+    bare = bare.where((F.col("brand") != F.col("r_brand")) & ((F.col("brand") == "") | (F.col("r_brand") == "")))
+    # or the place; then the state has to, and a date or the rate
+    lost = meet(a.where("state is not null"), ["brand", "product", "state"], True)
+    told = (F.col("start") == F.col("r_start")) | (F.col("end") == F.col("r_end")) | (F.col("rate") == F.col("r_rate"))
+    lost = lost.where((F.col("place") != F.col("r_place")) & ((F.col("place") == "") | (F.col("r_place") == "")) & F.coalesce(told, F.lit(False)))
+    x = by_product.unionByName(dated).unionByName(bare).unionByName(lost)
+
+    def shared(c: str, against: float) -> Column:
+        w = F.coalesce(F.col(f"w_{c}"), F.lit(0.0))
+        return F.when(F.col(c) == F.col(f"r_{c}"), w).when((F.col(c) != "") & (F.col(f"r_{c}") != ""), -against * w).otherwise(0.0)
+
+    w = F.col("w_org") + F.when(F.col("same"), F.col("w_product")).otherwise(0.0) + shared("start", 0.5) + shared("end", 0.5) + shared("rate", 0.5) + shared("place", 0.0) + shared("state", 2.0)
+    return x.select("left", "right", "n", "r_n", "cluster", "r_cluster", "same", w.alias("weight"))
 
 
 def link(left: DataFrame, right: DataFrame, keep: float = 0.6, rounds: int = 5, eps: float = 0.01) -> DataFrame:
-    """(left, right, confidence): the match of each record of ``left`` that has one."""
-    e = edges(left, right)
+    """(left, right, confidence): the match of each record of ``left`` that has one; of copies in ``right`` the one of the largest id."""
+    left, right = (d if "state" in d.columns else d.withColumn("state", F.lit(None).cast("string")) for d in (left, right))
+    e = edges(nodes(left), nodes(right))
     best = e.groupBy("left").agg(F.max("weight").alias("top"))
     e = cut_lineage(e.join(best, "left").where((F.col("weight") > 0) & (F.col("weight") >= keep * F.col("top"))).drop("top").withColumn("w", F.col("weight")))
+    pairs = F.col("n") * F.col("r_n")
     for _ in range(rounds):
-        around = e.groupBy("cluster", "r_cluster").agg(F.avg("w").alias("near"))
+        around = e.groupBy("cluster", "r_cluster").agg((F.sum(F.col("w") * pairs) / F.sum(pairs)).alias("near"))
         moved = e.join(around, ["cluster", "r_cluster"]).withColumn("new", 0.7 * F.col("weight") + 0.3 * F.col("near"))
         change = moved.agg(F.max(F.abs(F.col("new") - F.col("w")) / F.greatest(F.abs("w"), F.lit(1e-9)))).first()[0] or 0.0
         e = cut_lineage(moved.withColumn("w", F.col("new")).drop("near", "new"))
         if change < eps:
             break
-    one = e.groupBy("left").agg(F.max_by("right", F.struct("w", "right")).alias("right"), F.max("w").alias("w"), F.sum(F.exp(F.col("w") / 4)).alias("all"))
-    return one.select("left", "right", (F.exp(F.col("w") / 4) / F.col("all") / (1 + F.exp(-(F.col("w") - 4) / 2))).alias("confidence"))
+    ids = right.select(node_of().alias("right"), "id").groupBy("right").agg(F.max("id").alias("right_id"))
+    one = e.join(ids, "right").groupBy("left").agg(F.max_by("right_id", F.struct("w", "right_id")).alias("right"), F.max("w").alias("w"), F.sum(F.col("r_n") * F.exp(F.col("w") / 4)).alias("all"))
+    sure = F.exp(F.col("w") / 4) / F.col("all") / (1 + F.exp(-(F.col("w") - 4) / 2))
+    return left.select(F.col("id"), node_of().alias("left")).join(one.select("left", "right", sure.alias("confidence")), "left").select(F.col("id").alias("left"), "right", "confidence")

@@ -48,7 +48,7 @@ def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of each page that show its main body, without pages that hold residue."""
-    body = cut_lineage(_body(spark, sf_dir))
+    body = _body(spark, sf_dir)
     bad = _residue(_texts(spark, sf_dir, body), "table_name = 'incentive'").where("found").select(F.col("record_key").alias("id")).distinct()
     return body.select("id", "line_no").distinct().join(bad, "id", "left_anti").select(F.col("id").alias("incentive_id"), "line_no")
 
@@ -60,7 +60,7 @@ def p1_body(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each record the surest residue in it: ratio, kind and coverage."""
-    s = _residue(_texts(spark, sf_dir, cut_lineage(_body(spark, sf_dir))))
+    s = _residue(_texts(spark, sf_dir, _body(spark, sf_dir)))
     return s.groupBy("table_name", "record_key").agg(F.max("residue").alias("residue"), F.max_by("kind", "residue").alias("kind"), F.max_by("coverage", "residue").alias("coverage"), F.bool_or("found").alias("found"))
 
 
@@ -70,11 +70,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _linkable(rows: DataFrame, rates: DataFrame, org: DataFrame) -> DataFrame:
-    """(id, name, org, segment, label, start, end, rate) of records with a name and an organisation."""
+    """(id, name, org, segment, state, label, start, end, rate) of records with a name and an organisation."""
     day = lambda c: F.when(F.col(c).rlike(r"^\s*\d{4}-\d\d-\d\d"), F.substring(F.trim(c), 1, 10))
     seg = F.lower(F.trim(F.get(F.filter("segment", lambda x: F.trim(x) != ""), F.lit(0))))
     label = F.col("product_category") if "product_category" in rows.columns else F.lit(None).cast("string")
-    r = rows.select("id", norm("program_name").alias("name"), norm("utility_company").alias("u"), F.coalesce(seg, F.lit("")).alias("segment"), label.alias("label"), day("start_date").alias("start"), day("end_date").alias("end"))
+    r = rows.select("id", norm("program_name").alias("name"), norm("utility_company").alias("u"), F.coalesce(seg, F.lit("")).alias("segment"), linkage.state_of(F.col("state")).alias("state"), label.alias("label"), day("start_date").alias("start"), day("end_date").alias("end"))
     r = r.join(org, "u").join(rates.groupBy("id").agg(F.min(F.concat_ws(" ", "common_unit", F.round(F.col("value") * 1000).cast("bigint"))).alias("rate")), "id", "left")
     return r.where("name <> '' and org is not null").drop("u")
 
@@ -85,8 +85,8 @@ def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = stg.join(staged_residue(spark, sf_dir), "id", "left_anti")
     org = names.organisations(names.distinct_names([t.select("utility_company") for t in (stg, cat)]))
     org = cut_lineage(org.select(F.col("name").alias("u"), F.concat_ws("|", "proper", "kind").alias("org")))
-    s = _linkable(stg, units.harmonise(stg), org).select(F.lit("s").alias("side"), F.col("id").cast("string").alias("id"), "name", "org", "segment", "label", "start", "end", "rate")
-    c = _linkable(cat, units.harmonise(cat), org).select(F.lit("c").alias("side"), "id", "name", "org", "segment", "label", "start", "end", "rate")
+    s = _linkable(stg, units.harmonise(stg, learn=False), org).select(F.lit("s").alias("side"), F.col("id").cast("string").alias("id"), "name", "org", "segment", "state", "label", "start", "end", "rate")
+    c = _linkable(cat, units.harmonise(cat, learn=False), org).select(F.lit("c").alias("side"), "id", "name", "org", "segment", "state", "label", "start", "end", "rate")
     rows = cut_lineage(s.unionByName(c))
     known = rows.where("label is not null").select("name", "label").distinct().orderBy(F.xxhash64("name", "label")).limit(20_000)
     model = linkage.ProductModel([(linkage.plain(r[0]), r[1]) for r in known.collect()])
