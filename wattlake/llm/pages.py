@@ -26,6 +26,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlake.session import cut_lineage, spread
@@ -506,10 +507,13 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
         .select(F.xxhash64("id", "raw").alias("pid"), "*")
     )
     src = every.dropDuplicates(["pid"])
-    lines = cut_lineage(spread(src.select("pid", "id", "raw", "host", "org")).mapInArrow(_parse, LINE_SCHEMA))
+    # read many times, a few columns each: kept in columns beside the checkpoint it can be made from again
+    lines = first = cut_lineage(spread(src.select("pid", "id", "raw", "host", "org")).mapInArrow(_parse, LINE_SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
 
     sizes = lines.where(f"host is not null and first & {OF_PAGE} <> 0").groupBy("host").agg(F.count("*").alias("host_pages"))
     lines, masthead = _without_recurring(lines, sizes)
+    if lines is not first:
+        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
 
     tally = [F.count_if(F.col("role") == r).alias(r) for r in ROLES]
     known = lines.where("role is not null")
@@ -538,7 +542,10 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
     else:
         pages_left = every.join(masthead.withColumn("m", F.lit(True)), "pid", "left").where(plain | F.col("m"))
     pages_left = pages_left.select("pid", "id", "raw").dropDuplicates(["pid"]).join(hints, "pid")
-    return lines.where("text is not null").select("id", "line_no", "text").unionByName(pages_left.select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string"))
+    out = cut_lineage(lines.where("text is not null").select("id", "line_no", "text").unionByName(pages_left.select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string")))
+    lines.unpersist()
+    first.unpersist()
+    return out
 
 
 def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

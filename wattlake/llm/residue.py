@@ -43,7 +43,7 @@ MARKS = """{{@}}|{{ @ }}|{@}|${@}|<%= @ %>|<?= $row['@'] ?>|<?php echo $@; ?>|%@
 # Common wording of office and site software where an editor is to write something, and of values that stand for nothing.
 FILLER = """your title here|your text here|your name here|insert title here|insert text here|add title|add text here|add your text here|enter text here|enter title here|type here|sample text|sample page|sample document
 placeholder|placeholder text|this is placeholder text|this is a sample page|dummy text|text goes here|title goes here|content goes here|description goes here|replace this text|edit this text|click to add title
-click to add text|click here to edit|untitled|untitled document|untitled page|new page|copy of untitled|heading|tbd|tba|to be determined|to be announced|to be completed|coming soon|under construction
+click to add text|click here to edit|untitled|untitled document|untitled page|untitled (copy)|new page|page (copy)|copy of page|heading|tbd|tba|to be determined|to be announced|to be completed|coming soon|under construction
 test|test page|test test|testing testing|foo bar|foo|asdf|asdf asdf|qwerty|xxx|xxxx|xxxxxxxx|abc abc|null|undefined|none|nan|n/a n/a|null null|none none|nan nan|undefined undefined|[object object]""".replace("\n", "|").split("|")
 # Common wording of failed, refused and blocked requests, beside the names that the protocol has for them.
 NOTICES = """page not found|oops!|oops! something went wrong|something went wrong|an unexpected error occurred|an error occurred while processing your request|the page you requested could not be found
