@@ -266,12 +266,11 @@ def edges(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     both = left.select("n", *SHARED).unionByName(right.select("n", *SHARED))
     total = F.lit(float(max(1, both.agg(F.sum("n")).first()[0] or 1)))
-
-    def rarity(c: str) -> DataFrame:
-        return both.where(F.col(c).isNotNull() & (F.col(c) != "")).groupBy(c).agg(F.log(total / F.sum("n")).alias(f"w_{c}"))
-
+    each = both.select("n", F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in SHARED])).alias("x")).select("n", "x.*").where("v <> ''")
+    rarity = cut_lineage(each.groupBy("c", "v").agg(F.log(total / F.sum("n")).alias("w")))
     for c in SHARED:  # once a node, not once an edge
-        left = left.join(rarity(c), c, "left")
+        left = left.join(rarity.where(F.col("c") == c).select(F.col("v").alias(c), F.col("w").alias(f"w_{c}")), c, "left")
+    left = cut_lineage(left)
     base = ["org", "group", "brand", "place"]
     cols = [*base, "product", "sure", "state", "start", "end", "rate", "cluster", "n"]
     weights = [f"w_{c}" for c in SHARED]
@@ -309,7 +308,7 @@ def edges(left: DataFrame, right: DataFrame) -> DataFrame:
 def link(left: DataFrame, right: DataFrame, keep: float = 0.6, rounds: int = 5, eps: float = 0.01) -> DataFrame:
     """(left, right, confidence): the match of each record of ``left`` that has one; of copies in ``right`` the one of the largest id."""
     left, right = (d if "state" in d.columns else d.withColumn("state", F.lit(None).cast("string")) for d in (left, right))
-    e = edges(nodes(left), nodes(right))
+    e = edges(cut_lineage(nodes(left)), cut_lineage(nodes(right)))
     best = e.groupBy("left").agg(F.max("weight").alias("top"))
     e = cut_lineage(e.join(best, "left").where((F.col("weight") > 0) & (F.col("weight") >= keep * F.col("top"))).drop("top").withColumn("w", F.col("weight")))
     pairs = F.col("n") * F.col("r_n")
