@@ -487,16 +487,19 @@ def _without_recurring(lines: DataFrame, sizes: DataFrame) -> tuple[DataFrame, D
     kinds = {r[0] for r in often.select("nested").distinct().collect()}
     masthead = None
     if False in kinds:
-        hit = _salted(lines.where("not nested and host is not null"), often.where("not nested").select("host", "box", F.lit(True).alias("hit")), ["host", "box"])
+        once = lines.where(f"not nested and host is not null and first & {OF_BOX} <> 0")
+        hit = _salted(once, often.where("not nested").select("host", "box", F.lit(True).alias("hit")), ["host", "box"])
         masthead = cut_lineage(hit.where("hit").select("pid").distinct())
         x = lines.join(masthead.withColumn("m", F.lit(True)), "pid", "left")
         null = {c: F.when(F.col("m").isNull(), F.col(c)) for c in ("id", "role", "text", "box", "nested")}
-        lines = x.withColumns(null).select(*lines.columns)
-    if True in kinds:
-        x = _salted(lines, often.where("nested").select("host", "box", F.lit(True).alias("hit")), ["host", "box"])
-        hit = F.col("hit") & F.col("nested")
-        lines = x.withColumns({"role": F.when(hit, "furniture").otherwise(F.col("role")), "text": F.when(hit.isNull() | ~hit, F.col("text"))}).select(*lines.columns)
-    return (cut_lineage(lines) if kinds else lines), masthead
+        lines = cut_lineage(x.withColumns(null).select(*lines.columns))
+    if True in kinds:  # only lines of nested containers can be taken
+        inner = F.coalesce(F.col("nested") & F.col("host").isNotNull() & F.col("box").isNotNull(), F.lit(False))
+        x = _salted(lines.where(inner), often.where("nested").select("host", "box", F.lit(True).alias("hit")), ["host", "box"])
+        hit = F.coalesce("hit", F.lit(False))
+        x = x.withColumns({"role": F.when(hit, "furniture").otherwise(F.col("role")), "text": F.when(~hit, F.col("text"))})
+        lines = lines.where(~inner).unionByName(cut_lineage(x.select(*lines.columns)))
+    return lines, masthead
 
 
 def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation: str, least: int = 3, pure: float = 0.97) -> DataFrame:
@@ -512,8 +515,6 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
 
     sizes = lines.where(f"host is not null and first & {OF_PAGE} <> 0").groupBy("host").agg(F.count("*").alias("host_pages"))
     lines, masthead = _without_recurring(lines, sizes)
-    if lines is not first:
-        lines = lines.persist(StorageLevel.MEMORY_AND_DISK)
 
     tally = [F.count_if(F.col("role") == r).alias(r) for r in ROLES]
     known = lines.where("role is not null")
@@ -543,7 +544,6 @@ def main_lines(pages: DataFrame, id_: str, raw: str, host: Column, organisation:
         pages_left = every.join(masthead.withColumn("m", F.lit(True)), "pid", "left").where(plain | F.col("m"))
     pages_left = pages_left.select("pid", "id", "raw").dropDuplicates(["pid"]).join(hints, "pid")
     out = cut_lineage(lines.where("text is not null").select("id", "line_no", "text").unionByName(pages_left.select("id", "raw", "hints").mapInArrow(_label, "id string, line_no int, text string")))
-    lines.unpersist()
     first.unpersist()
     return out
 
