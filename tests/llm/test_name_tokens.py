@@ -36,3 +36,7 @@ def test_bare_acronym(spark):
     assert _pairs(spark, ["bgc", "bgc (brenavale gas company)"]) == {("bgc", "bgc (brenavale gas company)")}
     assert ("brea", "brenavale rural electric association") in _pairs(spark, ["brea", "brenavale rural electric association"])
     assert _pairs(spark, ["brea", "brenavale rural electric association", "bolinger rural electric association"]) == set()
+
+
+def test_short_names(spark):
+    assert _pairs(spark, ["ge power company", "power company of ge", "ge", "n/a", "na", "n/a gas company"]) == {("ge power company", "power company of ge")}

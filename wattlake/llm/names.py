@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from wattlake.functions.text import norm
-from wattlake.session import cut_lineage
+from wattlake.session import cut_lineage, spread
 
 # Kinds of utility organisations.
 KINDS = """public utility district|gas company|water power|electric cooperative|light department|power light|municipal utility|clean energy authority|rural electric association|energy services|electric company|power company|public power district
@@ -191,7 +191,10 @@ def read_names(names: DataFrame) -> DataFrame:
             r = [read_whole(x) for x in pdf["name"]]
             yield pd.DataFrame({"name": pdf["name"], "proper": [x[0] for x in r], "kind": [" ".join(x[1]) for x in r], "other": [x[2] for x in r], "tokens": [" ".join(x[3]) for x in r], "short": [x[4] for x in r]})
 
-    return names.mapInPandas(run, "name string, proper string, kind string, other string, tokens string, short array<string>").where("length(proper) > 2")
+    read = spread(names).mapInPandas(run, "name string, proper string, kind string, other string, tokens string, short array<string>")
+    # a name of two letters is one if it has a kind beside it
+    nobody = F.col("proper").isin(*[x.replace("/", "") for x in sorted(NO_ONE)])
+    return read.where((F.length("proper") > 2) | ((F.length("proper") == 2) & (F.col("kind") != "") & ~nobody))
 
 
 def _token_cost(a: str, b: str) -> int | None:
