@@ -135,3 +135,12 @@ def test_reports_and_routes(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
     k = staging.fill_keys(d, "x", F.concat(F.lit("k"), F.col("y").cast("string")))
     assert {r["x"] for r in k.collect()} == {"a|b", "k2.0"}
+
+
+def test_details_fill_what_is_missing(spark):
+    from wattlake.sources import landed
+
+    rows = spark.createDataFrame([(1, "a@x.example", "Text."), (2, None, None), (3, "", "T")], "id int, mail string, about string")
+    details = spark.createDataFrame([(1, "b@x.example", "Needs a permit."), (2, "c@x.example", None), (2, "c@x.example", None)], "id int, mail string, requirements string")
+    got = {tuple(r) for r in landed.with_details(rows, details, "id", "about", "requirements", ["mail"]).collect()}
+    assert got == {(1, "a@x.example", "Text.\n\nNeeds a permit."), (2, "c@x.example", None), (3, None, "T")}

@@ -112,3 +112,22 @@ def test_unknown_label_is_learned_from_linked_entities(spark):
 
 def test_units_of_an_empty_table(spark):
     assert units.harmonise(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(problems.ORACLE))
+def test_sql_twin(spark, sf, name):
+    import oracle
+
+    assert oracle.compare(problems.QUERIES[name](spark, sf), oracle.connect(sf), problems.ORACLE[name]) == ""
+
+
+def test_graph_without_the_vocabulary(spark):
+    """Labels that only links to three anchors tell come out as the vocabulary has them."""
+    rows = []
+    for i in range(6):
+        v = 10.0 + i
+        rows += [(f"a{i}", "s1", v, "kwh"), (f"a{i}", "s2", v * 1000, "mwh"), (f"b{i}", "s1", v, "sqft"), (f"b{i}", "s3", v * 10.7639, "square metre"), (f"c{i}", "s2", v, "ton"), (f"c{i}", "s3", v / 12, "kbtuh")]
+    g = {r["label"]: (r["common_unit"], round(r["scale"], 6), r["round"]) for r in units.label_graph(spark.createDataFrame(rows, "entity string, source string, amount double, label string")).collect()}
+    assert g["mwh"] == ("kwh", 0.001, 1) and g["square metre"] == ("sqft", round(1 / 10.7639, 6), 1) and g["kbtuh"] == ("ton", 12.0, 1)
+    e = units.source_edges(spark.createDataFrame(rows, "entity string, source string, amount double, label string")).collect()
+    assert {(r["label_a"], r["label_b"], round(r["scale"], 6)) for r in e} == {("kwh", "mwh", 1000.0), ("sqft", "square metre", 10.7639), ("ton", "kbtuh", round(1 / 12, 6))}

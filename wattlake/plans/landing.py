@@ -178,6 +178,40 @@ def page_titles(spark, d):
     return html.page_facts(i, "id", "raw_response").select("id", "title").distinct()
 
 
+_JSON_ROW = r"^\s*\{"
+
+
+@query(
+    r"""WITH j AS (SELECT id, try_cast(raw_response AS JSON) AS j FROM incentive WHERE regexp_matches(raw_response, '^\s*\{')),
+t AS (SELECT id, try_cast(substr(raw_response, 1, 0) AS VARCHAR) AS x, raw_response AS r FROM incentive WHERE raw_response <> '' AND NOT regexp_matches(raw_response, '^\s*\{') AND NOT regexp_matches(raw_response, '(?i)<(html|body|div|p|h1)[ >]'))
+SELECT id, nullif(json_extract_string(j, '$.name'), '') AS title, 'record' AS kind FROM j WHERE j IS NOT NULL UNION ALL SELECT id, string_split(r, chr(10))[1] AS title, 'text' AS kind FROM t"""
+)
+def extracted_again(spark, d):
+    """Stored payloads read again, each by its kind: records by their fields, texts by their first line; pages have a query of their own."""
+    raw = F.col("raw_response")
+    i = table(spark, d, "incentive").where(raw != "").select("id", "raw_response")
+    v = F.try_parse_json(raw)
+    name = F.try_variant_get(v, "$.name", "string")
+    record = lambda x: x.where(v.isNotNull()).select("id", F.when(name != "", name).alias("title"), F.lit("record").alias("kind"))
+    text = lambda x: x.select("id", F.get(F.split(raw, "\n"), F.lit(0)).alias("title"), F.lit("text").alias("kind"))
+    none = lambda x: x.where("false").select("id", F.lit("").alias("title"), F.lit("page").alias("kind"))
+    return landed.dispatch(i, [(raw.rlike(_JSON_ROW), record), (raw.rlike("(?i)<(html|body|div|p|h1)[ >]"), none), (F.lit(True), text)])
+
+
+@query("SELECT id, name, administrator FROM dsire_program")
+def raw_round_trip(spark, d):
+    """Rows kept as JSON text and read back."""
+    p = table(spark, d, "dsire_program").select("id", "name", "administrator")
+    kept = p.select(F.to_json(F.struct("id", "name", "administrator")).alias("raw"))
+    return kept.select(F.from_json("raw", "id int, name string, administrator string").alias("r")).select("r.*")
+
+
+@query("SELECT count(*)::BIGINT AS n FROM (SELECT DISTINCT source, stg_source_id, unnest(list_append(coalesce(zip_codes, []), zip_code)) AS z FROM rebates_staging) WHERE z <> ''")
+def count_links(spark, d):
+    z = F.concat(F.coalesce("zip_codes", F.array().cast("array<string>")), F.array("zip_code"))
+    return table(spark, d, "rebates_staging").select("source", "stg_source_id", F.explode(z).alias("z")).where("z <> ''").distinct().agg(F.count("*").alias("n"))
+
+
 def page_programs(spark, d):
     """Programs told from HTML pages."""
     return html.program_pages(html.page_facts(table(spark, d, "incentive").where("raw_response rlike '(?i)<(html|body|div|p|h1)[ >]'"), "id", "raw_response"))

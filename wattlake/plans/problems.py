@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattlake.functions.text import program_hash
 from wattlake.operators import nested, units
-from wattlake.session import table
+from wattlake.session import shared_folder, table
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,5 +56,36 @@ def p7_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _children(spark, sf_dir)
 
 
+# the fields of each kind of child
+CHILD_FIELDS = {
+    "parameter": "source string, qualifier string, amount string, units string", "technology": "name string, category string", "sector": "name string",
+    "mechanic": "incentivedeliverymechanicsname string", "comment": "comment string, author string", "reply": "text string",
+}
+
+
+def _table_of(child: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = f"{shared_folder(spark)}/children-{uuid.uuid4().hex}"
+        nested.write_tagged(_children(spark, sf_dir), folder)
+        return nested.read_tag(spark, folder, child, CHILD_FIELDS[child])
+
+    query.__name__ = f"p7_{child}"
+    query.__doc__ = f"The flat table of the children {child}: all tables are written once by tag, this one read under its schema."
+    return query
+
+
+def _table_sql(field: str, columns: tuple[str, ...]) -> str:
+    return (
+        "WITH s AS (SELECT DISTINCT id, unnest(parametersets) AS s, generate_subscripts(parametersets, 1) AS set_no FROM dsire_program), "
+        f"p AS (SELECT id, set_no, unnest(s.{field}) AS p, generate_subscripts(s.{field}, 1) AS item_no FROM s) "
+        f"SELECT DISTINCT id::VARCHAR AS parent_key, set_no::INTEGER AS set_no, item_no::INTEGER AS item_no, {', '.join(f'p.{c} AS {c}' for c in columns)} FROM p WHERE p IS NOT NULL AND ({' OR '.join(f'p.{c} IS NOT NULL' for c in columns)})"
+    )
+
+
 QUERIES = {"p5_found": p5_found, "p5_labels": p5_labels, "p5_edges": p5_edges, "p7_found": p7_found, "p7_children": p7_children}
-ORACLE: dict[str, str] = {}
+QUERIES |= {f"p7_{c}": _table_of(c) for c in CHILD_FIELDS}
+ORACLE: dict[str, str] = {
+    "p7_parameter": _table_sql("parameters", ("source", "qualifier", "amount", "units")),
+    "p7_technology": _table_sql("technologies", ("name", "category")),
+    "p7_sector": _table_sql("sectors", ("name",)),
+}

@@ -156,3 +156,24 @@ def wanted_sources(subscribers: DataFrame, rows: DataFrame) -> DataFrame:
     if active.where((F.size("sources") <= 0) | F.col("sources").isNull()).isEmpty():
         return named
     return named.unionByName(rows.select("source").where("source is not null")).distinct()
+
+
+def dispatch(rows: DataFrame, kinds: Sequence[tuple[Column, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
+    """Stored payloads extracted again: each row by the first kind whose condition holds; rows of no kind are left out."""
+    left = F.lit(True)
+    parts = []
+    for holds, extract in kinds:
+        on = F.coalesce(holds, F.lit(False))
+        parts.append(extract(rows.where(left & on)))
+        left = left & ~on
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def with_details(rows: DataFrame, details: DataFrame, key: str, text: str, more: str, take: Sequence[str]) -> DataFrame:
+    """Rows with what their detail pages add: ``take`` where the row has nothing, and the text ``more`` behind their own."""
+    d = details.select(F.col(key), *[F.col(c).alias(f"__{c}") for c in (*take, more)]).dropDuplicates([key])
+    x = rows.join(d, key, "left")
+    blank = lambda c: F.when(F.col(c) != "", F.col(c))
+    said = F.concat_ws("\n\n", blank(text), blank(f"__{more}"))
+    new = {c: F.coalesce(blank(c), F.col(f"__{c}")) for c in take} | {text: F.when(said != "", said)}
+    return x.withColumns(new).select(*rows.columns)

@@ -41,3 +41,15 @@ def counts_by_window(stream: DataFrame, time: str, keys: Sequence[str], window:
     from pyspark.sql import functions as F
 
     return stream.withWatermark(time, delay).groupBy(F.window(time, window), *keys).count()
+
+
+def run_every(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, every: str = "6 hours") -> StreamingQuery:
+    """Start a stream that looks for landed files at an interval; the caller stops it."""
+    return stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+
+
+def capped(sink: Callable[[DataFrame, int], None], group: str, order: Sequence[Column], most: int) -> Callable[[DataFrame, int], None]:
+    """A sink that takes at most ``most`` rows a group of each batch, a limit that is the feature."""
+    from wattlake.operators.staging import top_n
+
+    return lambda batch, epoch: sink(top_n(batch, [group], list(order), most).drop("rank"), epoch)
