@@ -173,13 +173,13 @@ def _observed(q: DataFrame) -> DataFrame:
     return d.groupBy("entity", "source", "label").agg(F.percentile_approx("amount", 0.5, 10000).alias("amount"), F.count("*").alias("n"))
 
 
-def _estimated(ratio: DataFrame, keys: list[str]) -> DataFrame:
-    """(*keys, scale, off, support, share, offset, size): from pairs (amount, ref) the median ratio, the known conversion nearest to it and how far off that is, how many pairs bear it, and the median residual."""
-    known = F.array(*[F.lit(x) for x in known_conversions()])
+def _estimated(ratio: DataFrame, keys: list[str], conversions: list[float]) -> DataFrame:
+    """(*keys, scale, off, support, share, offset, size): from pairs (amount, ref) the median ratio, or the known conversion if one lies within the tolerance, how far off the nearest one is, how many pairs bear it, and the median residual."""
+    known = F.array(*[F.lit(x) for x in conversions])
     r = ratio.withColumn("r", F.log(F.col("ref") / F.col("amount")))
     edge = r.groupBy(*keys).agg(F.count("*").alias("support"), F.percentile_approx("r", 0.5, 10000).alias("m"))
     snapped = F.array_min(F.transform(known, lambda k: F.struct(F.abs(F.log(k) - F.col("m")).alias("off"), k.alias("scale"))))
-    edge = edge.select(*keys, "support", snapped.alias("s")).select(*keys, "support", "s.off", "s.scale")
+    edge = edge.select(*keys, "support", "m", snapped.alias("s")).select(*keys, "support", "s.off", F.when(F.col("s.off") <= TOLERANCE, F.col("s.scale")).otherwise(F.exp("m")).alias("scale"))
     return r.join(edge, keys).groupBy(*keys, "scale", "off", "support").agg(
         F.avg((F.abs(F.col("r") - F.log("scale")) <= TOLERANCE).cast("double")).alias("share"),
         F.percentile_approx(F.col("ref") - F.col("scale") * F.col("amount"), 0.5, 10000).alias("offset"),
@@ -197,7 +197,8 @@ def source_edges(q: DataFrame) -> DataFrame:
     a = by.select("entity", F.col("source").alias("source_a"), F.col("label").alias("label_a"), "amount")
     b = by.select("entity", F.col("source").alias("source_b"), F.col("label").alias("label_b"), F.col("amount").alias("ref"))
     pairs = a.join(b, "entity").where("source_a < source_b")
-    return _estimated(pairs, ["source_a", "label_a", "source_b", "label_b"]).select("source_a", "label_a", "source_b", "label_b", "scale", "offset", "support", "share")
+    both_ways = sorted({round(x, 12) for k in known_conversions() for x in (k, 1 / k)})
+    return _estimated(pairs, ["source_a", "label_a", "source_b", "label_b"], both_ways).select("source_a", "label_a", "source_b", "label_b", "scale", "offset", "support", "share")
 
 
 def label_graph(q: DataFrame, min_support: int = 3, agreement: float = 0.6, anchors: tuple[str, ...] = ANCHORS) -> DataFrame:
@@ -219,7 +220,7 @@ def label_graph(q: DataFrame, min_support: int = 3, agreement: float = 0.6, anch
     for i in count(1):
         refs = by.join(done, "label").groupBy("entity", F.col("source").alias("other"), "common_unit").agg(F.percentile_approx(F.col("amount") * F.col("scale"), 0.5, 10000).alias("ref"))
         free = by.join(done, "label", "left_anti").where("amount > 0")
-        close = _estimated(free.join(refs, "entity").where("source <> other and ref > 0"), ["label", "common_unit"])
+        close = _estimated(free.join(refs, "entity").where("source <> other and ref > 0"), ["label", "common_unit"], known_conversions())
         fits = (F.col("support") >= min_support) & (F.col("off") <= TOLERANCE) & (F.col("share") >= agreement) & (F.abs("offset") <= TOLERANCE * F.col("size"))
         best = close.where(fits).groupBy("label").agg(F.max_by(F.struct("common_unit", "scale"), F.struct("support", "share", "common_unit")).alias("b"))
         found = cut_lineage(best.select("label", "b.common_unit", "b.scale", F.lit(i).alias("round")))
