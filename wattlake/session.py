@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -71,6 +72,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Between the phases of a long query: collect the garbage of the driver, and with it what finished phases still hold.
+
+    Shuffle files, broadcasts and checkpoints are removed when the driver collects the objects that stand for them, which
+    it does only as its memory fills.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread rows over the cores before per-row Python work, if the plan alone wouldn't.
 
