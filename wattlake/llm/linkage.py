@@ -97,7 +97,7 @@ class ProductModel:
     def __init__(self, examples: list[tuple[str, str]], weight: int = 5):
         self.products = sorted({p for _, p in examples})
         at = {p: i for i, p in enumerate(self.products)}
-        n = np.full((FEATURES, max(1, len(self.products))), 0.05, dtype=np.float64)
+        n = np.full((FEATURES, max(1, len(self.products))), 0.05, dtype=np.float32)
         for name, p in examples:
             n[features(name), at[p]] += 1
         for p, i in at.items():
@@ -105,8 +105,10 @@ class ProductModel:
             for x in (plain(p), "".join(y[0] for y in w) if len(w) > 1 else "", "".join(y[0] for y in w) + "s" if len(w) > 1 else ""):
                 if x:
                     n[features(x), i] += weight
-        w = np.log(n / n.sum(axis=0))
-        self.weights = (w - w.mean(axis=1, keepdims=True)).astype(np.float32)
+        n /= n.sum(axis=0, dtype=np.float64).astype(np.float32)
+        np.log(n, out=n)
+        n -= n.mean(axis=1, keepdims=True)
+        self.weights = n
 
     def tell(self, name: str) -> tuple[str, float]:
         """The product of a name and how much surer it is than the next one."""

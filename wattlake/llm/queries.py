@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wattlake.llm import abuse, linkage, names, packing, pages, residue, survivor, tokens
 from wattlake.functions.text import norm, program_hash
 from wattlake.operators import units
-from wattlake.session import cut_lineage, table
+from wattlake.session import cut_lineage, let_go, table
 
 
 def _body(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +43,9 @@ def staged_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id) of the staged records whose name is residue, for the problems that leave them out."""
     names = table(spark, sf_dir, "rebates_staging").select("id", "program_name").where("trim(program_name) <> ''")
     found = residue.score(names, ("id",), "program_name", residue.fit_all(names, F.col("program_name")))
-    return found.where("found").select("id")
+    found = cut_lineage(found.where("found").select("id"))
+    let_go(spark)
+    return found
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,14 +87,15 @@ def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = stg.join(staged_residue(spark, sf_dir), "id", "left_anti")
     org = names.organisations(names.distinct_names([t.select("utility_company") for t in (stg, cat)]))
     org = cut_lineage(org.select(F.col("name").alias("u"), F.concat_ws("|", "proper", "kind").alias("org")))
+    let_go(spark)
     s = _linkable(stg, units.harmonise(stg, learn=False), org).select(F.lit("s").alias("side"), F.col("id").cast("string").alias("id"), "name", "org", "segment", "state", "label", "start", "end", "rate")
     c = _linkable(cat, units.harmonise(cat, learn=False), org).select(F.lit("c").alias("side"), "id", "name", "org", "segment", "state", "label", "start", "end", "rate")
     rows = cut_lineage(s.unionByName(c))
     known = rows.where("label is not null").select("name", "label").distinct().orderBy(F.xxhash64("name", "label")).limit(20_000)
-    model = linkage.ProductModel([(linkage.plain(r[0]), r[1]) for r in known.collect()])
-    rows = cut_lineage(linkage.read(rows, model))
+    rows = cut_lineage(linkage.read(rows, linkage.ProductModel([(linkage.plain(r[0]), r[1]) for r in known.collect()])))
     rows = linkage.settle_places(cut_lineage(linkage.marks(rows, linkage.vocabulary(rows))))
     rows = cut_lineage(rows.withColumn("cluster", F.xxhash64("org", "name", "group")))
+    let_go(spark)
     e = linkage.link(rows.where("side = 's'"), rows.where("side = 'c'"))
     return e.select(F.col("left").cast("bigint").alias("staging_id"), F.col("right").alias("rebate_id"), "confidence")
 

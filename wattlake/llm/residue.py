@@ -225,7 +225,7 @@ def _told(texts: DataFrame, model: KneserNey, joint: bool) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(gone)], ["t", "n", "gone"])
 
     out = cut_lineage(texts.mapInArrow(run, "t string, n bigint, gone boolean"))
-    shared.unpersist()
+    shared.destroy()
     return out
 
 
