@@ -85,6 +85,9 @@ def pieces(texts: list[str], chars: int = 150_000) -> Iterator[tuple[int, int]]:
 #: Bits of a character in a packed n-gram, three of them a word.
 _BITS = 21
 
+#: Places of a worker's memos: of the n-grams it counts, and of the gains of those seen last.
+MEMO = 1 << 20
+
 #: The filled places of a table and what stands there.
 Sparse = tuple[np.ndarray, np.ndarray]
 
@@ -111,9 +114,19 @@ def _hash(chars: list[np.ndarray], n: int) -> np.ndarray:
 
 
 def _windows(order: int):
-    """Of texts (t, n) the n-grams of ``order`` characters with how often they count, each once a piece."""
+    """Of texts (t, n) the n-grams of ``order`` characters with how often they count.
+
+    A task keeps the first ``MEMO`` n-grams it meets and counts them in place; the others are given out piece by piece.
+    """
+    names = ["s", "w1", "w2", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, count = np.zeros(MEMO, np.uint64), np.zeros(MEMO, np.int64)
+        first_word, second_word = np.zeros(MEMO, np.int64), np.zeros(MEMO, np.int64)
+
+        def out(w1: np.ndarray, w2: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(w1 >> _BITS), pa.array(w1), pa.array(w2), pa.array(n)], names)
+
         for b in batches:
             texts, times = b.column(0).to_pylist(), np.asarray(b.column(1).to_pylist(), np.int64)
             for lo, hi in pieces(texts, 400_000):
@@ -121,11 +134,31 @@ def _windows(order: int):
                 at = np.flatnonzero(owner >= 0)
                 if not len(at):
                     continue
-                *_, h = _each_order(c, order)
-                _, first, of = np.unique(h[at], return_index=True, return_inverse=True)
-                n = np.bincount(of, times[lo:hi][owner[at]].astype(np.float64)).astype(np.int64)
-                w1, w2 = _packed(c, at[first], order)
-                yield pa.RecordBatch.from_arrays([pa.array(w1 >> _BITS), pa.array(w1), pa.array(w2), pa.array(n)], ["s", "w1", "w2", "n"])
+                key, n = _key(c, order)[at], times[lo:hi][owner[at]]
+                slot = (key & np.uint64(MEMO - 1)).astype(np.int64)
+                kept = keys[slot] == key
+                count += np.bincount(slot[kept], n[kept], MEMO).astype(np.int64)
+                new = np.flatnonzero(~kept)
+                if not len(new):
+                    continue
+                _, first, of = np.unique(key[new], return_index=True, return_inverse=True)
+                n = np.bincount(of, n[new].astype(np.float64)).astype(np.int64)
+                one = new[first]
+                w1, w2 = _packed(c, at[one], order)
+                # the first of those that want a free place takes it
+                free = np.flatnonzero(keys[slot[one]] == 0)
+                _, i = np.unique(slot[one][free], return_index=True)
+                take = free[i]
+                put = slot[one][take]
+                keys[put], count[put], first_word[put], second_word[put] = key[one][take], n[take], w1[take], w2[take]
+                rest = np.ones(len(one), bool)
+                rest[take] = False
+                if rest.any():
+                    yield out(w1[rest], w2[rest], n[rest])
+        held = np.flatnonzero(keys)
+        for lo in range(0, len(held), 100_000):
+            i = held[lo : lo + 100_000]
+            yield out(first_word[i], second_word[i], count[i])
 
     return run
 
@@ -258,10 +291,6 @@ def corpus_empty(order: int) -> tuple[list[tuple[Sparse, ...]], float]:
     return [(none, none, none)] * order, 2.0
 
 
-#: Places of the memo of a model: the gains of the n-grams seen last.
-MEMO = 1 << 20
-
-
 class KneserNey:
     """Models of several classes over one hashed space.
 
@@ -428,20 +457,22 @@ class KneserNey:
         out[:, owner < 0] = 0
         return out
 
-    def joint_ratio(self, c: np.ndarray, one: str, other: str, k: int = 5, a: float = 1.0) -> np.ndarray:
-        """Per-position log-ratio of how frequent the k-gram that ends there is in two classes; 0 where neither has it.
+    def joint_ratios(self, c: np.ndarray, ones: list[str], other: str, k: int = 5, a: float = 1.0) -> list[np.ndarray]:
+        """Per-position log-ratio of how frequent the k-gram that ends there is in each of some classes against another; 0 where neither has it.
 
         It doesn't condition on the context, so a text that leaked into the wrong class still shows where it is at home.
         """
         if "_joint" not in self.__dict__:
             self._joint: dict[tuple[str, str, int], np.ndarray] = {}
-        if (one, other, k) not in self._joint:
-            x, y = (self._dense(self.filled[z][k - 1][0]) for z in (one, other))
-            rare = a / max(x.sum() + y.sum(), 1)
-            r = np.log(x / max(x.sum(), 1) + rare) - np.log(y / max(y.sum(), 1) + rare)
-            self._joint[one, other, k] = np.where((x > 0) | (y > 0), r, 0.0).astype(np.float32)
+        for one in ones:
+            if (one, other, k) not in self._joint:
+                x, y = (self._dense(self.filled[z][k - 1][0]) for z in (one, other))
+                rare = a / max(x.sum() + y.sum(), 1)
+                r = np.log(x / max(x.sum(), 1) + rare) - np.log(y / max(y.sum(), 1) + rare)
+                self._joint[one, other, k] = np.where((x > 0) | (y > 0), r, 0.0).astype(np.float32)
         *_, h = _each_order(c, k)
-        return self._joint[one, other, k][self._at(h)]
+        at = self._at(h)
+        return [self._joint[one, other, k][at] for one in ones]
 
 
 def spans(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -96,8 +96,11 @@ class _Visitor:
                 continue  # inside a script
             if start > at:
                 data = raw[at:start]
-                self.text(data, no)
-                no += data.count("\n")
+                if data == "\n":
+                    no += 1
+                else:
+                    self.text(data, no)
+                    no += data.count("\n")
             at = m.end()
             kind = m.lastindex
             if kind == 4:
@@ -158,14 +161,15 @@ class _Visitor:
 
     def add(self, data: str, no: int) -> None:
         on = self.stack[-1] if self.stack else self.root
-        for k, part in enumerate(data.split("\n")):
+        for k, part in enumerate(data.split("\n") if "\n" in data else (data,)):
             n = len(part.strip())
             if not n:
                 continue
             x = self.line(no + k)
-            x.text += part
-            x.hidden |= on.hidden
-            x.notice |= on.notice
+            x.text = x.text + part if x.text else part
+            if on.hidden:
+                x.hidden = True
+                x.notice |= on.notice
             x.shown += n
             if on.linked:
                 x.linked += n

@@ -142,9 +142,8 @@ def at_home(model: KneserNey, texts: list[str]) -> np.ndarray:
     for lo, hi in pieces(texts):
         c, owner = coded(texts[lo:hi], model.order)
         size = np.array([len(x) for x in texts[lo:hi]])
-        for y in CLASSES[:2]:
-            r = np.bincount(owner[owner >= 0], model.joint_ratio(c, y, "plain", JOINT)[owner >= 0], hi - lo)
-            keep[lo:hi] &= r < LEAK * size
+        for ratio in model.joint_ratios(c, CLASSES[:2], "plain", JOINT):
+            keep[lo:hi] &= np.bincount(owner[owner >= 0], ratio[owner >= 0], hi - lo) < LEAK * size
     return keep
 
 
