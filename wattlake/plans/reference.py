@@ -464,14 +464,14 @@ def _landed_twice(spark, d, folder: str) -> DataFrame:
     return ingest.landed(spark, f"{folder}/in", src.schema, 2)
 
 
-@query("SELECT event_id, ts, event_type, value FROM events")
+@query("SELECT event_id, event_type, value FROM events")
 def stream_upsert(spark, d):
     """Events streamed in batches into a snapshot; equals the batch upsert."""
     from wattlake.streaming import ingest
 
     folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     ingest.run_available(_landed_twice(spark, d, folder), ingest.upsert_sink(folder, "events", "event_id", ["ts", "event_type", "value"], ["ts", "event_type"]), f"{folder}/ck")
-    return staging.read_snapshot(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return staging.read_snapshot(spark, folder, "events").select("event_id", "event_type", "value")
 
 
 @query("SELECT event_id, event_type FROM events")
