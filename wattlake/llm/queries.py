@@ -91,9 +91,12 @@ def p3_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _linkable(stg, units.harmonise(stg, learn=False), org).select(F.lit("s").alias("side"), F.col("id").cast("string").alias("id"), "name", "org", "segment", "state", "label", "start", "end", "rate")
     c = _linkable(cat, units.harmonise(cat, learn=False), org).select(F.lit("c").alias("side"), "id", "name", "org", "segment", "state", "label", "start", "end", "rate")
     rows = cut_lineage(s.unionByName(c))
+    let_go(spark)
     known = rows.where("label is not null").select("name", "label").distinct().orderBy(F.xxhash64("name", "label")).limit(20_000)
     rows = cut_lineage(linkage.read(rows, linkage.ProductModel([(linkage.plain(r[0]), r[1]) for r in known.collect()])))
-    rows = linkage.settle_places(cut_lineage(linkage.marks(rows, linkage.vocabulary(rows))))
+    rows = cut_lineage(linkage.marks(rows, linkage.vocabulary(rows)))
+    let_go(spark)
+    rows = linkage.settle_places(rows)
     rows = cut_lineage(rows.withColumn("cluster", F.xxhash64("org", "name", "group")))
     let_go(spark)
     e = linkage.link(rows.where("side = 's'"), rows.where("side = 'c'"))

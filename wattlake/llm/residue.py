@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlake.llm.lm import KneserNey, best_windows, coded, corpus_empty, corpus_grams, pieces, spans, tables_of
-from wattlake.session import cut_lineage, spread
+from wattlake.session import cut_lineage, let_go, spread
 
 CLASSES = ["filler", "error", "plain"]
 
@@ -247,6 +247,7 @@ def fit_all(texts: DataFrame, text: Column, rounds: int = 2, order: int = 6, own
         rest = told.where("not gone").select("t", "n")
         grams = corpus_grams(grams, others, order, own, less=told.where("gone"))
         model = model.counted("plain", *(tables_of(grams, order, own, bits) or corpus_empty(order)))
+        let_go(texts.sparkSession)
     return model
 
 
