@@ -51,7 +51,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, that ``spark.checkpoint.dir`` names; a folder of our own on a single node only."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
