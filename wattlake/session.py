@@ -95,4 +95,4 @@ def spread(df: DataFrame) -> DataFrame:
             return df
     elif df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores * 3)
+    return df.repartition(cores * 2)
