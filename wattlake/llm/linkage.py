@@ -26,11 +26,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattlake.functions.text import norm
 from wattlake.llm.names import edit_distance, similar
-from wattlake.session import cut_lineage
+from wattlake.session import cut_lineage, let_go
 
 # Words for how a program pays, words that join, and words for groups of customers.
 PAYMENT = frozenset("rebate rebates incentive incentives discount discounts loan loans bill credit credits instant offer offers savings program programs".split())
@@ -311,14 +311,15 @@ def link(left: DataFrame, right: DataFrame, keep: float = 0.6, rounds: int = 5,
     """(left, right, confidence): the match of each record of ``left`` that has one; of copies in ``right`` the one of the largest id."""
     left, right = (d if "state" in d.columns else d.withColumn("state", F.lit(None).cast("string")) for d in (left, right))
     e = edges(cut_lineage(nodes(left)), cut_lineage(nodes(right)))
-    best = e.groupBy("left").agg(F.max("weight").alias("top"))
-    e = cut_lineage(e.join(best, "left").where((F.col("weight") > 0) & (F.col("weight") >= keep * F.col("top"))).drop("top").withColumn("w", F.col("weight")))
+    e = e.withColumn("top", F.max("weight").over(Window.partitionBy("left")))  # by a window, as a join would find all edges twice
+    e = cut_lineage(e.where((F.col("weight") > 0) & (F.col("weight") >= keep * F.col("top"))).drop("top").withColumn("w", F.col("weight")))
+    let_go(e.sparkSession)
     pairs = F.col("n") * F.col("r_n")
     for _ in range(rounds):
         around = e.groupBy("cluster", "r_cluster").agg((F.sum(F.col("w") * pairs) / F.sum(pairs)).alias("near"))
-        moved = e.join(around, ["cluster", "r_cluster"]).withColumn("new", 0.7 * F.col("weight") + 0.3 * F.col("near"))
+        moved = cut_lineage(e.join(around, ["cluster", "r_cluster"]).withColumn("new", 0.7 * F.col("weight") + 0.3 * F.col("near")).drop("near"))
         change = moved.agg(F.max(F.abs(F.col("new") - F.col("w")) / F.greatest(F.abs("w"), F.lit(1e-9)))).first()[0] or 0.0
-        e = cut_lineage(moved.withColumn("w", F.col("new")).drop("near", "new"))
+        e = moved.withColumn("w", F.col("new")).drop("new")
         if change < eps:
             break
     ids = right.select(node_of().alias("right"), "id").groupBy("right").agg(F.max("id").alias("right_id"))

@@ -239,9 +239,8 @@ def harmonise(
     per_unit: str = "per_unit_amount", unit: str = "unit_type", text: str = "incentive_description", learn: bool = True, **graph
 ) -> DataFrame:
     """(id, common_unit, value): each quantity of a row in its common unit; by the vocabulary alone unless ``learn``."""
-    q = labelled(rows, id_, program_hash(name, organisation), percent, per_unit, unit, text)
+    q = cut_lineage(labelled(rows, id_, program_hash(name, organisation), percent, per_unit, unit, text))  # for its labels, and for itself
     if learn:
-        q = cut_lineage(q)
         g = label_graph(q, **graph).select("label", "common_unit", "scale")
     else:
         g = resolve(q.select("label").distinct()).where("scale is not null").select("label", "common_unit", "scale")
